@@ -1,0 +1,47 @@
+"""Declared schemas. Readers never infer: every CSV is read with one of these."""
+
+from pyspark.sql import types as T
+
+
+def _s(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(n, t, True) for n, t in fields])
+
+
+L, I, D, S = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
+TS = T.TimestampNTZType()
+
+# energy
+LOAD_RAW = _s(("Datetime", TS), ("PJME_MW", D))
+WEATHER_RAW = _s(("year", I), ("mo", S), ("da", S), ("temp", D), ("prcp", D))
+
+# retail, raw
+TRANSACTIONS_RAW = _s(("HOUSEHOLD_KEY", L), ("BASKET_ID", L), ("DAY", I), ("PRODUCT_ID", L),
+                      ("QUANTITY", L), ("SALES_VALUE", D), ("RETAIL_DISC", D),
+                      ("COUPON_MATCH_DISC", D), ("WEEK_NO", I))
+PRODUCT_RAW = _s(("PRODUCT_ID", L), ("DEPARTMENT", S), ("COMMODITY_DESC", S), ("SUB_COMMODITY_DESC", S))
+DEMOGRAPHIC_RAW = _s(("HOUSEHOLD_KEY", L), ("AGE_DESC", S), ("MARITAL_STATUS_CODE", S), ("INCOME_DESC", S),
+                     ("HOMEOWNER_DESC", S), ("HH_COMP_DESC", S), ("HOUSEHOLD_SIZE_DESC", S),
+                     ("KID_CATEGORY_DESC", S))
+COUPON_REDEMPT = _s(("HOUSEHOLD_KEY", L), ("DAY", I), ("COUPON_UPC", L), ("CAMPAIGN", I))
+CAMPAIGN_DESC = _s(("CAMPAIGN", I), ("START_DAY", I), ("END_DAY", I))
+TIME_ON_APP = _s(("WEEK_NO", I), ("HOUSEHOLD_KEY", L), ("TIME_SPENT_ON_APP", D))
+
+# retail, clean
+TRANSACTIONS = _s(("DAY", I), ("WEEK_NO", I), ("HOUSEHOLD_KEY", L), ("SALES_VALUE", D),
+                  ("QUANTITY", D), ("DISCOUNT", D), ("PRODUCT_ID", S))
+PRODUCTS = _s(("PRODUCT_ID", S), ("DEPARTMENT", S), ("COMMODITY_DESC", S))
+WEEKLY_FACT = _s(("HOUSEHOLD_KEY", L), ("WEEK_NO", I), ("SALES_VALUE", D), ("QUANTITY", D), ("DISCOUNT", D))
+
+# scored / fairness / text
+SCORED_REGRESSION = _s(("key", L), ("split", S), ("y", D), ("prediction", D))
+SCORED_CLASS = _s(("key", L), ("y", I), ("prediction", I))
+CREDIT = _s(("id", L), ("age", I), ("favourable", I))
+TRADE_TEXT = _s(("id", L), ("text", S))
+
+CATALOG = {
+    "load_raw": LOAD_RAW, "weather_raw": WEATHER_RAW, "transactions_raw": TRANSACTIONS_RAW,
+    "product_raw": PRODUCT_RAW, "demographic_raw": DEMOGRAPHIC_RAW, "coupon_redempt": COUPON_REDEMPT,
+    "campaign_desc": CAMPAIGN_DESC, "time_on_app": TIME_ON_APP, "transactions": TRANSACTIONS,
+    "products": PRODUCTS, "weekly_fact": WEEKLY_FACT, "scored_regression": SCORED_REGRESSION,
+    "scored_class": SCORED_CLASS, "credit": CREDIT, "trade_text": TRADE_TEXT,
+}
