@@ -14,11 +14,18 @@ H, M, W, DAY = "household_key", "month_no", "week_no", "day"
 MEASURES = ("sales_value", "quantity", "discount")
 
 
-def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Round every double column (oracle hygiene: summation order differs by engine)."""
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
-                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
-                       for f in df.schema.fields])
+def rounded(df: DataFrame, digits: int = 4, sig_cols=()) -> DataFrame:
+    """Round every double column to ``digits`` decimals, and ``sig_cols`` to
+    significant digits (oracle hygiene: summation order differs by engine)."""
+    out = []
+    for f in df.schema.fields:
+        if f.name in sig_cols:
+            out.append(sig(f.name).alias(f.name))
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            out.append(F.round(F.col(f.name), digits).alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
 
 
 def fact(spark: SparkSession, d: str, period: str) -> DataFrame:
@@ -64,8 +71,11 @@ def panel_ctes(period: str, fill: bool = True) -> list[str]:
 def sig(c, digits: int = 8):
     """Round to ``digits`` significant digits (for variance-like outputs whose last
     bits depend on the engine's update formula). Only exact positive powers of
-    ten are used, so Spark and DuckDB produce the same double."""
+    ten are used, so Spark and DuckDB produce the same double. A 1e-12 relative
+    nudge moves exact decimal ties (common for variances of integer data) off
+    the tie, so two results 1 ulp apart round the same way."""
     c = F.col(c) if isinstance(c, str) else c
+    c = c * F.lit(1.000000000001)
     e = F.floor(F.log10(F.abs(c))).cast("int")
     up = F.pow(F.lit(10.0), F.lit(digits - 1) - e)
     down = F.pow(F.lit(10.0), e - F.lit(digits - 1))
@@ -75,6 +85,7 @@ def sig(c, digits: int = 8):
 
 
 def sig_sql(x: str, digits: int = 8) -> str:
+    x = f"(({x}) * 1.000000000001)"
     e = f"CAST(floor(log10(abs({x}))) AS INTEGER)"
     return (f"(CASE WHEN {x} = 0 THEN 0.0 WHEN {e} >= {digits - 1} "
             f"THEN round({x} / power(10.0, {e} - {digits - 1})) * power(10.0, {e} - {digits - 1}) "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from panelkit.operators import windows as win
-from panelkit.plans.common import H, M, dense_panel, panel_ctes, rounded, sig, sig_sql
+from panelkit.plans.common import H, M, dense_panel, panel_ctes, rounded, sig_sql
 from panelkit.plans.registry import register, with_ctes
 
 FLAGSHIP_SQL = with_ctes(*panel_ctes("month_no"), body="""
@@ -29,8 +29,7 @@ def customer_month_spend(spark: SparkSession, d: str) -> DataFrame:
     p = dense_panel(spark, d, M).select(H, M, "sales_value")
     p = win.last_period_amount(p, H, M, "sales_value")
     p = win.expanding_stats(p, H, M, "sales_value")
-    p = p.withColumns({c: sig(c) for c in ("sales_value_std", "sales_value_var")})
-    return rounded(p)
+    return rounded(p, sig_cols=("sales_value_std", "sales_value_var"))
 
 
 register("customer_month_spend", FLAGSHIP_SQL)(customer_month_spend)
