@@ -79,6 +79,18 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
     return df.groupBy(*keys).agg(pick.alias("__row")).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in cols])
 
 
+def group_mean_transform(df: DataFrame, keys: Sequence[str], col: str, out: str | None = None) -> DataFrame:
+    """AGG-12: per-group mean written back to every row.
+
+    Aggregate (map-side combined) then join back, rather than a window over the
+    group: a hot key would otherwise be sorted whole inside one task. The means
+    table has one row per key and is broadcast when provably small.
+    """
+    from panelkit.operators.joins import bounded_broadcast
+    means = df.groupBy(*keys).agg(F.avg(col).alias(out or f"{col}_group_mean"))
+    return df.join(bounded_broadcast(means), list(keys), "left")
+
+
 def summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """AGG-11: one row with min, max, sample sd and mean of every column."""
     exprs = []

@@ -199,11 +199,6 @@ def interpolate_linear(df: DataFrame, entity, order: str, col: str, out: str | N
     return d.withColumn(out or col, val).drop("__pv", "__pp", "__nv", "__np")
 
 
-def group_mean_transform(df: DataFrame, keys: Sequence[str], col: str, out: str | None = None) -> DataFrame:
-    """AGG-12: per-group mean written back to every row."""
-    return df.withColumn(out or f"{col}_group_mean", F.avg(col).over(Window.partitionBy(*keys)))
-
-
 def row_index(df: DataFrame, order: Sequence[str], out: str = "row_idx", start: int = 1,
               num_partitions: int | None = None) -> DataFrame:
     """WIN-25 / SPL-1: global 1-based row index in a total order, without a

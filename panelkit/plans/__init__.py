@@ -4,5 +4,6 @@ from panelkit.plans import registry  # noqa: F401
 from panelkit.plans import (  # noqa: F401
     q_panel,
     q_windows,
+    q_basic,
 )
 from panelkit.plans.registry import ORACLES, QUERIES  # noqa: F401

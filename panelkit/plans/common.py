@@ -16,18 +16,28 @@ MEASURES = ("sales_value", "quantity", "discount")
 
 def rounded(df: DataFrame, digits: int = 4, sig_cols=()) -> DataFrame:
     """Round every double column to ``digits`` decimals, and ``sig_cols`` to
-    significant digits (oracle hygiene: summation order differs by engine)."""
+    significant digits (oracle hygiene: summation order differs by engine).
+
+    Rounds as ``round(x * 10^d) / 10^d`` (half away from zero on the scaled
+    double), the same arithmetic as DuckDB's ``round(x, d)``, so exact ties
+    such as 0.00655 round alike in both engines."""
     out = []
     for f in df.schema.fields:
         if f.name in sig_cols:
             out.append(sig(f.name).alias(f.name))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
+            out.append(round_dec(F.col(f.name), digits).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
 
 
+def round_dec(c, digits: int = 4):
+    scale = float(10 ** digits)
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c * F.lit(scale)) / F.lit(scale)
+
+
 def fact(spark: SparkSession, d: str, period: str) -> DataFrame:
     """Sparse (household, period) fact of the three measures."""
     return period_fact(td.lines(spark, d), [H, period], list(MEASURES))
