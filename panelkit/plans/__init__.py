@@ -5,5 +5,6 @@ from panelkit.plans import (  # noqa: F401
     q_panel,
     q_windows,
     q_basic,
+    q_aggs,
 )
 from panelkit.plans.registry import ORACLES, QUERIES  # noqa: F401
