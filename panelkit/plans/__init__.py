@@ -6,5 +6,6 @@ from panelkit.plans import (  # noqa: F401
     q_windows,
     q_basic,
     q_aggs,
+    q_scalar,
 )
 from panelkit.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -139,3 +139,57 @@ def credit(spark: SparkSession, d: str) -> DataFrame:
 CREDIT_SQL = """credit AS (
   SELECT l.doc_id, d.lang, l.quality AS favourable, l.toxic
   FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+
+def demographics_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Demographic text fields derived from customer + nation (range texts, capped
+    counts, composition text, status codes) for the text-to-value operators."""
+    c = table(spark, d, "customer")
+    n = table(spark, d, "nation").select("n_nationkey", "n_regionkey")
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
+    bal, seg, nk = F.col("c_acctbal"), F.col("c_mktsegment"), F.col("c_nationkey")
+    age = (F.when(bal < 0, "19-24").when(bal < 2500, "25-34").when(bal < 5000, "35-44")
+           .when(bal < 7500, "45-54").otherwise("65+"))
+    income = (F.when(bal < 0, "Under 15K").when(bal < 2000, "15-24K").when(bal < 4000, "25-34K")
+              .when(bal < 6000, "35-49K").when(bal < 8000, "50-74K").otherwise("75K+"))
+    comp = (F.when(seg == "AUTOMOBILE", "2 Adults Kids").when(seg == "BUILDING", "Single Female")
+            .when(seg == "FURNITURE", "1 Adult Kids").when(seg == "HOUSEHOLD", "2 Adults No Kids")
+            .otherwise("Unknown"))
+    size = F.when(nk % 5 == 4, "5+").otherwise(((nk % 5) + 1).cast("string"))
+    kids = (F.when(nk % 4 == 0, "None/Unknown").when(nk % 4 == 3, "3+").otherwise((nk % 4).cast("string")))
+    marital = F.when(F.col("n_regionkey") == 0, "A").when(F.col("n_regionkey") == 1, "B").otherwise("U")
+    home = F.when(nk % 3 == 0, "Probable Owner").when(nk % 3 == 1, "Probable Renter").otherwise("Homeowner")
+    return j.select(F.col("c_custkey").alias("household_key"), age.alias("age_desc"),
+                    marital.alias("marital_status_code"), income.alias("income_desc"),
+                    home.alias("homeowner_desc"), comp.alias("hh_comp_desc"),
+                    size.alias("household_size_desc"), kids.alias("kid_category_desc"))
+
+
+DEMOGRAPHICS_SQL = """demo AS (
+  SELECT c.c_custkey AS household_key,
+    CASE WHEN c_acctbal < 0 THEN '19-24' WHEN c_acctbal < 2500 THEN '25-34' WHEN c_acctbal < 5000 THEN '35-44'
+         WHEN c_acctbal < 7500 THEN '45-54' ELSE '65+' END AS age_desc,
+    CASE WHEN n.n_regionkey = 0 THEN 'A' WHEN n.n_regionkey = 1 THEN 'B' ELSE 'U' END AS marital_status_code,
+    CASE WHEN c_acctbal < 0 THEN 'Under 15K' WHEN c_acctbal < 2000 THEN '15-24K' WHEN c_acctbal < 4000 THEN '25-34K'
+         WHEN c_acctbal < 6000 THEN '35-49K' WHEN c_acctbal < 8000 THEN '50-74K' ELSE '75K+' END AS income_desc,
+    CASE WHEN c_nationkey % 3 = 0 THEN 'Probable Owner' WHEN c_nationkey % 3 = 1 THEN 'Probable Renter'
+         ELSE 'Homeowner' END AS homeowner_desc,
+    CASE c_mktsegment WHEN 'AUTOMOBILE' THEN '2 Adults Kids' WHEN 'BUILDING' THEN 'Single Female'
+         WHEN 'FURNITURE' THEN '1 Adult Kids' WHEN 'HOUSEHOLD' THEN '2 Adults No Kids' ELSE 'Unknown' END AS hh_comp_desc,
+    CASE WHEN c_nationkey % 5 = 4 THEN '5+' ELSE CAST(c_nationkey % 5 + 1 AS VARCHAR) END AS household_size_desc,
+    CASE WHEN c_nationkey % 4 = 0 THEN 'None/Unknown' WHEN c_nationkey % 4 = 3 THEN '3+'
+         ELSE CAST(c_nationkey % 4 AS VARCHAR) END AS kid_category_desc
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
+
+
+def products_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Product dimension with blank departments (large sizes) and upper-case sub-commodities."""
+    p = table(spark, d, "part")
+    return p.select(F.col("p_partkey").alias("product_id"),
+                    F.when(F.col("p_size") > 45, F.lit(" ")).otherwise(F.col("p_brand")).alias("department"),
+                    F.col("p_type").alias("commodity_desc"), F.upper("p_name").alias("sub_commodity_desc"))
+
+
+PRODUCTS_RAW_SQL = """praw AS (
+  SELECT p_partkey AS product_id, CASE WHEN p_size > 45 THEN ' ' ELSE p_brand END AS department,
+         p_type AS commodity_desc, upper(p_name) AS sub_commodity_desc FROM part)"""
