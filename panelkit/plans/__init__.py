@@ -7,5 +7,6 @@ from panelkit.plans import (  # noqa: F401
     q_basic,
     q_aggs,
     q_scalar,
+    q_enrich,
 )
 from panelkit.plans.registry import ORACLES, QUERIES  # noqa: F401
