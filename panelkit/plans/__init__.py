@@ -8,5 +8,6 @@ from panelkit.plans import (  # noqa: F401
     q_aggs,
     q_scalar,
     q_enrich,
+    q_model,
 )
 from panelkit.plans.registry import ORACLES, QUERIES  # noqa: F401
