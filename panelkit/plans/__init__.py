@@ -9,5 +9,6 @@ from panelkit.plans import (  # noqa: F401
     q_scalar,
     q_enrich,
     q_model,
+    q_fair,
 )
 from panelkit.plans.registry import ORACLES, QUERIES  # noqa: F401
