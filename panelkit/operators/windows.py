@@ -199,29 +199,48 @@ def interpolate_linear(df: DataFrame, entity, order: str, col: str, out: str | N
     return d.withColumn(out or col, val).drop("__pv", "__pp", "__nv", "__np")
 
 
+def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
+    """Index of the first bound greater than ``key`` (0..len(bounds)), as a
+    balanced tree of comparisons: O(log n) evaluations per row."""
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key < bounds[mid], build(lo, mid)).otherwise(build(mid + 1, hi))
+    return build(0, len(bounds))
+
+
 def row_index(df: DataFrame, order: Sequence[str], out: str = "row_idx", start: int = 1,
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, sample_per_bucket: int = 20, seed: int = 17) -> DataFrame:
     """WIN-25 / SPL-1: global 1-based row index in a total order, without a
     single-partition window.
 
-    Range-partition on the order (explicit partition count, so AQE never
-    coalesces and the partition ids are stable), number rows inside each
-    partition, then add the running count of all earlier partitions. The only
-    small table is one row per partition. ``order`` must be a total order
-    (unique), so a recomputed task yields the same numbering.
+    Range bounds are drawn once from a bounded sample (about
+    ``sample_per_bucket`` rows per bucket) and frozen as literals, so the bucket
+    of a row is a pure function of its key: recomputed tasks (executor loss) and
+    the two uses below agree. Rows are numbered inside their bucket; each bucket's
+    offset is the running count of earlier buckets (one row per bucket,
+    broadcast). ``order`` must be a unique, non-NULL key; buckets are then
+    balanced however skewed the leading column is.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = list(order)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id()))
-    per_part = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__min"))
-    offsets = per_part.withColumn(
-        "__off", F.coalesce(F.sum("__cnt").over(Window.orderBy("__pid").rowsBetween(UP, -1)), F.lit(0)))
-    return (ranged.join(F.broadcast(offsets.select("__pid", "__off", "__min")), "__pid")
-            .withColumn(out, (F.col("__off") + F.col("__mid") - F.col("__min") + start).cast("long"))
-            .drop("__pid", "__mid", "__off", "__min"))
+    key = F.struct(*[F.col(c) for c in order])
+    total = df.count()
+    frac = min(1.0, sample_per_bucket * n / max(total, 1))
+    sample = df.select(*order).sample(False, frac, seed).orderBy(*order).collect()
+    picks = sorted({int(len(sample) * i / n) for i in range(1, n)} - {0, len(sample)})
+    types = {f.name: f.dataType for f in df.schema.fields}
+    bounds = [F.struct(*[F.lit(sample[i][c]).cast(types[c]).alias(c) for c in order]) for i in picks]
+    b = df.withColumn("__b", _bucket_expr(key, bounds) if bounds else F.lit(0))
+    counts = b.groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    offsets = counts.select("__b", F.coalesce(F.sum("__cnt").over(Window.orderBy("__b").rowsBetween(UP, -1)),
+                                              F.lit(0)).alias("__off"))
+    rn = F.row_number().over(Window.partitionBy("__b").orderBy(*order))
+    return (b.withColumn("__rn", rn).join(F.broadcast(offsets), "__b")
+            .withColumn(out, (F.col("__off") + F.col("__rn") + (start - 1)).cast("long"))
+            .drop("__b", "__rn", "__off"))
 
 
 def dense_group_id(df: DataFrame, cols: Sequence[str], out: str = "group_id") -> DataFrame:
