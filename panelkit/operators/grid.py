@@ -25,6 +25,42 @@ def make_grid(fact: DataFrame, entity: str, period: str, start: int | None = 1,
             .select(entity, F.explode(F.sequence("_lo", "_hi")).alias(period)))
 
 
+def dense_panel(fact: DataFrame, entity: str, period: str, measures: Sequence[str], start: int | None = 1,
+                end: int | None = None, fill: float | None = 0) -> DataFrame:
+    """GRD-1 + GRD-4 in one shuffle: the dense (entity, period) panel of a sparse fact.
+
+    The sparse fact (one row per active entity-period) is grouped by entity into
+    a period -> measures map (at most one entry per period, so a hot entity is
+    still bounded by the time span), then each entity row expands to
+    ``start..end`` and looks its measures up. Only sparse rows cross the
+    network; the dense rows are generated where they are used, already
+    hash-partitioned by entity, so a following entity window needs no exchange.
+    When a bound must come from the data (a global barrier), the sparse fact is
+    checkpointed once into the shared checkpoint folder, so the bound (a 1-row
+    aggregate) and the expansion read it instead of recomputing the fact lineage
+    (scan, join, aggregation) twice.
+    """
+    from panelkit.session import cut_lineage
+    measures = list(measures)
+    sparse = fact.where(F.col(entity).isNotNull() & F.col(period).isNotNull()).select(entity, period, *measures)
+    if start is None or end is None:
+        sparse = cut_lineage(sparse)
+    per = (sparse.groupBy(entity)
+           .agg(F.map_from_entries(F.collect_list(F.struct(F.col(period), F.struct(*measures)))).alias("__mp")))
+    bounds = sparse.agg((F.lit(start) if start is not None else F.min(period)).cast("int").alias("__lo"),
+                        (F.lit(end) if end is not None else F.max(period)).cast("int").alias("__hi"))
+    g = per.crossJoin(F.broadcast(bounds)).select(entity, F.explode(F.sequence("__lo", "__hi")).alias(period), "__mp")
+    hit = F.try_element_at(F.col("__mp"), F.col(period))
+    types = {f.name: f.dataType for f in fact.schema.fields}
+    cols = []
+    for m in measures:
+        v = hit.getField(m)
+        if fill is not None:
+            v = F.coalesce(v, F.lit(fill).cast(types[m]))
+        cols.append(v.alias(m))
+    return g.select(entity, F.col(period).cast(types[period]).alias(period), *cols)
+
+
 def make_day_grid(fact: DataFrame, entity: str, day: str, week: str) -> DataFrame:
     """GRD-2: entities x days min..max, each day's week attached by a left join
     (NULL week when nobody was active that day)."""

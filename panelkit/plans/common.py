@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.operators.aggregates import period_fact
-from panelkit.operators.grid import densify, make_grid
+from panelkit.operators.grid import dense_panel as grid_dense_panel
 from panelkit.sources import testdata as td
 
 H, M, W, DAY = "household_key", "month_no", "week_no", "day"
@@ -45,8 +45,11 @@ def fact(spark: SparkSession, d: str, period: str) -> DataFrame:
 
 def dense_panel(spark: SparkSession, d: str, period: str, fill: float | None = 0.0) -> DataFrame:
     """Dense (household, period) panel over periods 1..max, zero-filled (or NULL)."""
-    f = fact(spark, d, period)
-    return densify(make_grid(f, H, period, start=1), f, [H, period], list(MEASURES), fill=fill)
+    return dense_panel_of(fact(spark, d, period), period, list(MEASURES), fill=fill)
+
+
+def dense_panel_of(f: DataFrame, period: str, measures, fill: float | None = 0.0) -> DataFrame:
+    return grid_dense_panel(f, H, period, measures, start=1, fill=fill)
 
 
 def fact_sql(period: str) -> str:
