@@ -144,20 +144,20 @@ def sunrise_sunset(date, lat: float, lon: float) -> tuple[Column, Column]:
     """CAL-6: sunrise/sunset (UTC hours as doubles) by the NOAA sunrise equation,
     evaluated as column math on a date column."""
     d = _c(date)
-    n = F.datediff(d, F.lit("2000-01-01").cast("date")).cast("double") + 0.0008 - 0.5
+    n = F.datediff(d, F.lit("2000-01-01").cast("date")).cast("double")  # days since J2000 (noon) at noon of d
     j_star = n - F.lit(lon / 360.0)
     m_deg = (F.lit(357.5291) + F.lit(0.98560028) * j_star) % 360
     m = F.radians(m_deg)
     c = 1.9148 * F.sin(m) + 0.02 * F.sin(2 * m) + 0.0003 * F.sin(3 * m)
     lam = F.radians((m_deg + c + 180 + 102.9372) % 360)
-    j_transit = j_star + 0.0053 * F.sin(m) - 0.0069 * F.sin(2 * lam)
+    transit = j_star + 0.0053 * F.sin(m) - 0.0069 * F.sin(2 * lam)
     decl = F.asin(F.sin(lam) * F.sin(F.radians(F.lit(23.4397))))
     phi = math.radians(lat)
     cos_w = (F.sin(F.radians(F.lit(-0.833))) - F.lit(math.sin(phi)) * F.sin(decl)) / (F.lit(math.cos(phi)) * F.cos(decl))
     w0 = F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cos_w))))
-    frac_transit = j_transit - F.floor(j_transit) + 0.5  # fraction of the day since 00:00 UTC
-    rise = (frac_transit - w0 / 360.0) * 24.0
-    sets = (frac_transit + w0 / 360.0) * 24.0
+    transit_h = (transit - n + 0.5) * 24.0  # hours after 00:00 UTC of d
+    rise = transit_h - w0 / 360.0 * 24.0
+    sets = transit_h + w0 / 360.0 * 24.0
     return rise, sets
 
 
