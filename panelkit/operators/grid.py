@@ -17,10 +17,14 @@ def make_grid(fact: DataFrame, entity: str, period: str, start: int | None = 1,
               end: int | None = None) -> DataFrame:
     """GRD-1: entities x periods ``start..end`` (``end`` defaults to max(period) of the fact;
     ``start=None`` uses min(period))."""
-    bounds = fact.agg(
+    from panelkit.session import cut_lineage
+    src = fact.select(entity, period).where(F.col(entity).isNotNull())
+    if start is None or end is None:
+        src = cut_lineage(src)  # the bound is a barrier: do not recompute the fact twice
+    bounds = src.agg(
         (F.lit(start) if start is not None else F.min(period)).cast("int").alias("_lo"),
         (F.lit(end) if end is not None else F.max(period)).cast("int").alias("_hi"))
-    ents = fact.select(entity).where(F.col(entity).isNotNull()).distinct()
+    ents = src.select(entity).distinct()
     return (ents.crossJoin(F.broadcast(bounds))
             .select(entity, F.explode(F.sequence("_lo", "_hi")).alias(period)))
 
@@ -45,7 +49,11 @@ def dense_panel(fact: DataFrame, entity: str, period: str, measures: Sequence[st
     sparse = fact.where(F.col(entity).isNotNull() & F.col(period).isNotNull()).select(entity, period, *measures)
     if start is None or end is None:
         sparse = cut_lineage(sparse)
-    per = (sparse.groupBy(entity)
+    # The dense rows are generated after this exchange, ~periods/active-share times
+    # more rows than cross it: fix its width at the shuffle parallelism so AQE does
+    # not coalesce it by the (small) sparse size. It is the group-by's own exchange.
+    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per = (sparse.repartition(n, entity).groupBy(entity)
            .agg(F.map_from_entries(F.collect_list(F.struct(F.col(period), F.struct(*measures)))).alias("__mp")))
     bounds = sparse.agg((F.lit(start) if start is not None else F.min(period)).cast("int").alias("__lo"),
                         (F.lit(end) if end is not None else F.max(period)).cast("int").alias("__hi"))

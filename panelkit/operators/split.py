@@ -7,18 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.operators.windows import row_index
+from panelkit.operators.windows import _row_index
 
 
 def split_ordered(df: DataFrame, order: Sequence[str], frac: float = 0.8, out: str = "split") -> DataFrame:
     """SPL-1: first floor(frac * n) rows in ``order`` are 'train', the rest 'test'.
-    Global index without a single-partition window (see ``row_index``); n is a
-    broadcast 1-row count."""
-    idx = row_index(df, order, out="__idx")
-    n = df.agg(F.count(F.lit(1)).alias("__n"))
-    j = idx.crossJoin(F.broadcast(n))
-    cut = F.floor(F.col("__n") * F.lit(frac))
-    return j.withColumn(out, F.when(F.col("__idx") <= cut, "train").otherwise("test")).drop("__idx", "__n")
+    Global index without a single-partition window (see ``row_index``); n is the
+    row count of the materialized input."""
+    idx, n = _row_index(df, order, out="__idx")
+    cut = int(n * frac)  # floor for n >= 0
+    return idx.withColumn(out, F.when(F.col("__idx") <= cut, "train").otherwise("test")).drop("__idx")
 
 
 def split_time(df: DataFrame, ts: str, cut, inclusive: bool = True, out: str = "split") -> DataFrame:

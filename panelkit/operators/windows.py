@@ -215,17 +215,26 @@ def row_index(df: DataFrame, order: Sequence[str], out: str = "row_idx", start:
     """WIN-25 / SPL-1: global 1-based row index in a total order, without a
     single-partition window.
 
-    Range bounds are drawn once from a bounded sample (about
+    The input is materialized once in the shared checkpoint folder (the count,
+    the bound sample and the numbering all read it, instead of recomputing the
+    lineage three times). Range bounds are drawn from a bounded sample (about
     ``sample_per_bucket`` rows per bucket) and frozen as literals, so the bucket
-    of a row is a pure function of its key: recomputed tasks (executor loss) and
-    the two uses below agree. Rows are numbered inside their bucket; each bucket's
-    offset is the running count of earlier buckets (one row per bucket,
-    broadcast). ``order`` must be a unique, non-NULL key; buckets are then
-    balanced however skewed the leading column is.
+    of a row is a pure function of its key: recomputed tasks (executor loss)
+    and both uses below agree. Rows are numbered inside their bucket; each
+    bucket's offset is the running count of earlier buckets (one row per
+    bucket, broadcast). ``order`` must be a unique, non-NULL key; buckets are
+    then balanced however skewed the leading column is.
     """
+    return _row_index(df, order, out, start, num_partitions, sample_per_bucket, seed)[0]
+
+
+def _row_index(df: DataFrame, order: Sequence[str], out: str = "row_idx", start: int = 1,
+               num_partitions: int | None = None, sample_per_bucket: int = 20, seed: int = 17):
+    from panelkit.session import cut_lineage
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = list(order)
+    df = cut_lineage(df)
     key = F.struct(*[F.col(c) for c in order])
     total = df.count()
     frac = min(1.0, sample_per_bucket * n / max(total, 1))
@@ -238,9 +247,10 @@ def row_index(df: DataFrame, order: Sequence[str], out: str = "row_idx", start:
     offsets = counts.select("__b", F.coalesce(F.sum("__cnt").over(Window.orderBy("__b").rowsBetween(UP, -1)),
                                               F.lit(0)).alias("__off"))
     rn = F.row_number().over(Window.partitionBy("__b").orderBy(*order))
-    return (b.withColumn("__rn", rn).join(F.broadcast(offsets), "__b")
-            .withColumn(out, (F.col("__off") + F.col("__rn") + (start - 1)).cast("long"))
-            .drop("__b", "__rn", "__off"))
+    indexed = (b.withColumn("__rn", rn).join(F.broadcast(offsets), "__b")
+               .withColumn(out, (F.col("__off") + F.col("__rn") + (start - 1)).cast("long"))
+               .drop("__b", "__rn", "__off"))
+    return indexed, total
 
 
 def dense_group_id(df: DataFrame, cols: Sequence[str], out: str = "group_id") -> DataFrame:

@@ -9,15 +9,19 @@ from panelkit.operators import aggregates as agg
 from panelkit.operators import enrich as en
 from panelkit.operators import grid as grd
 from panelkit.operators import joins as jn
-from panelkit.plans.common import DAY, H, W, fact, fact_sql, grid_sql, rounded
+from panelkit.plans.common import DAY, H, W, dense_panel_of, fact, fact_sql, grid_sql, rounded
 from panelkit.plans.registry import register, with_ctes
 from panelkit.sources import testdata as td
 
 
 def coupon_activity(spark: SparkSession, d: str) -> DataFrame:
+    """Coupon counts on the full household x week grid of the transactions.
+    Sparse-sparse join of the weekly fact and the weekly coupon counts (both
+    already hash-partitioned by (household, week)), then one densify."""
     cp = td.coupons(spark, d).withColumn(W, td.week_of_day(F.col(DAY)))
-    g = grd.make_grid(fact(spark, d, W), H, W, start=1)
-    return en.coupon_activity(cp, g, H, W, "coupon_upc", "campaign")
+    per = en.coupon_counts(cp, H, W, "coupon_upc", "campaign")
+    sparse = fact(spark, d, W).select(H, W).join(per, [H, W], "left")
+    return dense_panel_of(sparse, W, ["num_coupons", "num_campaigns"], fill=0)
 
 
 COUPON_SQL = [td.LINES_SQL, td.COUPONS_SQL, fact_sql("week_no"), grid_sql("week_no"), """promo AS (

@@ -44,7 +44,7 @@ from panelkit.operators import aggregates as agg  # noqa: E402
 from panelkit.operators import grid as grd  # noqa: E402
 from panelkit.operators import joins as jn  # noqa: E402
 from panelkit.operators import split as sp  # noqa: E402
-from panelkit.plans.common import fact  # noqa: E402
+from panelkit.plans.common import dense_panel_of  # noqa: E402
 from panelkit.sources import testdata as td  # noqa: E402
 
 _CAP = ("CASE WHEN {c} IN ('None/Unknown', 'Unknown') THEN 0 "
@@ -89,15 +89,17 @@ WHERE f.sales_value_mean IS NOT NULL""".replace("{STD}", sig_sql("f.sales_value_
 def feature_table(spark: SparkSession, d: str) -> DataFrame:
     """JON-9: the model-ready household x month table.
 
-    One dense panel, all same-window features in one Window operator, visit
-    counts and demographics joined on explicit keys (never row position),
+    One sparse fact (spend, quantity, distinct visit days per household-month),
+    one dense panel, all same-window features in one Window operator,
+    demographics joined on explicit keys (never row position),
     calendar columns as expressions, leak-free by construction (every history
     feature ends one period before the row), first month dropped (no history),
     then the temporal 80/20 split.
     """
-    p = dense_panel(spark, d, M).select(H, M, "sales_value", "quantity")
-    vis = agg.group_counts(td.lines(spark, d).select(H, "day", M).distinct(), [H, M], "n_visits")
-    p = grd.densify(p, vis, [H, M], ["n_visits"], fill=0)
+    sparse = td.lines(spark, d).groupBy(H, M).agg(F.sum("sales_value").alias("sales_value"),
+                                                  F.sum("quantity").alias("quantity"),
+                                                  F.countDistinct("day").alias("n_visits"))
+    p = dense_panel_of(sparse, M, ["sales_value", "quantity", "n_visits"], fill=0)
     p = win.last_period_amount(p, H, M, "sales_value")
     p = win.last_period_amount(p, H, M, "quantity")
     p = win.expanding_stats(p, H, M, "sales_value", stats=["mean", "std", "q50"])

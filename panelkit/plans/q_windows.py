@@ -9,8 +9,8 @@ from panelkit.functions import calendar as cal
 from panelkit.operators import aggregates as agg
 from panelkit.operators import grid as grd
 from panelkit.operators import windows as win
-from panelkit.plans.common import (DAY, MEASURES, H, M, W, dense_panel, fact, fact_sql, grid_sql, panel_ctes,
-                                   rounded, sig, sig_sql)
+from panelkit.plans.common import (DAY, MEASURES, H, M, W, dense_panel, dense_panel_of, fact, fact_sql, grid_sql,
+                                   panel_ctes, rounded, sig_sql)
 from panelkit.plans.registry import register, with_ctes
 from panelkit.sources import testdata as td
 
@@ -149,8 +149,7 @@ FROM (SELECT *,
   FROM wgap WINDOW wf AS (PARTITION BY household_key ORDER BY week_no
                           ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))"""))
 def win7_countdown_fill(spark: SparkSession, d: str) -> DataFrame:
-    g = grd.make_grid(fact(spark, d, W), H, W, start=1)
-    p = grd.densify(g, mean_gap_per_week(spark, d), [H, W], ["mean_day_gap"], fill=None)
+    p = dense_panel_of(mean_gap_per_week(spark, d), W, ["mean_day_gap"], fill=None)
     return rounded(win.countdown_fill(p, H, W, "mean_day_gap", step=7))
 
 
@@ -241,8 +240,7 @@ def win15_trip_stats(spark: SparkSession, d: str) -> DataFrame:
     of NULL (first-trip) statistics keeps the last non-NULL value (pandas ffill)."""
     f = fact(spark, d, M).select(H, M, "sales_value")
     t = win.expanding_stats(f, H, M, "sales_value", stats=TRIP_STATS).drop("sales_value")
-    g = grd.make_grid(f, H, M, start=1)
-    p = grd.densify(g, t, [H, M], fill=None)
+    p = dense_panel_of(t, M, ["sales_value_mean", "sales_value_std", "sales_value_q50"], fill=None)
     for c in ("sales_value_mean", "sales_value_std", "sales_value_q50"):
         p = win.ffill(p, H, M, c)
     return rounded(p, sig_cols=["sales_value_std"])
@@ -300,8 +298,7 @@ FROM (SELECT g.household_key, g.week_no, coalesce(v.n, 0) AS n_visits FROM grid
       (SELECT household_key, week_no, count(*) AS n FROM visits GROUP BY 1, 2) v
       ON g.household_key = v.household_key AND g.week_no = v.week_no)"""))
 def win19_avg_visits_per_week(spark: SparkSession, d: str) -> DataFrame:
-    g = grd.make_grid(fact(spark, d, W), H, W, start=1)
-    p = grd.densify(g, visits_per_week(spark, d), [H, W], ["n_visits"], fill=0)
+    p = dense_panel_of(visits_per_week(spark, d), W, ["n_visits"], fill=0)
     out = win.expanding_stats(p, H, W, "n_visits", stats=["mean"], prefix="v")
     return rounded(out.select(H, W, F.col("v_mean").alias("avg_visits")))
 
@@ -318,8 +315,7 @@ def win20_avg_visits_per_month(spark: SparkSession, d: str) -> DataFrame:
     """Raw visit counts per month (not a running mean), ordered by (year, month)."""
     ln = td.lines(spark, d)
     cnt = agg.group_counts(ln.select(H, DAY, M).distinct(), [H, M], "n_visits")
-    g = grd.make_grid(fact(spark, d, M), H, M, start=1)
-    p = grd.densify(g, cnt, [H, M], ["n_visits"], fill=0).withColumns({
+    p = dense_panel_of(cnt, M, ["n_visits"], fill=0).withColumns({
         "year": (F.lit(1995) + F.floor((F.col(M) - 1) / 12)).cast("int"),
         "month": ((F.col(M) - 1) % 12 + 1).cast("int")})
     out = win.expanding_stats(p, H, ["year", "month"], "n_visits", stats=["mean"], prefix="v")
@@ -343,8 +339,7 @@ def win21_weekday_shares(spark: SparkSession, d: str) -> DataFrame:
     ln = td.lines(spark, d)
     wd = cal.relative_weekday(F.col(DAY))
     flags = ln.groupBy(H, W).agg(*[F.max(F.when(wd == x, 1).otherwise(0)).alias(x) for x in WD])
-    g = grd.make_grid(fact(spark, d, W), H, W, start=1)
-    p = grd.densify(g, flags, [H, W], WD, fill=0)
+    p = dense_panel_of(flags, W, WD, fill=0)
     return rounded(win.weekday_shares(p, H, W, WD).drop(*WD))
 
 
