@@ -10,5 +10,6 @@ from panelkit.plans import (  # noqa: F401
     q_enrich,
     q_model,
     q_fair,
+    q_stream,
 )
 from panelkit.plans.registry import ORACLES, QUERIES  # noqa: F401
