@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,9 +60,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialize ``df`` as a parquet table in the shared checkpoint folder and
+    read it back: the lineage is cut (a lost executor re-reads files instead of
+    recomputing the plan) and later passes scan columnar, compressed data."""
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"table-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def default_partitions() -> int:
