@@ -39,8 +39,8 @@ def round_dec(c, digits: int = 4):
 
 
 def fact(spark: SparkSession, d: str, period: str) -> DataFrame:
-    """Sparse (household, period) fact of the three measures."""
-    return period_fact(td.lines(spark, d), [H, period], list(MEASURES))
+    """Sparse (household, period) fact of the three measures (from per-order totals)."""
+    return period_fact(td.order_lines(spark, d), [H, period], list(MEASURES))
 
 
 def dense_panel(spark: SparkSession, d: str, period: str, fill: float | None = 0.0) -> DataFrame:

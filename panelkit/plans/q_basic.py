@@ -13,7 +13,7 @@ from panelkit.operators import joins as jn
 from panelkit.plans.common import H, M, W, dense_panel, fact, fact_sql, panel_ctes, round_dec, rounded
 from panelkit.plans.registry import register, with_ctes
 from panelkit.session import checkpoint_dir
-from panelkit.sources import io, schemas, testdata as td
+from panelkit.sources import io, testdata as td
 from pyspark.sql import types as T
 
 

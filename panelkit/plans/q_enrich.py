@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from panelkit.operators import aggregates as agg
 from panelkit.operators import enrich as en
-from panelkit.operators import grid as grd
 from panelkit.operators import joins as jn
 from panelkit.plans.common import DAY, H, W, dense_panel_of, fact, fact_sql, grid_sql, rounded
 from panelkit.plans.registry import register, with_ctes

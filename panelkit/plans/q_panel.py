@@ -40,8 +40,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from panelkit.functions import calendar as cal  # noqa: E402
 from panelkit.functions import strings as fs  # noqa: E402
-from panelkit.operators import aggregates as agg  # noqa: E402
-from panelkit.operators import grid as grd  # noqa: E402
 from panelkit.operators import joins as jn  # noqa: E402
 from panelkit.operators import split as sp  # noqa: E402
 from panelkit.plans.common import dense_panel_of  # noqa: E402

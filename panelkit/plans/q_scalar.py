@@ -12,9 +12,6 @@ from panelkit.plans.common import DAY, H, W, rounded
 from panelkit.plans.registry import register, with_ctes
 from panelkit.sources import testdata as td
 
-I = "AS INTEGER)"
-
-
 @register("cal1_calendar_parts", with_ctes(td.HOURLY_SQL, body="""
 SELECT ts, CAST(year(ts) AS INTEGER) AS year, CAST(quarter(ts) AS INTEGER) AS quarter, CAST(month(ts) AS INTEGER) AS month,
   CAST(dayofyear(ts) AS INTEGER) AS dayofyear, CAST(dayofmonth(ts) AS INTEGER) AS dayofmonth,

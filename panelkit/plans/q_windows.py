@@ -14,13 +14,6 @@ from panelkit.plans.common import (DAY, MEASURES, H, M, W, dense_panel, dense_pa
 from panelkit.plans.registry import register, with_ctes
 from panelkit.sources import testdata as td
 
-R4 = "round({0}, 4)"
-
-
-def _r(x: str) -> str:
-    return f"round({x}, 4)"
-
-
 # ---------------------------------------------------------------- grids
 @register("grd1_make_grid", with_ctes(td.LINES_SQL, fact_sql("month_no"), grid_sql("month_no"),
                                       body="SELECT household_key, month_no FROM grid"))

@@ -63,6 +63,29 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def order_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Per-order (basket) totals joined to the order's household and date.
+
+    Lineitem is aggregated per order before the join (map-side combine): the
+    join then carries one row per order instead of one per line, and on a
+    cluster the aggregation's exchange by order key is the sort-merge join's
+    own exchange. Same sums as aggregating ``lines`` (money in integer cents).
+    """
+    li = table(spark, d, "lineitem")
+    per_order = li.groupBy("l_orderkey").agg(
+        F.sum(F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100)).alias("sales_value"),
+        F.sum("l_quantity").alias("quantity"),
+        F.sum(-F.round(F.col("l_extendedprice") * F.col("l_discount") * 100)).alias("discount"))
+    o = table(spark, d, "orders")
+    j = per_order.join(o, per_order.l_orderkey == o.o_orderkey, "inner")
+    day = day_number(F.col("o_orderdate"))
+    return j.select(
+        F.col("o_custkey").alias("household_key"), F.col("l_orderkey").alias("basket_id"), day.alias("day"),
+        week_of_day(day).alias("week_no"),
+        ((F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate")).cast("int").alias("month_no"),
+        "sales_value", "quantity", "discount")
+
+
 LINES_SQL = """lines AS (
   SELECT o.o_custkey AS household_key, l.l_orderkey AS basket_id, l.l_partkey AS product_id,
          CAST(date_diff('day', DATE '1995-01-01', CAST(o.o_orderdate AS DATE)) + 1 AS INTEGER) AS day,

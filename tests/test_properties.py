@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelkit.operators import evaluate as ev
-from panelkit.operators import grid as grd
 from panelkit.operators import models as ml
 from panelkit.operators import split as sp
 from panelkit.operators import windows as win
