@@ -20,11 +20,11 @@ def drop_keyless(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
-    """Columns with at most one distinct non-NULL value (one aggregate pass; the
-    answer is one row of counts, one per column)."""
+    """Columns with at most one distinct non-NULL value: min == max (or all NULL),
+    one aggregate pass with no distinct aggregation; the answer is one row."""
     cols = list(cols or df.columns)
-    row = df.agg(*[F.countDistinct(c).alias(c) for c in cols]).first()
-    return [c for c in cols if row[c] <= 1]
+    row = df.agg(*[(F.coalesce(F.min(c) == F.max(c), F.lit(True))).alias(c) for c in cols]).first()
+    return [c for c in cols if row[c]]
 
 
 def drop_constant(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

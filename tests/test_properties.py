@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelkit.operators import evaluate as ev
+from panelkit.operators import grid as grd
 from panelkit.operators import models as ml
 from panelkit.operators import split as sp
 from panelkit.operators import windows as win
@@ -91,3 +92,24 @@ def test_group_split_hash_matches_threshold(spark):
     out = sp.split_random(spark.range(2000).withColumnRenamed("id", "k"), "k")
     share = out.filter("split = 'train'").count() / 2000
     assert 0.8 < share < 0.9
+
+
+def test_hot_entity_results_match_brute_force(spark):
+    """One entity holds a third of the rows: aggregate-based operators stay exact."""
+    from panelkit.operators import aggregates as agg
+    rnd = random.Random(11)
+    data = [(0 if i % 3 == 0 else rnd.randint(1, 50), rnd.randint(1, 12), i, float(rnd.randint(0, 99)))
+            for i in range(3000)]
+    df = spark.createDataFrame(data, "e int, t int, k int, x double")
+    first = {r["e"]: r["k"] for r in agg.first_per_key(df, ["e"], ["t", "k"], ["k"]).collect()}
+    brute = {}
+    for e, t, k, x in sorted(data, key=lambda r: (r[0], r[1], r[2])):
+        brute.setdefault(e, k)
+    assert first == brute
+    means = {r["e"]: r["x_group_mean"] for r in agg.group_mean_transform(df, ["e"], "x").select("e", "x_group_mean")
+             .distinct().collect()}
+    assert abs(means[0] - sum(x for e, _, _, x in data if e == 0) / sum(1 for r in data if r[0] == 0)) < 1e-9
+    sparse = df.groupBy("e", "t").agg(F.sum("x").alias("x"))
+    dense = grd.dense_panel(sparse, "e", "t", ["x"], start=1, end=12)
+    assert dense.count() == 51 * 12 and dense.filter("e = 0").agg(F.sum("x")).first()[0] == sum(
+        x for e, _, _, x in data if e == 0)
