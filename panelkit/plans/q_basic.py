@@ -337,9 +337,9 @@ FULL OUTER JOIN
 ON a.hour = b.hour""")
 def jon5_outer_align(spark: SparkSession, d: str) -> DataFrame:
     e = td.table(spark, d, "events")
-    a = e.filter(F.col("event_type") == "view").groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(
+    a = e.filter(F.col("event_type") == "view").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
         F.sum("value").alias("views"))
-    b = e.filter(F.col("event_type") == "click").groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(
+    b = e.filter(F.col("event_type") == "click").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
         F.sum("value").alias("clicks"))
     return rounded(jn.outer_align(a, b, "hour"))
 
@@ -367,7 +367,8 @@ def jon7_cross_grid(spark: SparkSession, d: str) -> DataFrame:
 
 @register("jon8_expand_interval", with_ctes(td.CAMPAIGNS_SQL, body="""
 SELECT d.day, count(*) AS n_campaigns FROM
-  (SELECT DISTINCT day FROM (SELECT unnest(generate_series(start_day, end_day)) AS day FROM campaigns)) d
+  (SELECT DISTINCT CAST(day AS INTEGER) AS day FROM (SELECT unnest(generate_series(start_day, end_day)) AS day
+   FROM campaigns)) d
 JOIN campaigns c ON d.day BETWEEN c.start_day AND c.end_day GROUP BY 1"""))
 def jon8_expand_interval(spark: SparkSession, d: str) -> DataFrame:
     """Intervals expanded to one row per day, then counted per day (no range join)."""

@@ -79,7 +79,7 @@ def enr4_seasonal_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 SUPPORT_SQL = """support AS (
-  SELECT week_no, household_key, sum(quantity) / 7 AS time_spent_on_app, count(*) * 0.37 AS supporting
+  SELECT week_no, household_key, sum(quantity) / 7 AS time_spent_on_app, count(*) * CAST(0.37 AS DOUBLE) AS supporting
   FROM lines GROUP BY 1, 2)"""
 
 

@@ -43,7 +43,7 @@ def fair3_reweigh(spark: SparkSession, d: str) -> DataFrame:
 @register("fair3_weighted_difference", with_ctes(td.CREDIT_SQL, PRIV_SQL, body="""
 SELECT round(1.0 * count(*) FILTER (WHERE favourable = 1 AND privileged = 0) / count(*) FILTER (WHERE privileged = 0)
   - 1.0 * count(*) FILTER (WHERE favourable = 1 AND privileged = 1) / count(*) FILTER (WHERE privileged = 1), 4)
-  AS mean_difference, 0.0 AS weighted_mean_difference FROM cr"""))
+  AS mean_difference, CAST(0.0 AS DOUBLE) AS weighted_mean_difference FROM cr"""))
 def fair3_weighted_difference(spark: SparkSession, d: str) -> DataFrame:
     """Reweighing drives the weighted mean difference to 0 (checked to 1e-9, reported rounded)."""
     c = fr.reweigh(credit(spark, d), "privileged", "favourable")

@@ -28,7 +28,7 @@ def enc1_one_hot(spark: SparkSession, d: str) -> DataFrame:
 @register("enc2_min_max_constant", """
 SELECT o_orderkey, round(CASE WHEN max(o_totalprice) OVER () = min(o_totalprice) OVER () THEN 0.0
   ELSE (o_totalprice - min(o_totalprice) OVER ()) / (max(o_totalprice) OVER () - min(o_totalprice) OVER ()) END, 4)
-  AS o_totalprice, 0.0 AS ship_priority FROM orders""")
+  AS o_totalprice, CAST(0.0 AS DOUBLE) AS ship_priority FROM orders""")
 def enc2_min_max_constant(spark: SparkSession, d: str) -> DataFrame:
     """Min-max per column; a constant column maps to 0 (not Spark ML's 0.5)."""
     o = td.table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.lit(4.0).alias("ship_priority"))

@@ -140,7 +140,7 @@ COUPONS_SQL = """coupons AS (
 def hourly_load(spark: SparkSession, d: str) -> DataFrame:
     """Hourly 'load' series: sum of event values per hour."""
     e = table(spark, d, "events")
-    return (e.groupBy(F.date_trunc("hour", "ts").alias("ts"))
+    return (e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"))
             .agg(F.sum("value").alias("load")))
 
 

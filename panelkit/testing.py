@@ -56,18 +56,32 @@ def _rows(cols, records):
     return [cols[i] for i in order], out
 
 
+def _spark_type_names(sdf) -> dict:
+    from pyspark.sql import types as T
+    names = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE", T.StringType: "VARCHAR",
+             T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP", T.BooleanType: "BOOLEAN", T.FloatType: "FLOAT",
+             T.TimestampType: "TIMESTAMP WITH TIME ZONE", T.ShortType: "SMALLINT", T.ByteType: "TINYINT"}
+    return {f.name: names.get(type(f.dataType), str(f.dataType)) for f in sdf.schema.fields}
+
+
 def compare(spark, name: str, sf_dir: str, fn, sql: str, con=None) -> dict:
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = _spark_type_names(sdf)
     s_recs = [tuple(r) for r in sdf.collect()]
     con = con or duck(sf_dir)
-    rel = con.execute(sql)
-    d_cols = [c[0] for c in rel.description]
+    rel = con.sql(sql)
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    d_cols = list(rel.columns)
     d_recs = rel.fetchall()
     sc, sr = _rows(s_cols, s_recs)
     dc, dr = _rows(d_cols, d_recs)
     res = {"name": name, "spark_rows": len(sr), "duck_rows": len(dr), "cols_match": sc == dc,
            "spark_cols": sc, "duck_cols": dc}
+    res["types_match"] = s_types == d_types
+    if not res["types_match"]:
+        res["type_diff"] = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                            if s_types.get(c) != d_types.get(c)}
     exact = sc == dc and sr == dr
     res["exact"] = exact
     if not exact and len(sr) == len(dr) and sc == dc:

@@ -20,6 +20,7 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, name, SF_SMALL, QUERIES[name], ORACLES[name], con)
     assert r["cols_match"], r
+    assert r["types_match"], r.get("type_diff")
     assert r["exact"], {k: v for k, v in r.items() if k != "spark_cols"}
 
 

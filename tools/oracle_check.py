@@ -40,7 +40,10 @@ def main():
             print(f"ERROR  {name}\n{traceback.format_exc()[-1500:]}")
             continue
         dt = time.time() - t0
-        if r["exact"]:
+        if r["exact"] and not r["types_match"]:
+            bad += 1
+            print(f"TYPES  {name}: {r['type_diff']}")
+        elif r["exact"]:
             ok += 1
             print(f"OK     {name}: {r['spark_rows']} rows ({dt:.1f}s)")
         else:
