@@ -199,6 +199,38 @@ def interpolate_linear(df: DataFrame, entity, order: str, col: str, out: str | N
     return d.withColumn(out or col, val).drop("__pv", "__pp", "__nv", "__np")
 
 
+def interpolate_daily_to_hours(hourly: DataFrame, ts: str, daily: DataFrame, day: str, value: str,
+                               out: str | None = None) -> DataFrame:
+    """WIN-24, energy form: a daily measure joined to hourly rows, with missing days
+    ramped hour by hour between the last hour of the previous observed day and
+    the first hour of the next one (linear in time); leading/trailing gaps hold
+    the nearest observed value.
+
+    The gap logic runs on the day dimension (one row per day of the hourly
+    table: first/last hour and the day's value), which is bounded by the time
+    span and broadcast to the hours; the hourly fact is never put through an
+    ordered global window.
+    """
+    out = out or value
+    days = hourly.groupBy(F.to_date(ts).alias("__d")).agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"))
+    dim = days.join(daily.select(F.col(day).alias("__d"), F.col(value).alias("__v")), "__d", "left")
+    fwd = Window.orderBy("__d").rowsBetween(UP, -1)
+    bwd = Window.orderBy(F.col("__d").desc()).rowsBetween(UP, -1)
+    secs = lambda c: F.col(c).cast("timestamp").cast("double")
+    dim = dim.select("__d", "__v",
+                     F.last("__v", ignorenulls=True).over(fwd).alias("__pv"),
+                     F.last(F.when(F.col("__v").isNotNull(), secs("__last")), ignorenulls=True).over(fwd).alias("__pt"),
+                     F.last("__v", ignorenulls=True).over(bwd).alias("__nv"),
+                     F.last(F.when(F.col("__v").isNotNull(), secs("__first")), ignorenulls=True).over(bwd)
+                     .alias("__nt"))
+    j = hourly.join(F.broadcast(dim), F.to_date(F.col(ts)) == F.col("__d"), "left")
+    x = F.col(ts).cast("timestamp").cast("double")
+    ramp = F.col("__pv") + (F.col("__nv") - F.col("__pv")) * (x - F.col("__pt")) / (F.col("__nt") - F.col("__pt"))
+    val = F.coalesce(F.col("__v"), F.when(F.col("__pv").isNull(), F.col("__nv"))
+                     .when(F.col("__nv").isNull(), F.col("__pv")).otherwise(ramp))
+    return j.withColumn(out, val).drop("__d", "__v", "__pv", "__pt", "__nv", "__nt")
+
+
 def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
     """Index of the first bound greater than ``key`` (0..len(bounds)), as a
     balanced tree of comparisons: O(log n) evaluations per row."""

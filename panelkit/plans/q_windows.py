@@ -383,6 +383,26 @@ def win24_interpolate_linear(spark: SparkSession, d: str) -> DataFrame:
     return rounded(win.interpolate_linear(p, H, M, "sales_value"))
 
 
+@register("win24_interpolate_daily_to_hours", with_ctes(td.HOURLY_SQL, td.WEATHER_SQL, """dim AS (
+  SELECT d.day, d.first_h, d.last_h, w.temp FROM
+    (SELECT CAST(ts AS DATE) AS day, min(ts) AS first_h, max(ts) AS last_h FROM hourly GROUP BY 1) d
+  LEFT JOIN weather w ON w.date = d.day)""", """nb AS (
+  SELECT day, temp,
+    last_value(temp IGNORE NULLS) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pv,
+    last_value(CASE WHEN temp IS NOT NULL THEN epoch(last_h) END IGNORE NULLS)
+      OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pt,
+    first_value(temp IGNORE NULLS) OVER (ORDER BY day ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nv,
+    first_value(CASE WHEN temp IS NOT NULL THEN epoch(first_h) END IGNORE NULLS)
+      OVER (ORDER BY day ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS np FROM dim)""", body="""
+SELECT h.ts, round(h.load, 4) AS load, round(CASE WHEN nb.temp IS NOT NULL THEN nb.temp WHEN nb.pv IS NULL THEN nb.nv
+  WHEN nb.nv IS NULL THEN nb.pv ELSE nb.pv + (nb.nv - nb.pv) * (epoch(h.ts) - nb.pt) / (nb.np - nb.pt) END, 4) AS temp
+FROM hourly h LEFT JOIN nb ON CAST(h.ts AS DATE) = nb.day"""))
+def win24_interpolate_daily_to_hours(spark: SparkSession, d: str) -> DataFrame:
+    """Daily 'temperature' (mean of view events) carried onto the hourly load rows."""
+    h = td.hourly_load(spark, d)
+    return rounded(win.interpolate_daily_to_hours(h, "ts", td.daily_weather(spark, d), "date", "temp"))
+
+
 @register("win25_row_index", """
 SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_idx FROM orders""")
 def win25_row_index(spark: SparkSession, d: str) -> DataFrame:

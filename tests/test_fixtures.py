@@ -228,3 +228,15 @@ def test_txt1_trade_text(spark):
     df = spark.createDataFrame([(1, "1 mio TSKBTI 0% 01/23/25 $    XS2100270508")], "id long, text string")
     r = mt.extract_trade_fields(df, "text").first()
     assert (r["currency"], r["trade_date"], r["rates"]) == ("dollar", dt.date(2025, 1, 23), "1 0%")
+
+
+def test_win24_daily_to_hours_ramps_missing_days(spark):
+    hours = [(dt.datetime(2016, 2, 27) + dt.timedelta(hours=h),) for h in range(24 * 5)]
+    hourly = spark.createDataFrame(hours, "ts timestamp_ntz")
+    daily = spark.createDataFrame([(dt.date(2016, 2, 27), 10.0), (dt.date(2016, 3, 1), 40.0),
+                                   (dt.date(2016, 3, 2), None)], "date date, temp double")
+    out = {r["ts"]: r["temp"] for r in win.interpolate_daily_to_hours(hourly, "ts", daily, "date", "temp").collect()}
+    assert out[dt.datetime(2016, 2, 27, 5)] == 10.0 and out[dt.datetime(2016, 3, 1, 7)] == 40.0
+    # leap day 2016-02-29 12:00 lies 37 of 49 hours between 02-27 23:00 (10) and 03-01 00:00 (40)
+    assert close(out[dt.datetime(2016, 2, 29, 12)], 10 + 30 * 37 / 49)
+    assert out[dt.datetime(2016, 3, 2, 23)] == 40.0  # trailing gap holds the last value
