@@ -233,6 +233,15 @@ def flt2_between_open(spark: SparkSession, d: str) -> DataFrame:
     return o.filter((F.col("o_orderdate") > lo) & (F.col("o_orderdate") < hi))
 
 
+@register("flt2_point_lookup", """
+SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate = TIMESTAMP '1996-01-02 00:00:00'""")
+def flt2_point_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """FLT-2 point form: rows at one instant of the time key (pushed to the scan)."""
+    o = td.table(spark, d, "orders")
+    return o.filter(F.col("o_orderdate") == F.lit("1996-01-02 00:00:00").cast("timestamp_ntz")).select(
+        "o_orderkey", "o_totalprice")
+
+
 SEG = "SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'"
 
 

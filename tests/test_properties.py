@@ -113,3 +113,27 @@ def test_hot_entity_results_match_brute_force(spark):
     dense = grd.dense_panel(sparse, "e", "t", ["x"], start=1, end=12)
     assert dense.count() == 51 * 12 and dense.filter("e = 0").agg(F.sum("x")).first()[0] == sum(
         x for e, _, _, x in data if e == 0)
+
+
+LEAK_FREE = {
+    "last_period_amount": lambda df: win.last_period_amount(df, "e", "t", "x", out="f"),
+    "last_trip_amount": lambda df: win.last_trip_amount(df, "e", "t", "x", out="f"),
+    "weighted_lag_mean": lambda df: win.weighted_lag_mean(df, "e", "t", "x", 3, out="f"),
+    "weighted_lag_mean_dense": lambda df: win.weighted_lag_mean(df, "e", "t", "x", 3, null_as_zero=True, out="f"),
+    "lag_to_prevent_leakage": lambda df: win.lag_to_prevent_leakage(df, "e", "t", ["x"]).withColumnRenamed("x", "f"),
+    "expanding_mean": lambda df: win.expanding_stats(df, "e", "t", "x", stats=["mean"]).withColumnRenamed(
+        "x_mean", "f"),
+    "gap_since_prev_lagged": lambda df: win.lag_col(df, "e", "t", "x", 1, out="f"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(LEAK_FREE))
+def test_history_features_do_not_leak(spark, name):
+    """A feature at period t may only read periods < t: changing periods >= 5
+    must leave periods <= 5 unchanged."""
+    base = [("A", t, float(v)) for t, v in enumerate([4, 8, 15, 16, 23, 42, 7, 9], start=1)]
+    fut = [(e, t, x if t < 5 else -x * 10 - 3) for e, t, x in base]
+    f = LEAK_FREE[name]
+    a = {r["t"]: r["f"] for r in f(spark.createDataFrame(base, "e string, t int, x double")).collect()}
+    b = {r["t"]: r["f"] for r in f(spark.createDataFrame(fut, "e string, t int, x double")).collect()}
+    assert all(a[t] == b[t] for t in range(1, 6)), (a, b)
