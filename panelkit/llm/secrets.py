@@ -1,0 +1,117 @@
+"""Secret scans with corpus-wide ownership frequency (DataFrame functions only).
+
+Each text is scanned once per kind of pattern. The values found, and generic
+high-entropy tokens beside them, are candidates. Candidates are hashed and counted over the whole
+corpus by distinct repositories and distinct owners: a value that many owners hold is a
+copied example, a value that few owners hold looks live. Generic tokens that look live
+become spans of their own; base spans always stay.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from panelkit.llm.common import row_key
+from panelkit.session import cut_lineage
+
+# The patterns of the contract.
+ASSIGN = (r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?"
+          r"([A-Za-z0-9+/_.=-]+)")
+ACCESS = r"AKIA[A-Z0-9]+"
+HEX = r"[0-9a-f]+"
+ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 8, 16, 32
+
+#: Runs long enough; a shorter run fails the length test, so the scan may skip it.
+ACCESS_LONG = r"AKIA[A-Z0-9]{12,}"
+HEX_LONG = r"[0-9a-f]{32,}"
+#: Generic candidates: long tokens that mix capitals, small letters and digits.
+GENERIC = r"[A-Za-z0-9+/_-]{24,}"
+
+SPAN = "struct<start:int,rank:int,stop:int,kind:string,value:string>"
+
+
+def matches(text: Column, pattern: str, rank: int, kind: str) -> Column:
+    """All leftmost non-overlapping matches as spans in code points. A match starts
+    after the pieces between matches and the matches before it."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        stop = start + F.length(x["hit"])
+        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), stop.alias("stop"),
+                        F.lit(kind).alias("kind"), x["hit"].alias("value"))
+        return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+
+    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found,
+                       lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
+    spans = F.aggregate(pairs, zero, step)["out"]
+    return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def base_spans(text: Column) -> Column:
+    assign = F.filter(matches(text, ASSIGN, 0, "assign"),
+                      lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= ASSIGN_MIN)
+    return F.array_sort(F.concat(assign, matches(text, ACCESS_LONG, 1, "access"), matches(text, HEX_LONG, 2, "hex")))
+
+
+def generic_spans(text: Column) -> Column:
+    return F.filter(matches(text, GENERIC, 3, "live"),
+                    lambda s: s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]") & s["value"].rlike("[0-9]"))
+
+
+def secret_value(span: Column) -> Column:
+    """What is counted: the assigned value, or the whole match."""
+    return F.when(span["kind"] == "assign", F.regexp_extract(span["value"], ASSIGN, 2)).otherwise(span["value"])
+
+
+def ownership(candidates: DataFrame) -> DataFrame:
+    """(digest, n_rows, n_repositories, n_owners) of candidates (digest, repository, owner).
+    Rows are first reduced per (digest, owner, repository), then per (digest, owner),
+    then per digest, each with map-side sums, so a value in a third of all rows is no hot key."""
+    per_repo = candidates.groupBy("digest", "owner", "repository").agg(F.count("*").alias("n"))
+    per_owner = per_repo.groupBy("digest", "owner").agg(F.sum("n").alias("n"), F.count("*").alias("r"))
+    return per_owner.groupBy("digest").agg(F.sum("n").alias("n_rows"), F.sum("r").alias("n_repositories"),
+                                           F.count("*").alias("n_owners"))
+
+
+def scan_secrets(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", repository: str = "doc_id",
+                 owner: str = "source", live_owners: int = 2, live_repositories: int = 8) -> DataFrame:
+    """One row per input row: ``id_col``, base (array of spans), added (array of spans),
+    n_live and n_example.
+
+    A candidate looks live if at most ``live_owners`` owners and ``live_repositories``
+    repositories hold it; else it is a copied example. ``added`` holds the generic
+    tokens that look live and touch no base span. n_live and n_example count all candidate
+    spans of the row by that verdict. Null text is empty; null repositories and owners count as one
+    of their own. Repeated rows are scanned each. Empty table: no rows.
+    """
+    t = F.coalesce(F.col(text), F.lit(""))
+    scanned = docs.select(
+        row_key().alias("__uid"), F.col(id_col).alias("__id"), F.col(repository).cast("string").alias("repository"),
+        F.col(owner).cast("string").alias("owner"), base_spans(t).alias("base"), generic_spans(t).alias("more"))
+    clear = F.filter("more", lambda s: ~F.exists(
+        "base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
+    scanned = cut_lineage(scanned.withColumn("more", clear), "spans")
+    spans = (scanned.filter((F.size("base") > 0) | (F.size("more") > 0))
+             .select("__uid", "repository", "owner", F.explode(F.concat("base", "more")).alias("s"))
+             .withColumn("digest", F.sha2(secret_value(F.col("s")), 256)))
+    freq = ownership(spans)
+    live = (F.col("n_owners") <= live_owners) & (F.col("n_repositories") <= live_repositories)
+    judged = spans.join(freq.select("digest", live.alias("live")), "digest")
+    per_row = judged.groupBy("__uid").agg(
+        F.array_sort(F.collect_list(F.when(F.col("live") & (F.col("s.kind") == "live"), F.col("s")))).alias("added"),
+        F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_example"))
+    none = F.array().cast(f"array<{SPAN}>")
+    zero = F.lit(0).cast("long")
+    out = scanned.join(per_row, "__uid", "left")
+    return out.select(F.col("__id").alias(id_col), "base", F.coalesce("added", none).alias("added"),
+                      F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_example", zero).alias("n_example"))
+
+
+def span_text(spans: Column) -> Column:
+    """kind:start:end of the spans in order, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
