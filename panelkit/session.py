@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,32 +41,51 @@ def get_spark(master: str | None = None, app: str = "panelkit",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    On a cluster the setting must name a shared file system path. Only when it
-    is unset and the master is local (tests, benches) do we create a private
-    scratch folder.
+    Where the setting is absent it is set once to a folder below the warehouse
+    (``spark.sql.warehouse.dir``), which driver and executors share as well.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="panelkit-ckpt-")
+        path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    return path.rstrip("/")
+
+
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def scratch_path(spark: SparkSession, name: str = "table") -> str:
+    """A new path in the shared folder, removed by ``clear_scratch`` or at exit."""
+    app = spark.sparkContext.applicationId
+    if not _SCRATCH:
+        atexit.register(_clear_all)
+    path = f"{checkpoint_dir(spark)}/{app}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(app, []).append(path)
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Materialize ``df`` as a parquet table in the shared checkpoint folder and
     read it back: the lineage is cut (a lost executor re-reads files instead of
     recomputing the plan) and later passes scan columnar, compressed data."""
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), f"table-{uuid.uuid4().hex}")
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. Call it once the results
+    that read them are written; at exit it runs by itself."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
 
 
-def default_partitions() -> int:
-    return int(os.environ.get("BENCH_CPUS", "8"))
+def _clear_all() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        clear_scratch(spark)
