@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelkit.llm.common import documents
 from panelkit.llm.exact_dedup import exact_dedup
 from panelkit.llm.mixing import mix_sources
+from panelkit.llm.ngram_join import ngram_components
 from panelkit.llm.secrets import scan_secrets, span_text
 
 
@@ -42,10 +43,16 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                       span_text(spans).alias("spans"), "n_live", "n_example")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return ngram_components(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op9_secrets": op9_secrets,
+    "op10_ngram_join": op10_ngram_join,
 }
 ORACLES = {
     "op5_exact_dedup": OP5_SQL,
