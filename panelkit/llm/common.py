@@ -73,3 +73,31 @@ def _both_smaller_second(edges: DataFrame) -> DataFrame:
 
 def total(cols: list[Column]) -> Column:
     return reduce(lambda x, y: x + y, cols)
+
+
+class FixedBloom:
+    """A Bloom filter of a fixed number of bits over one key column, gathered by Spark as 32-bit words.
+
+    The bound holds for any number of keys (``bits / 8`` bytes on driver and executors); when
+    more keys come than it can tell apart, more rows pass, none is lost. It only spares a shuffle of rows that an
+    exact join drops anyway.
+    """
+
+    def __init__(self, keys: DataFrame, key: str, bits: int = 1 << 20):
+        import numpy as np
+        self.bits = bits
+        m = F.pmod(F.xxhash64(F.col(key)), F.lit(bits))
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("m") % 32).cast("int"))
+        words = np.zeros(bits // 32, np.int64)
+        for r in (keys.select(m.alias("m")).groupBy(F.shiftright("m", 5).alias("w"))
+                  .agg(F.bit_or(one).alias("x")).toLocalIterator()):
+            words[r.w] = r.x
+        self.shared = keys.sparkSession.sparkContext.broadcast(words)
+
+    def mark(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.bits))
+
+    @staticmethod
+    def passes(words, m):
+        """For marks m: whether the key may be among the keys (numpy, inside tasks)."""
+        return (words[m >> 5] >> (m & 31)) & 1 == 1

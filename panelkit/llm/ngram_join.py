@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import row_key, smallest_reachable
+from panelkit.llm.common import FixedBloom, row_key, smallest_reachable
 from panelkit.llm.textops import Hasher, U, mix, slices
 from panelkit.session import cut_lineage
 
@@ -321,23 +321,15 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, id_col
            lower: bool) -> DataFrame:
     """The pairs whose full sets reach the threshold. Only texts in pairs are hashed again; a
     Bloom filter of fixed size keeps most others out before the shuffle."""
-    spark, bits = docs.sparkSession, 1 << 20
     ids = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
     wanted = cut_lineage(ids.join(reps.select("uid", "id", "s1", "s2"), "uid"), "wanted")
-    mark = F.pmod(F.xxhash64(F.col("id")), F.lit(bits))
-    words = (wanted.select(mark.alias("m")).groupBy(F.shiftright("m", 5).alias("w"))
-             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("m") % 32).cast("int")))
-             .alias("x")).collect())
-    bloom = np.zeros(bits // 32, np.int64)
-    for r in words:
-        bloom[r.w] = r.x
-    shared = spark.sparkContext.broadcast(bloom)
+    bloom = FixedBloom(wanted, "id")
+    shared, passes = bloom.shared, FixedBloom.passes
 
     def sets(batches):
         hasher, filt = Hasher(lower), shared.value
         for batch in batches:
-            m = batch.column(0).to_numpy()
-            keep = (filt[m >> 5] >> (m & 31)) & 1 == 1
+            keep = passes(filt, batch.column(0).to_numpy())
             col = batch.column(1).filter(pa.array(keep))
             s1, s2, out = [], [], []
             for s in doc_sets(col, size, hasher):
@@ -346,7 +338,7 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, id_col
             yield pa.RecordBatch.from_arrays(
                 [pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(out, pa.binary())], ["s1", "s2", "s"])
 
-    rows = docs.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(bits)).alias("m"), F.col(text).alias("text"))
+    rows = docs.select(bloom.mark(id_col).alias("m"), F.col(text).alias("text"))
     rows = rows.mapInArrow(sets, "s1 long, s2 long, s binary").dropDuplicates(["s1", "s2"])
     full = cut_lineage(rows.join(wanted, ["s1", "s2"]).select("uid", "s"), "sets")
 

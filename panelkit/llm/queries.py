@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.llm.anchors import remove_repeats
 from panelkit.llm.common import documents
 from panelkit.llm.exact_dedup import exact_dedup
 from panelkit.llm.mixing import mix_sources
@@ -48,9 +49,15 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(documents(spark, sf_dir))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 50-word runs that an earlier document holds too, removed from every document."""
+    return remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_secrets": op9_secrets,
     "op10_ngram_join": op10_ngram_join,
 }
