@@ -10,9 +10,17 @@ from panelkit.llm.common import documents
 from panelkit.llm.exact_dedup import exact_dedup
 from panelkit.llm.mixing import mix_sources
 from panelkit.llm.ngram_join import ngram_components
+from panelkit.llm.packing import pack_sequences
 from panelkit.llm.secrets import scan_secrets, span_text
 
 
+def op2_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """All documents cut into sequences of at most 1024 ids of the public 50k byte-level tokenizer."""
+    import public_tokenizers
+    path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
+    return pack_sequences(documents(spark, sf_dir), tokenizer=path)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row that stays for its text (the largest doc_id)."""
     return exact_dedup(documents(spark, sf_dir), keep="largest").select(
@@ -55,6 +63,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op8_substring_dedup": op8_substring_dedup,
