@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelkit.llm.anchors import remove_repeats
 from panelkit.llm.common import documents
 from panelkit.llm.exact_dedup import exact_dedup
+from panelkit.llm.langid import identify
 from panelkit.llm.mixing import mix_sources
 from panelkit.llm.ngram_join import ngram_components
 from panelkit.llm.packing import pack_sequences
@@ -21,6 +22,12 @@ def op2_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
     return pack_sequences(documents(spark, sf_dir), tokenizer=path)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every whole document."""
+    return identify(documents(spark, sf_dir).select("doc_id", "text", "lang")).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row that stays for its text (the largest doc_id)."""
     return exact_dedup(documents(spark, sf_dir), keep="largest").select(
@@ -64,6 +71,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_language_id": op4_language_id,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op8_substring_dedup": op8_substring_dedup,
