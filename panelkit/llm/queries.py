@@ -13,6 +13,13 @@ from panelkit.llm.mixing import mix_sources
 from panelkit.llm.ngram_join import ngram_components
 from panelkit.llm.packing import pack_sequences
 from panelkit.llm.secrets import scan_secrets, span_text
+from panelkit.llm.vector_graph import near_duplicate_vectors
+from panelkit.sources.io import load_table
+
+
+def op1_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all embeddings (cosine 0.95 and more)."""
+    return near_duplicate_vectors(load_table(spark, sf_dir, "embeddings"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
@@ -70,6 +77,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_vector_graph": op1_vector_graph,
     "op2_packing": op2_packing,
     "op4_language_id": op4_language_id,
     "op5_exact_dedup": op5_exact_dedup,
