@@ -9,10 +9,12 @@ from panelkit.llm.anchors import remove_repeats
 from panelkit.llm.common import documents
 from panelkit.llm.exact_dedup import exact_dedup
 from panelkit.llm.langid import identify
+from panelkit.llm.lm_score import score_texts
 from panelkit.llm.mixing import mix_sources
 from panelkit.llm.ngram_join import ngram_components
 from panelkit.llm.packing import pack_sequences
-from panelkit.llm.secrets import scan_secrets, span_text
+from panelkit.llm.secret_scan import scan_secrets, span_text
+from panelkit.llm.tool_calls import TURN_SCHEMAS, exchanges, link_calls
 from panelkit.llm.vector_graph import near_duplicate_vectors
 from panelkit.sources.io import load_table
 
@@ -29,6 +31,12 @@ def op2_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
     return pack_sequences(documents(spark, sf_dir), tokenizer=path)
 
 
+def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as tool calls (user and system turns) linked to results (assistant turns)."""
+    calls, results = exchanges(load_table(spark, sf_dir, "conversations"))
+    return link_calls(calls, results, TURN_SCHEMAS)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every whole document."""
     return identify(documents(spark, sf_dir).select("doc_id", "text", "lang")).select(
@@ -71,6 +79,12 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(documents(spark, sf_dir))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document under the counts of all documents."""
+    return score_texts(documents(spark, sf_dir)).select(
+        "doc_id", "n_units", F.round("log_score", 3).alias("log_score"), F.round("mean_score", 6).alias("mean_score"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 50-word runs that an earlier document holds too, removed from every document."""
     return remove_repeats(documents(spark, sf_dir)).drop("kept")
@@ -79,9 +93,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_vector_graph": op1_vector_graph,
     "op2_packing": op2_packing,
+    "op3_tool_calls": op3_tool_calls,
     "op4_language_id": op4_language_id,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op7_lm_score": op7_lm_score,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_secrets": op9_secrets,
     "op10_ngram_join": op10_ngram_join,
