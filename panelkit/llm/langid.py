@@ -150,8 +150,9 @@ def learn(docs: DataFrame, text: str, id_col: str, lang: str, sample_docs: int,
 
 
 def identify(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", lang: str = "lang",
-             sample_docs: int = 150, sample_chars: int = 30_000, piece: int = 512) -> DataFrame:
-    """The columns of ``docs`` (others keep their names) with held_out, lang_pred and score.
+             sample_docs: int = 150, sample_chars: int = 30_000, piece: int = 512,
+             names: tuple[str, str, str] = ("held_out", "lang_pred", "score")) -> DataFrame:
+    """The columns of ``docs`` with held_out, lang_pred and score, or under other ``names``.
 
     Automata come from at most ``sample_docs`` labelled rows and ``sample_chars`` (below 32,000)
     characters per language; every whole text is parsed. lang_pred is a learned label, or ``und`` for null text,
@@ -165,9 +166,11 @@ def identify(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", lan
     langs, alphabet, tables = learn(docs, text, id_col, lang, sample_docs, sample_chars)
     shared = spark.sparkContext.broadcast((alphabet.table, tables) if langs else None)
     size = 1 << 21
-    out_cols = ("held_out", "lang_pred", "score")
-    rows = docs.drop(*out_cols).withColumn("held_out", held_out(id_col))
-    schema = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    if text in names or id_col in names:
+        raise ValueError("the text and the id can't bear a result's name")
+    held = held_out(id_col)
+    rows = docs.withColumn("__held", held).drop(*names).withColumnRenamed("__held", names[0])
+    schema = rows.withColumns({names[1]: F.lit(""), names[2]: F.lit(0.0)}).schema
     col = rows.columns.index(text)
 
     def judge(symbols, parser, texts: list[str]) -> tuple[list, list]:
@@ -202,6 +205,6 @@ def identify(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", lan
                 score += s
                 i = j
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                                             [*batch.schema.names, "lang_pred", "score"])
+                                             schema.names)
 
     return rows.mapInArrow(run, schema)

@@ -70,17 +70,18 @@ def mix_sources(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id",
         F.struct(*carry).alias("__row"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
         F.col(id_col).alias("__id"), key.alias("__key"))
     rows = rows.withColumn("__part", F.pmod(F.shiftright("__key", 40), F.lit(intervals)).cast("int"))
-    per_part = rows.groupBy("source", "__part").agg(F.sum("size").alias("__sum"))
+    # one long stands for the source, so the window and the join below share one shuffle of the rows
+    rows = rows.withColumn("__sk", F.xxhash64("source", F.col("source").isNull()))
+    per_part = rows.groupBy("source", "__sk", "__part").agg(F.sum("size").alias("__sum"))
     sizes = per_part.groupBy("source").agg(F.sum("__sum").alias("source_size"))
-    before = W.partitionBy("source").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy("__sk").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     offsets = per_part.withColumn("__before", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
     targets = source_targets(sizes, weights=list(weights), share=share, cap=cap)
     plan = (offsets.join(targets, offsets["source"].eqNullSafe(targets["source"]))
-            .select(offsets["source"], "__part", "__before", "source_size", "target"))
-    inside = (W.partitionBy("source", "__part").orderBy("__key", "__id", "size")
+            .select("__sk", "__part", "__before", "source_size", "target"))
+    inside = (W.partitionBy("__sk", "__part").orderBy("__key", "__id", "size")
               .rowsBetween(W.unboundedPreceding, -1))
-    r = rows.withColumn("__in", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    r = r.join(plan, r["source"].eqNullSafe(plan["source"]) & (r["__part"] == plan["__part"]))
+    r = rows.withColumn("__in", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(plan, ["__sk", "__part"])
     goal = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     left = goal - epochs * F.col("source_size") - F.col("__before") - F.col("__in")

@@ -97,8 +97,12 @@ def frequent_ngrams(docs: DataFrame, text: str, size: int, lower: bool, part: in
     return np.sort(np.array([r.g for r in counts.filter(F.col("c") >= least).select("g").collect()], SIGNED).view(U))
 
 
+def text_digest(text: str) -> F.Column:
+    return F.xxhash64(F.col(text), F.col(text).isNull())
+
+
 def describe(docs: DataFrame, text: str, id_col: str, size: int, t: int, lower: bool, frequent: np.ndarray) -> DataFrame:
-    """(uid, id, n, s1, s2, edges, path) per row: set size and name, first edges, path."""
+    """(uid, id, digest, n, s1, s2, edges, path) per row: set size and name, first edges, path."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(frequent)
 
@@ -106,7 +110,7 @@ def describe(docs: DataFrame, text: str, id_col: str, size: int, t: int, lower:
         hasher, last = Hasher(lower), shared.value
         for batch in batches:
             n, s1, s2, edges, paths = [], [], [], [], []
-            for s in doc_sets(batch.column(2), size, hasher):
+            for s in doc_sets(batch.column(3), size, hasher):
                 n.append(len(s))
                 if not len(s):
                     s1.append(0), s2.append(0), edges.append(None), paths.append(None)
@@ -120,13 +124,14 @@ def describe(docs: DataFrame, text: str, id_col: str, size: int, t: int, lower:
                 s1.append(a), s2.append(b), paths.append(path(s).tobytes())
                 edges.append((first >> U(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(s1, pa.int64()),
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(n, pa.int64()), pa.array(s1, pa.int64()),
                  pa.array(s2, pa.int64()), pa.array(edges, pa.list_(pa.int32())), pa.array(paths, pa.binary())],
-                ["uid", "id", "n", "s1", "s2", "edges", "path"])
+                ["uid", "id", "digest", "n", "s1", "s2", "edges", "path"])
 
-    rows = docs.select(row_key().alias("uid"), F.col(id_col).alias("id"), F.col(text).alias("text"))
+    rows = docs.select(row_key().alias("uid"), F.col(id_col).alias("id"), text_digest(text).alias("digest"),
+                       F.col(text).alias("text"))
     kind = dict(rows.dtypes)["id"]
-    return rows.mapInArrow(run, f"uid long, id {kind}, n long, s1 long, s2 long, edges array<int>, path binary")
+    return rows.mapInArrow(run, f"uid long, id {kind}, digest long, n long, s1 long, s2 long, edges array<int>, path binary")
 
 
 class Members:
@@ -312,7 +317,8 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, id_col
 
 def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", size: int = 4, percent: int = 85,
                      lower: bool = True, frequent_part: int = 400, block: int = 1000) -> DataFrame:
-    """One row per input row: ``id_col``, n_shingles, component_id.
+    """One row per input row: a row key, ``id_col``, n_shingles, component_id, a digest of the text, and the
+    component's inner number (null without n-grams).
 
     Texts link when the Jaccard similarity of their word n-gram sets is at least
     ``percent``; a text with fewer than ``size`` words is one n-gram; null text, empty
@@ -363,8 +369,27 @@ def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_
     low = reps.select("s1", "s2", "n", "uid", "low").join(comp, F.col("uid") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "uid"))
     least = low.groupBy("component").agg(F.min("low").alias("component_id"))
-    names = low.join(least, "component").select("s1", "s2", F.col("n").alias("m"), "component_id")
-    out = rows.select("id", "n", "s1", "s2").join(
+    names = low.join(least, "component").select("s1", "s2", F.col("n").alias("m"), "component", "component_id")
+    out = rows.select("uid", "id", "digest", "n", "s1", "s2").join(
         names, (F.col("n") == F.col("m")) & (rows.s1 == names.s1) & (rows.s2 == names.s2), "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+    return out.select("uid", F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+                      F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
+                      "digest", "component")
+
+
+def keep_one_per_component(docs: DataFrame, **kw) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component one with the smallest id (a null id loses to
+    others), and every row without n-grams. Columns as in ``docs``."""
+    text, id_col = kw.get("text", "text"), kw.get("id_col", "doc_id")
+    found = cut_lineage(ngram_components(docs, **kw), "components")
+    stay = found.filter("component is not null").groupBy("component").agg(F.min(F.struct(
+        F.col(id_col).isNull().alias("z"), F.col(id_col).alias("id"), "uid", "digest")).alias("s")).select("s.*")
+    alone = found.filter("component is null").select(F.col(id_col).alias("id"), "uid", "digest")
+    chosen = stay.select("id", "uid", "digest").unionByName(alone).groupBy("id", "digest").agg(F.count("*").alias("k"))
+    # rows that agree in id and text are interchangeable: as many stay as were chosen. One long stands for both, so
+    # counting and joining share one shuffle of the rows
+    chosen = chosen.withColumn("both", F.xxhash64("id", F.col("id").isNull(), "digest"))
+    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("i"), text_digest(text).alias("d"))
+    packed = packed.withColumn("both", F.xxhash64("i", F.col("i").isNull(), "d"))
+    kept = packed.withColumn("r", F.row_number().over(W.partitionBy("both").orderBy("i"))).join(chosen, "both")
+    return kept.filter("r <= k").select("row.*")

@@ -76,7 +76,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
-    return ngram_components(documents(spark, sf_dir))
+    return ngram_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
