@@ -65,11 +65,11 @@ def mix_sources(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id",
     Empty table: no rows.
     """
     carry = [id_col] if carry is None else carry
-    key = F.xxhash64(F.col(id_col), F.col(text), F.lit(seed))
+    key = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text), F.lit(seed)), 1)
     rows = docs.select(
         F.struct(*carry).alias("__row"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
         F.col(id_col).alias("__id"), key.alias("__key"))
-    rows = rows.withColumn("__part", F.pmod(F.shiftright("__key", 40), F.lit(intervals)).cast("int"))
+    rows = rows.withColumn("__part", F.shiftright(F.shiftright("__key", 31) * intervals, 32).cast("int"))
     # one long stands for the source, so the window and the join below share one shuffle of the rows
     rows = rows.withColumn("__sk", F.xxhash64("source", F.col("source").isNull()))
     per_part = rows.groupBy("source", "__sk", "__part").agg(F.sum("size").alias("__sum"))
