@@ -29,7 +29,7 @@ from panelkit.session import cut_lineage
 def unit_vectors(rows: DataFrame, vector: str) -> DataFrame:
     """Adds dim and v (little-endian doubles of length one; null for vectors that can't link)."""
     col = rows.columns.index(vector)
-    schema = rows.drop(vector).withColumns({"dim": F.lit(0), "v": F.lit(b"")}).schema
+    schema = rows.drop(vector).withColumns({"dim": F.lit(0), "v": F.lit(None).cast("binary")}).schema
 
     def run(batches):
         for batch in batches:
