@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,11 +84,10 @@ def group_mean_transform(df: DataFrame, keys: Sequence[str], col: str, out: str
 
     Aggregate (map-side combined) then join back, rather than a window over the
     group: a hot key would otherwise be sorted whole inside one task. The means
-    table has one row per key and is broadcast when provably small.
+    table has one row per key.
     """
-    from panelkit.operators.joins import bounded_broadcast
     means = df.groupBy(*keys).agg(F.avg(col).alias(out or f"{col}_group_mean"))
-    return df.join(bounded_broadcast(means), list(keys), "left")
+    return df.join(means, list(keys), "left")
 
 
 def summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -137,16 +136,24 @@ def histogram(df: DataFrame, col: str, bins: int, out_bin: str = "bin", out_n: s
             .select(out_bin, "lower", "upper", F.coalesce(F.col(out_n), F.lit(0)).cast("long").alias(out_n)))
 
 
-def corr(df: DataFrame, a: str, b: str, out: str = "corr") -> DataFrame:
-    """AGG-16: Pearson correlation."""
-    return df.agg(F.corr(a, b).alias(out))
-
-
 def box_stats(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
-    """AGG-17: min, q1, median, q3, max per class (exact percentiles)."""
-    q = F.percentile(col, F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    return (df.groupBy(*by).agg(q.alias("__q"))
-            .select(*by, *[F.col("__q")[i].alias(n) for i, n in enumerate(("min", "q1", "median", "q3", "max"))]))
+    """AGG-17: min, q1, median, q3, max per class (exact, linear between ranks).
+
+    Rows are first counted per (class, value), with map-side combination; ranks
+    come from a running sum over the distinct values, so no task holds a class's rows."""
+    by = list(by)
+    vals = df.where(F.col(col).isNotNull()).groupBy(*by, F.col(col).cast("double").alias("__v")).agg(
+        F.count(F.lit(1)).alias("__c"))
+    run = Window.partitionBy(*by).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = vals.withColumns({"__upto": F.sum("__c").over(run), "__n": F.sum("__c").over(Window.partitionBy(*by))})
+    out = []
+    for name, q in (("min", 0.0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("max", 1.0)):
+        at = F.lit(q) * (F.col("__n") - 1)
+        lo = F.min(F.when(F.col("__upto") > F.floor(at), F.col("__v")))
+        hi = F.min(F.when(F.col("__upto") > F.ceil(at), F.col("__v")))
+        part = F.max(at - F.floor(at))
+        out.append((lo + (hi - lo) * part).alias(name))
+    return ranked.groupBy(*by).agg(*out)
 
 
 def duplicate_report(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:

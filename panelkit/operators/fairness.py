@@ -12,10 +12,11 @@ def protected_flag(df: DataFrame, predicate: Column, out: str = "privileged") ->
 
 
 def mean_difference(df: DataFrame, group: str, label: str, weight: str | None = None) -> DataFrame:
-    """FAIR-2: P(favourable | unprivileged) - P(favourable | privileged), optionally weighted."""
+    """FAIR-2: P(favourable | unprivileged) - P(favourable | privileged), optionally weighted.
+    Rows without a label or weight are left out."""
     w = F.col(weight) if weight else F.lit(1.0)
     rate = lambda g: F.try_divide(F.sum(F.when(F.col(group) == g, w * F.col(label))),
-                                  F.sum(F.when(F.col(group) == g, w)))
+                                  F.sum(F.when((F.col(group) == g) & F.col(label).isNotNull(), w)))
     return df.agg((rate(0) - rate(1)).alias("mean_difference"))
 
 

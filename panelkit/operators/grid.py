@@ -9,64 +9,63 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.session import cut_lineage
+
+
+def _bounds(rows: DataFrame, period: str, start: int | None, end: int | None) -> DataFrame:
+    """One row (__lo, __hi): the asked bounds, widened so that no row lies outside."""
+    lo, hi = F.min(period), F.max(period)
+    return rows.agg((lo if start is None else F.least(lo, F.lit(start))).cast("int").alias("__lo"),
+                    (hi if end is None else F.greatest(hi, F.lit(end))).cast("int").alias("__hi"))
+
 
 def make_grid(fact: DataFrame, entity: str, period: str, start: int | None = 1,
               end: int | None = None) -> DataFrame:
-    """GRD-1: entities x periods ``start..end`` (``end`` defaults to max(period) of the fact;
-    ``start=None`` uses min(period))."""
-    from panelkit.session import cut_lineage
-    src = fact.select(entity, period).where(F.col(entity).isNotNull())
-    if start is None or end is None:
-        src = cut_lineage(src)  # the bound is a barrier: do not recompute the fact twice
-    bounds = src.agg(
-        (F.lit(start) if start is not None else F.min(period)).cast("int").alias("_lo"),
-        (F.lit(end) if end is not None else F.max(period)).cast("int").alias("_hi"))
-    ents = src.select(entity).distinct()
-    return (ents.crossJoin(F.broadcast(bounds))
-            .select(entity, F.explode(F.sequence("_lo", "_hi")).alias(period)))
+    """GRD-1: entities x periods ``start..end`` (defaults: 1 and the largest period of the fact;
+    ``start=None`` uses the smallest). Bounds widen to the periods of the fact, so none of its rows falls out."""
+    src = cut_lineage(fact.select(entity, period).where(F.col(entity).isNotNull()))  # read for bounds and entities
+    return (src.select(entity).distinct().crossJoin(F.broadcast(_bounds(src, period, start, end)))
+            .select(entity, F.explode(F.sequence("__lo", "__hi")).alias(period)))
 
 
 def dense_panel(fact: DataFrame, entity: str, period: str, measures: Sequence[str], start: int | None = 1,
                 end: int | None = None, fill: float | None = 0) -> DataFrame:
     """GRD-1 + GRD-4 in one shuffle: the dense (entity, period) panel of a sparse fact.
 
-    The sparse fact (one row per active entity-period) is grouped by entity into
-    a period -> measures map (at most one entry per period, so a hot entity is
-    still bounded by the time span), then each entity row expands to
-    ``start..end`` and looks its measures up. Only sparse rows cross the
-    network; the dense rows are generated where they are used, already
+    The sparse rows are sorted per entity; each row then expands to the periods up to the next
+    row of its entity (the first row also to those before it), holding its measures
+    on its own period and ``fill`` on the others. Only sparse rows cross the
+    network, the work is linear in the dense rows, and these are generated
     hash-partitioned by entity, so a following entity window needs no exchange.
-    When a bound must come from the data (a global barrier), the sparse fact is
-    checkpointed once into the shared checkpoint folder, so the bound (a 1-row
-    aggregate) and the expansion read it instead of recomputing the fact lineage
-    (scan, join, aggregation) twice.
+    Bounds widen to the periods of the fact, so no row falls out. The sparse fact is
+    written once to the shared folder, for the bounds (a 1-row aggregate, a global barrier) and the expansion.
     """
-    from panelkit.session import cut_lineage
     measures = list(measures)
-    sparse = fact.where(F.col(entity).isNotNull() & F.col(period).isNotNull()).select(entity, period, *measures)
-    if start is None or end is None:
-        sparse = cut_lineage(sparse)
+    sparse = cut_lineage(fact.where(F.col(entity).isNotNull() & F.col(period).isNotNull())
+                         .select(entity, period, *measures))
     # The dense rows are generated after this exchange, ~periods/active-share times
     # more rows than cross it: fix its width at the shuffle parallelism so AQE does
-    # not coalesce it by the (small) sparse size. It is the group-by's own exchange.
+    # not coalesce it by the (small) sparse size. It is the window's own exchange.
     n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    per = (sparse.repartition(n, entity).groupBy(entity)
-           .agg(F.map_from_entries(F.collect_list(F.struct(F.col(period), F.struct(*measures)))).alias("__mp")))
-    bounds = sparse.agg((F.lit(start) if start is not None else F.min(period)).cast("int").alias("__lo"),
-                        (F.lit(end) if end is not None else F.max(period)).cast("int").alias("__hi"))
-    g = per.crossJoin(F.broadcast(bounds)).select(entity, F.explode(F.sequence("__lo", "__hi")).alias(period), "__mp")
-    hit = F.try_element_at(F.col("__mp"), F.col(period))
+    w = Window.partitionBy(entity).orderBy(period)
+    s = (sparse.repartition(n, entity)
+         .withColumns({"__prev": F.lag(period).over(w), "__next": F.lead(period).over(w)})
+         .crossJoin(F.broadcast(_bounds(sparse, period, start, end))))
+    first = F.when(F.col("__prev").isNull(), F.col("__lo")).otherwise(F.col(period)).cast("int")
+    last = F.coalesce(F.col("__next") - 1, F.col("__hi")).cast("int")
+    last = F.greatest(last, F.col(period).cast("int"))  # a repeated period stays on its own row
     types = {f.name: f.dataType for f in fact.schema.fields}
+    g = s.select(entity, F.explode(F.sequence(first, last)).alias("__p"), F.col(period).alias("__at"), *measures)
     cols = []
     for m in measures:
-        v = hit.getField(m)
+        v = F.when(F.col("__p") == F.col("__at"), F.col(m))
         if fill is not None:
             v = F.coalesce(v, F.lit(fill).cast(types[m]))
         cols.append(v.alias(m))
-    return g.select(entity, F.col(period).cast(types[period]).alias(period), *cols)
+    return g.select(entity, F.col("__p").cast(types[period]).alias(period), *cols)
 
 
 def make_day_grid(fact: DataFrame, entity: str, day: str, week: str) -> DataFrame:

@@ -1,8 +1,7 @@
 """Joins (JON-1..11), membership filters (FLT-3, FLT-6) and set operations (SET-1..2).
 
-Broadcasting is size-checked: ``bounded_broadcast`` hints a broadcast only when
-the optimizer's size estimate of the side is under a bound; otherwise Spark's
-own strategy (AQE may still convert at run time from real sizes) applies.
+Join strategies are Spark's own: ``spark.sql.autoBroadcastJoinThreshold`` and
+adaptive execution decide from sizes whether a side is broadcast.
 """
 
 from __future__ import annotations
@@ -13,29 +12,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (parquet: file sizes; after filters/aggs
-    an upper bound), or None when unknown."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - no estimate available
-        return None
-
-
-def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only when the estimated size is known and under ``max_bytes``."""
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= max_bytes else df
-
-
-def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
-           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """JON-1 / JON-2: left join a lookup table on one or more keys; the lookup is
-    broadcast when it is provably small."""
-    return fact.join(bounded_broadcast(dim, max_broadcast_bytes), on, how)
+def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """JON-1 / JON-2: left join a lookup table on one or more keys."""
+    return fact.join(dim, on, how)
 
 
 def keep_in(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -76,6 +55,16 @@ def assemble(base: DataFrame, parts: Sequence[tuple[DataFrame, Sequence[str]]])
     return out
 
 
+def sample_rows(df: DataFrame, key: str, *, n: int | None = None, fraction: float | None = None,
+                seed: int = 42) -> DataFrame:
+    """SCN-3: a sample that is the same on every run: ``n`` rows with the smallest keyed digests (a top-k), or
+    the rows whose digest lies in the first ``fraction`` of its range."""
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))
+    if fraction is not None:
+        return df.filter(F.substring(digest, 1, 8) < f"{min(int(fraction * 16 ** 8), 16 ** 8 - 1):08x}")
+    return df.orderBy(digest, key).limit(n)
+
+
 def union_all(dfs: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
     """SET-1: union by column name."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), dfs)

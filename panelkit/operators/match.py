@@ -7,6 +7,8 @@ similarity ratio is a vectorised pandas UDF over Arrow batches of pairs.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,10 +64,12 @@ def similarity(a, b, lower: bool = True) -> Column:
 
 
 def levenshtein_score(a, b) -> Column:
-    """0..100 score from the built-in edit distance (JVM-side)."""
+    """0..100 score from the built-in edit distance (JVM-side); two empty texts are equal."""
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
-    return F.round(F.lit(100.0) * (F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b)))).cast("int")
+    longest = F.greatest(F.length(a), F.length(b))
+    share = F.when(longest == 0, F.lit(0.0)).otherwise(F.try_divide(F.levenshtein(a, b), longest))
+    return F.round(F.lit(100.0) * (F.lit(1.0) - share)).cast("int")
 
 
 def best_match(left: DataFrame, right: DataFrame, lkey: str, rkey: str, block: int = 3,
@@ -88,43 +92,62 @@ def best_match(left: DataFrame, right: DataFrame, lkey: str, rkey: str, block: i
 def contains_match(tokens: DataFrame, names: DataFrame, tkey: str, nkey: str, keep: list[str],
                    gram: int = 3) -> DataFrame:
     """MAT-3: (token, name) pairs where the name contains the token, case-insensitive.
-    Exact blocking: every name is indexed by all its ``gram``-letter substrings,
-    a token is looked up by its first ``gram`` letters."""
+
+    Exact blocking: every name is indexed by its distinct substrings of 1 to ``gram`` letters, a token is
+    looked up by its first ``gram`` letters (all of it when it is shorter). Names that share
+    ``keep`` are matched each; the empty token matches nothing."""
     low = F.lower(F.col(nkey))
-    idx = names.select(*keep, low.alias("__name")).withColumn(
-        "__g", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("__name") - gram + 1, F.lit(1))),
-                                     lambda i: F.substring("__name", i, gram)))).dropDuplicates([*keep, "__g"])
-    t = tokens.select(F.lower(F.col(tkey)).alias("token")).withColumn("__g", F.substring("token", 1, gram))
+    starts = F.sequence(F.lit(1), F.greatest(F.length("__name"), F.lit(1)))
+    grams = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(
+        F.sequence(F.lit(1), F.lit(gram)), lambda n: F.substring("__name", i, n)))))
+    idx = names.select(*keep, low.alias("__name")).withColumn("__g", F.explode(grams))
+    t = tokens.select(F.lower(F.col(tkey)).alias("token")).filter(F.length("token") > 0)
+    t = t.withColumn("__g", F.substring("token", 1, gram))
     return t.join(idx, "__g").filter(F.col("__name").contains(F.col("token"))).select("token", *keep)
 
 
-# Vulgar fractions accepted as rate tokens.
+# Fractions that count as rates, and what names a currency.
 FRACTIONS = ["½", "⅓", "¼", "⅕", "⅙", "⅐", "⅛", "⅑", "⅔", "⅖", "²⁄₇", "²⁄₉"]
-DATE_PATTERN = r"^(0[1-9]|1[012])/(0[1-9]|[12][0-9]|3[01])/[0-9][0-9]"
+CURRENCY_MARKS = {"dollar": ["$", "usd"], "euro": ["€", "eur"], "yen": ["¥", "yen"]}
 
 
 def _currency(t: Column) -> Column:
-    return (F.when(t.contains("$") | t.contains("usd"), F.lit("dollar"))
-            .when(t.contains("€") | t.contains("euro") | t.contains("eur"), F.lit("euro"))
-            .when(t.contains("¥") | t.contains("yen"), F.lit("yen")))
+    """The first currency of the table one of whose marks the token holds."""
+    out = F.lit(None).cast("string")
+    for name, marks in reversed(CURRENCY_MARKS.items()):
+        out = F.when(reduce(lambda a, b: a | b, [t.contains(m) for m in marks]), F.lit(name)).otherwise(out)
+    return out
+
+
+def _two_digits(t: Column, lo: int, hi: int) -> Column:
+    """The number a two-character text writes, where it lies in lo..hi."""
+    n = F.when(F.length(t) == 2, t.try_cast("int"))
+    return F.when(n.between(lo, hi), n)
+
+
+def _month_day_year(t: Column) -> Column:
+    """A token that starts with month/day/year (two digits each) as a date of this century, else NULL. The token counts when its
+    numbers lie in 1..12 and 1..31, the date is NULL when the month has no such day."""
+    part = F.split(t, "/")
+    m, d = _two_digits(F.get(part, F.lit(0)), 1, 12), _two_digits(F.get(part, F.lit(1)), 1, 31)
+    y = _two_digits(F.substring(F.get(part, F.lit(2)), 1, 2), 0, 99)
+    return F.when(m.isNotNull() & d.isNotNull() & y.isNotNull(), F.struct(m.alias("m"), d.alias("d"), y.alias("y")))
 
 
 def _is_rate(t: Column) -> Column:
-    n_dot = F.length(t) - F.length(F.regexp_replace(t, r"\.", ""))
-    n_pct = F.length(t) - F.length(F.regexp_replace(t, "%", ""))
-    digits = F.regexp_replace(t, r"[.%]", "")
-    return (((n_dot <= 1) & (n_pct <= 1) & digits.rlike("^[0-9]+$"))
-            | t.isin(*FRACTIONS))
+    """Digits with at most one point and one percent sign, or a listed fraction."""
+    count = lambda c: F.length(t) - F.length(F.replace(t, F.lit(c), F.lit("")))
+    digits = F.translate(t, ".%", "")
+    return (digits.rlike("^[0-9]+$") & (count(".") <= 1) & (count("%") <= 1)) | t.isin(*FRACTIONS)
 
 
 def extract_trade_fields(df: DataFrame, text: str) -> DataFrame:
     """TXT-1: split on single spaces; currency of the first token naming one; the
-    first 'MM/dd/yy' token as a date (20yy); rate and fraction tokens joined by
+    first month/day/year token as a date (20yy); rate and fraction tokens joined by
     spaces. Works on the token array with higher-order functions, no explode."""
     toks = F.split(F.col(text), " ")
     cur = F.get(F.filter(F.transform(toks, _currency), lambda x: x.isNotNull()), 0)
-    dtok = F.get(F.filter(toks, lambda t: t.rlike(DATE_PATTERN)), 0)
-    date = F.try_to_date(F.concat(F.lit("20"), F.substring(dtok, 7, 2), F.lit("-"), F.substring(dtok, 1, 2),
-                                  F.lit("-"), F.substring(dtok, 4, 2)), "yyyy-MM-dd")
+    first = F.get(F.filter(F.transform(toks, _month_day_year), lambda x: x.isNotNull()), 0)
+    date = F.try_to_date(F.format_string("%04d-%02d-%02d", first["y"] + 2000, first["m"], first["d"]), "yyyy-MM-dd")
     rates = F.array_join(F.filter(toks, _is_rate), " ")
-    return df.withColumns({"currency": cur, "trade_date": date, "rates": rates})
+    return df.withColumns({"currency": cur, "trade_date": F.when(first.isNotNull(), date), "rates": rates})

@@ -146,7 +146,7 @@ def split_count_importance(pipeline_model, features: Sequence[str], path: str) -
     idx = F.col("nodeData.split.featureIndex")
     counts = nodes.filter(idx >= 0).groupBy(idx.alias("feature_index")).agg(F.count(F.lit(1)).alias("n_splits"))
     names = spark.createDataFrame(list(enumerate(features)), "feature_index int, feature string")
-    return F.broadcast(names).join(counts, "feature_index", "left").fillna(0, subset=["n_splits"])
+    return names.join(counts, "feature_index", "left").fillna(0, subset=["n_splits"])
 
 
 def learning_curve(gbt_pipeline_model, train: DataFrame, test: DataFrame, label: str) -> DataFrame:

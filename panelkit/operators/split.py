@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.operators.windows import _row_index
+from panelkit.operators.windows import row_index
+from panelkit.session import cut_lineage
 
 
 def split_ordered(df: DataFrame, order: Sequence[str], frac: float = 0.8, out: str = "split") -> DataFrame:
-    """SPL-1: first floor(frac * n) rows in ``order`` are 'train', the rest 'test'.
-    Global index without a single-partition window (see ``row_index``); n is the
-    row count of the materialized input."""
-    idx, n = _row_index(df, order, out="__idx")
-    cut = int(n * frac)  # floor for n >= 0
-    return idx.withColumn(out, F.when(F.col("__idx") <= cut, "train").otherwise("test")).drop("__idx")
+    """SPL-1: first floor(frac * n) rows in ``order`` (NULLs first, ties broken arbitrarily) are 'train', the rest 'test'.
+
+    Rows are counted per value of the leading column; only the rows of the one value
+    that holds the cut are numbered (``row_index``), all others are decided by comparing values."""
+    lead, src = order[0], cut_lineage(df, "split")
+    counts = src.groupBy(F.col(lead).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    upto = Window.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)  # one row per leading value
+    run = counts.withColumns({"__upto": F.sum("__c").over(upto), "__n": F.sum("__c").over(Window.partitionBy())})
+    run = run.withColumn("__cut", F.floor(F.col("__n") * F.lit(frac)))
+    edge = run.filter(F.col("__upto") > F.col("__cut")).orderBy("__upto").select(
+        F.col("__v"), (F.col("__cut") - (F.col("__upto") - F.col("__c"))).alias("__take")).first()
+    if edge is None:  # no row is left for the test side
+        return src.withColumn(out, F.lit("train"))
+    at, value = F.col(lead), F.lit(edge["__v"]).cast(df.schema[lead].dataType)
+    same = at.eqNullSafe(value)
+    first = F.lit(False) if edge["__v"] is None else F.coalesce(at < value, F.lit(True))
+    rest = src.filter(~same).withColumn(out, F.when(first, "train").otherwise("test"))
+    on = row_index(src.filter(same), order, out="__idx")
+    on = on.withColumn(out, F.when(F.col("__idx") <= edge["__take"], "train").otherwise("test")).drop("__idx")
+    return rest.unionByName(on)
 
 
 def split_time(df: DataFrame, ts: str, cut, inclusive: bool = True, out: str = "split") -> DataFrame:
@@ -44,19 +59,26 @@ def split_by_group(df: DataFrame, group: str, threshold: str = "d999", seed: int
     return split_random(df, group, threshold, seed, out)
 
 
-def one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = 1000) -> DataFrame:
-    """ENC-1: one 0/1 column per level (sorted) of every string column; the level
-    list comes from one distinct aggregate per column (bounded by ``max_levels``)."""
+def one_hot(df: DataFrame, levels: Mapping[str, Sequence]) -> DataFrame:
+    """ENC-1: one 0/1 column per given level of each column, which is dropped. NULL and other values are 0 in
+    every column."""
     out = df
-    for c in cols:
-        levels = [r[0] for r in df.select(c).distinct().orderBy(c).limit(max_levels + 1).collect()
-                  if r[0] is not None]
-        if len(levels) > max_levels:
-            raise ValueError(f"{c} has more than {max_levels} levels")
-        out = out.withColumns({f"{c}_{lv}": (F.col(c) == F.lit(lv)).cast("int") for lv in levels}).drop(c)
+    for c, values in levels.items():
+        out = out.withColumns({f"{c}_{v}": F.col(c).eqNullSafe(F.lit(v)).cast("int") for v in values}).drop(c)
     return out
 
 
+def one_hot_sparse(df: DataFrame, cols: Sequence[str], suffix: str = "_vec") -> DataFrame:
+    """ENC-1 for any number of levels: a sparse 0/1 vector per column, levels in order of their text; NULL is
+    a level of its own (the last)."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    cols = list(cols)
+    idx = StringIndexer(inputCols=cols, outputCols=[f"__{c}" for c in cols], stringOrderType="alphabetAsc",
+                        handleInvalid="keep").fit(df).transform(df)
+    enc = OneHotEncoder(inputCols=[f"__{c}" for c in cols], outputCols=[f"{c}{suffix}" for c in cols], dropLast=False)
+    return enc.fit(idx).transform(idx).drop(*[f"__{c}" for c in cols])
+
+
 def assemble_features(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     """ENC-4: dense feature vector (rows with NULL features must be dropped first)."""
     from pyspark.ml.feature import VectorAssembler

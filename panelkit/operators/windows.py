@@ -13,18 +13,19 @@ the window work per entity is bounded however skewed the raw fact is.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.session import cut_lineage
+
 UP = Window.unboundedPreceding
 
 
-def _w(entity: str | Sequence[str] | None, order: str | Sequence[str], desc: bool = False):
+def _w(entity: str | Sequence[str], order: str | Sequence[str], desc: bool = False):
     order = [order] if isinstance(order, str) else list(order)
     cols = [F.col(o).desc() if desc else F.col(o).asc() for o in order]
-    if entity is None:
-        return Window.orderBy(*cols)
     ents = [entity] if isinstance(entity, str) else list(entity)
     return Window.partitionBy(*ents).orderBy(*cols)
 
@@ -231,62 +232,33 @@ def interpolate_daily_to_hours(hourly: DataFrame, ts: str, daily: DataFrame, day
     return j.withColumn(out, val).drop("__d", "__v", "__pv", "__pt", "__nv", "__nt")
 
 
-def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
-    """Index of the first bound greater than ``key`` (0..len(bounds)), as a
-    balanced tree of comparisons: O(log n) evaluations per row."""
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < bounds[mid], build(lo, mid)).otherwise(build(mid + 1, hi))
-    return build(0, len(bounds))
-
-
 def row_index(df: DataFrame, order: Sequence[str], out: str = "row_idx", start: int = 1,
-              num_partitions: int | None = None, sample_per_bucket: int = 20, seed: int = 17) -> DataFrame:
+              num_partitions: int | None = None) -> DataFrame:
     """WIN-25 / SPL-1: global 1-based row index in a total order, without a
     single-partition window.
 
-    The input is materialized once in the shared checkpoint folder (the count,
-    the bound sample and the numbering all read it, instead of recomputing the
-    lineage three times). Range bounds are drawn from a bounded sample (about
-    ``sample_per_bucket`` rows per bucket) and frozen as literals, so the bucket
-    of a row is a pure function of its key: recomputed tasks (executor loss)
-    and both uses below agree. Rows are numbered inside their bucket; each
-    bucket's offset is the running count of earlier buckets (one row per
-    bucket, broadcast). ``order`` must be a unique, non-NULL key; buckets are
-    then balanced however skewed the leading column is.
+    The rows are range-partitioned and sorted once (Spark samples the bounds) and
+    written to the shared folder together with their partition and place in it; every
+    partition's offset is the running count of those before it (one row per
+    partition). ``order`` should be unique; NULLs come first, ties are numbered arbitrarily but once.
     """
-    return _row_index(df, order, out, start, num_partitions, sample_per_bucket, seed)[0]
-
-
-def _row_index(df: DataFrame, order: Sequence[str], out: str = "row_idx", start: int = 1,
-               num_partitions: int | None = None, sample_per_bucket: int = 20, seed: int = 17):
-    from panelkit.session import cut_lineage
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = list(order)
-    df = cut_lineage(df)
-    key = F.struct(*[F.col(c) for c in order])
-    total = df.count()
-    frac = min(1.0, sample_per_bucket * n / max(total, 1))
-    sample = df.select(*order).sample(False, frac, seed).orderBy(*order).collect()
-    picks = sorted({int(len(sample) * i / n) for i in range(1, n)} - {0, len(sample)})
-    types = {f.name: f.dataType for f in df.schema.fields}
-    bounds = [F.struct(*[F.lit(sample[i][c]).cast(types[c]).alias(c) for c in order]) for i in picks]
-    b = df.withColumn("__b", _bucket_expr(key, bounds) if bounds else F.lit(0))
-    counts = b.groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
-    offsets = counts.select("__b", F.coalesce(F.sum("__cnt").over(Window.orderBy("__b").rowsBetween(UP, -1)),
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # monotonically_increasing_id is (partition << 33) + place in the partition
+    placed = cut_lineage(ranged.withColumn("__id", F.monotonically_increasing_id()), "ranged")
+    placed = placed.withColumn("__p", F.shiftright("__id", 33))
+    counts = placed.groupBy("__p").agg(F.count(F.lit(1)).alias("__c"))
+    offsets = counts.select("__p", F.coalesce(F.sum("__c").over(Window.orderBy("__p").rowsBetween(UP, -1)),
                                               F.lit(0)).alias("__off"))
-    rn = F.row_number().over(Window.partitionBy("__b").orderBy(*order))
-    indexed = (b.withColumn("__rn", rn).join(F.broadcast(offsets), "__b")
-               .withColumn(out, (F.col("__off") + F.col("__rn") + (start - 1)).cast("long"))
-               .drop("__b", "__rn", "__off"))
-    return indexed, total
+    place = F.col("__id") - F.shiftleft("__p", 33)
+    return (placed.join(F.broadcast(offsets), "__p")  # one row per partition
+            .withColumn(out, (F.col("__off") + place + start).cast("long")).drop("__p", "__id", "__off"))
 
 
 def dense_group_id(df: DataFrame, cols: Sequence[str], out: str = "group_id") -> DataFrame:
-    """WIN-26: dense 1-based id per distinct combination of ``cols`` (sorted),
-    numbered on the distinct dimension and joined back."""
+    """WIN-26: dense 1-based id per distinct combination of ``cols`` (sorted, NULLs first and a group like
+    others), numbered on the distinct dimension and joined back."""
     dim = row_index(df.select(*cols).distinct(), cols, out=out)
-    return df.join(dim, list(cols), "left")
+    dim = dim.select(*[F.col(c).alias(f"__{c}") for c in cols], out)
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(dim[f"__{c}"]) for c in cols])
+    return df.join(dim, same, "left").drop(*[f"__{c}" for c in cols])

@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.operators import aggregates as agg
 from panelkit.operators import joins as jn
+from panelkit.operators.joins import sample_rows
 from panelkit.plans.common import H, M, W, dense_panel, fact, fact_sql, panel_ctes, round_dec, rounded
 from panelkit.plans.registry import register, with_ctes
-from panelkit.session import checkpoint_dir
+from panelkit.session import scratch_path
 from panelkit.sources import io, testdata as td
 from pyspark.sql import types as T
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{tag}-{uuid.uuid4().hex}")
+    return scratch_path(spark, tag)
 
 
 CUSTOMER_SCHEMA = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
@@ -80,13 +77,14 @@ def scn1_preview(spark: SparkSession, d: str) -> DataFrame:
     return o.orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(5).select("o_orderkey", "o_totalprice")
 
 
-CATALOG_TABLES = ("customer", "orders", "part")
+CATALOG_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+                  "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @register("scn2_schema_catalog", """
 SELECT CAST(ordinal_position AS INTEGER) AS position, """ + ", ".join(
     f"coalesce(max(CASE WHEN table_name = '{t}' THEN column_name END), '') AS {t}" for t in CATALOG_TABLES) + """
-FROM information_schema.columns WHERE table_name IN ('customer', 'orders', 'part') GROUP BY 1""")
+FROM information_schema.columns WHERE table_name IN (""" + ", ".join(f"'{t}'" for t in CATALOG_TABLES) + ") GROUP BY 1")
 def scn2_schema_catalog(spark: SparkSession, d: str) -> DataFrame:
     """One column per table listing its column names, padded with ''."""
     rows = []
@@ -102,8 +100,14 @@ def scn2_schema_catalog(spark: SparkSession, d: str) -> DataFrame:
 SELECT o_orderkey, o_custkey FROM orders ORDER BY md5(concat(CAST(o_orderkey AS VARCHAR), '#42')), o_orderkey LIMIT 100""")
 def scn3_sample_rows(spark: SparkSession, d: str) -> DataFrame:
     """Deterministic sample of n rows: order by a keyed digest (top-k, no driver sort)."""
-    o = td.table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return o.orderBy(F.md5(F.concat(F.col("o_orderkey").cast("string"), F.lit("#42"))), "o_orderkey").limit(100)
+    return sample_rows(td.table(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", n=100)
+
+
+@register("scn3_sample_fraction", """
+SELECT o_orderkey, o_custkey FROM orders WHERE substr(md5(concat(CAST(o_orderkey AS VARCHAR), '#42')), 1, 8) < '40000000'""")
+def scn3_sample_fraction(spark: SparkSession, d: str) -> DataFrame:
+    """A quarter of the orders, the same ones on every run."""
+    return sample_rows(td.table(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", fraction=0.25)
 
 
 # ---------------------------------------------------------------- projection

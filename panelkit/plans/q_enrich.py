@@ -91,8 +91,8 @@ def support(spark: SparkSession, d: str) -> DataFrame:
 
 @register("enr5_rebuild_promotions", with_ctes(*COUPON_SQL, SUPPORT_SQL, body="""
 SELECT p.week_no, p.household_key, p.num_coupons,
-  round(lead(s.time_spent_on_app) OVER (PARTITION BY p.household_key ORDER BY p.week_no), 2) AS time_in_app,
-  round(s.supporting, 5) AS weekly_bonus_points
+  round_even(lead(s.time_spent_on_app) OVER (PARTITION BY p.household_key ORDER BY p.week_no), 2) AS time_in_app,
+  round_even(s.supporting, 5) AS weekly_bonus_points
 FROM promo p LEFT JOIN support s ON p.week_no = s.week_no AND p.household_key = s.household_key"""))
 def enr5_rebuild_promotions(spark: SparkSession, d: str) -> DataFrame:
     promo = coupon_activity(spark, d).select(H, W, "num_coupons")

@@ -56,14 +56,14 @@ def fair3_weighted_difference(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- matching
 WORDS_SQL = """words AS (
-  SELECT DISTINCT lower(w) AS token FROM (SELECT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS w FROM documents)
-  WHERE length(w) >= 3)"""
+  SELECT DISTINCT lower(w) AS token FROM (SELECT unnest(regexp_split_to_array(text, '[^\\p{L}]+')) AS w FROM documents)
+  WHERE length(w) >= 1)"""
 
 
 def words(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct ASCII words (3+ letters) of every document, lower-cased."""
-    docs = td.table(spark, d, "documents").select(F.explode(F.split("text", "[^A-Za-z]+")).alias("w"))
-    return docs.filter(F.length("w") >= 3).select(F.lower("w").alias("token")).distinct()
+    """Distinct words (runs of letters of any script) of every document, lower-cased."""
+    docs = td.table(spark, d, "documents").select(F.explode(F.split("text", r"[^\p{L}]+")).alias("w"))
+    return docs.filter(F.length("w") >= 1).select(F.lower("w").alias("token")).distinct()
 
 
 def part_names(spark: SparkSession, d: str) -> DataFrame:
@@ -71,12 +71,13 @@ def part_names(spark: SparkSession, d: str) -> DataFrame:
     return td.table(spark, d, "part").select(F.lower("p_name").alias("name")).distinct()
 
 
+# DuckDB's levenshtein counts bytes: letters beyond ASCII occur in no part name, so one sign stands for each.
 @register("mat2_best_match", with_ctes(WORDS_SQL, body="""
 SELECT token, best_match, score, CAST(score AS VARCHAR) || '%' AS score_text FROM (
   SELECT w.token, n.name AS best_match,
-    CAST(round(100.0 * (1.0 - levenshtein(w.token, n.name) / greatest(length(w.token), length(n.name)))) AS INTEGER) AS score,
+    CAST(round(100.0 * (1.0 - levenshtein(regexp_replace(w.token, '[^\\x00-\\x7F]', '#', 'g'), n.name) / greatest(length(w.token), length(n.name)))) AS INTEGER) AS score,
     row_number() OVER (PARTITION BY w.token ORDER BY
-      round(100.0 * (1.0 - levenshtein(w.token, n.name) / greatest(length(w.token), length(n.name)))) DESC, n.name) AS rn
+      round(100.0 * (1.0 - levenshtein(regexp_replace(w.token, '[^\\x00-\\x7F]', '#', 'g'), n.name) / greatest(length(w.token), length(n.name)))) DESC, n.name) AS rn
   FROM words w JOIN (SELECT DISTINCT lower(p_name) AS name FROM part) n ON substr(w.token, 1, 3) = substr(n.name, 1, 3))
 WHERE rn = 1"""))
 def mat2_best_match(spark: SparkSession, d: str) -> DataFrame:
@@ -98,23 +99,33 @@ def mat3_contains_match(spark: SparkSession, d: str) -> DataFrame:
     return mt.contains_match(words(spark, d), parts, "token", "p_name", ["p_partkey"])
 
 
-FR_SQL = "[" + ", ".join(f"'{x}'" for x in mt.FRACTIONS) + "]"
+# The oracle's own statement of the contract's fixed values.
+FR_SQL = "['½', '⅓', '¼', '⅕', '⅙', '⅐', '⅛', '⅑', '⅔', '⅖', '²⁄₇', '²⁄₉']"
 
 
-@register("txt1_extract_trade_fields", f"""
-WITH t AS (SELECT doc_id, string_split(text, ' ') AS toks FROM documents)
+DATED_SQL = """t AS (SELECT doc_id, string_split(text || ' ' || strftime(DATE '2000-01-01' + CAST(doc_id % 9000 AS INTEGER), '%m/%d/%y')
+    || ' 13/01/20 ' || CASE doc_id % 3 WHEN 0 THEN '5usd' WHEN 1 THEN '€7' ELSE '' END || ' 1.5% ½', ' ') AS toks FROM documents)"""
+
+
+def dated(spark: SparkSession, d: str) -> DataFrame:
+    """The documents' texts, each with a date, currency and rate tokens that follow from its doc_id."""
+    day = F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), (F.col("doc_id") % 9000).cast("int")), "MM/dd/yy")
+    cur = F.when(F.col("doc_id") % 3 == 0, "5usd").when(F.col("doc_id") % 3 == 1, "€7").otherwise("")
+    return td.table(spark, d, "documents").select("doc_id", F.concat(
+        F.col("text"), F.lit(" "), day, F.lit(" 13/01/20 "), cur, F.lit(" 1.5% ½")).alias("text"))
+
+
+@register("txt1_extract_trade_fields", with_ctes(DATED_SQL, body=f"""
 SELECT doc_id,
   list_filter(list_transform(toks, lambda x: CASE WHEN contains(x, '$') OR contains(x, 'usd') THEN 'dollar'
-    WHEN contains(x, '€') OR contains(x, 'euro') OR contains(x, 'eur') THEN 'euro'
+    WHEN contains(x, '€') OR contains(x, 'eur') THEN 'euro'
     WHEN contains(x, '¥') OR contains(x, 'yen') THEN 'yen' END), lambda y: y IS NOT NULL)[1] AS currency,
-  CAST(try_strptime('20' || substr(list_filter(toks, lambda x: regexp_matches(x, '{mt.DATE_PATTERN}'))[1], 7, 2) || '-' ||
-    substr(list_filter(toks, lambda x: regexp_matches(x, '{mt.DATE_PATTERN}'))[1], 1, 2) || '-' ||
-    substr(list_filter(toks, lambda x: regexp_matches(x, '{mt.DATE_PATTERN}'))[1], 4, 2), '%Y-%m-%d') AS DATE) AS trade_date,
+  CAST(list_filter(list_transform(toks, lambda x: try_strptime(substr(x, 1, 8), '%m/%d/%y')),
+    lambda z: z IS NOT NULL)[1] AS DATE) AS trade_date,
   array_to_string(list_filter(toks, lambda x: (length(x) - length(replace(x, '.', '')) <= 1
     AND length(x) - length(replace(x, '%', '')) <= 1
     AND regexp_full_match(replace(replace(x, '.', ''), '%', ''), '[0-9]+')) OR list_contains({FR_SQL}, x)), ' ') AS rates
-FROM t""")
+FROM t"""))
 def txt1_extract_trade_fields(spark: SparkSession, d: str) -> DataFrame:
     """Currency, first MM/dd/yy date and rate tokens of every document (whole texts)."""
-    docs = td.table(spark, d, "documents").select("doc_id", "text")
-    return mt.extract_trade_fields(docs, "text").drop("text")
+    return mt.extract_trade_fields(dated(spark, d), "text").drop("text")

@@ -178,7 +178,7 @@ def str1_range_midpoint(spark: SparkSession, d: str) -> DataFrame:
 
 
 CAP_SQL = ("CASE WHEN {c} IN ('None/Unknown', 'Unknown') THEN 0 "
-           "ELSE coalesce(TRY_CAST(replace({c}, '+', '') AS INTEGER), 0) END")
+           "ELSE TRY_CAST(replace({c}, '+', '') AS INTEGER) END")
 
 
 @register("str2_capped_int", with_ctes(td.DEMOGRAPHICS_SQL, body=f"""

@@ -36,24 +36,6 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Round-robin repartition when a scan cannot give every core a task.
-
-    A file scan is split by file and row group; an input of fewer files than
-    ``min_tasks`` (default: the default parallelism) may run the whole scan and
-    everything fused with it in a handful of tasks. Only then pay one shuffle to
-    spread CPU-heavy per-row work; inputs of many files (the cluster case) pass
-    through unchanged.
-    """
-    spark = df.sparkSession
-    target = min_tasks or spark.sparkContext.defaultParallelism
-    try:
-        n_files = len(df.inputFiles())
-    except Exception:  # noqa: BLE001 - not a file scan
-        return df
-    return df if n_files >= target else df.repartition(target)
-
-
 def write_csv(df: DataFrame, path: str, *, null_value: str = "", mode: str = "overwrite") -> None:
     """SNK-1: CSV with header, no index column, NULL written as empty."""
     df.write.mode(mode).option("header", True).option("nullValue", null_value).csv(path)

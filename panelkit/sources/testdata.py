@@ -19,19 +19,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.sources.io import load_table, spread
+from panelkit.sources.io import load_table
 
 EPOCH = "1995-01-01"
 
 
-FACT_TABLES = ("lineitem", "orders", "documents", "events", "pages", "conversations")
-
-
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A driver table; fact tables are spread over all cores when the file
-    layout cannot (single-file, single-row-group inputs)."""
-    df = load_table(spark, d, name)
-    return spread(df) if name in FACT_TABLES else df
+    """A driver table, split into tasks by file and row group as Spark reads it."""
+    return load_table(spark, d, name)
 
 
 def day_number(ts_col) -> F.Column:

@@ -10,14 +10,11 @@ sink live under the shared checkpoint folder, so a restarted query resumes.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.session import checkpoint_dir
+from panelkit.session import checkpoint_dir, scratch_path
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -38,8 +35,8 @@ def run_event_fact(spark: SparkSession, source: str, window: str = "1 day", dela
                    run_id: str | None = None, glob: str | None = None) -> str:
     """Run the stream over every file currently in the ``source`` folder (matching
     ``glob``), with the availableNow trigger, and return the sink path."""
-    base = os.path.join(checkpoint_dir(spark), f"stream-{run_id or uuid.uuid4().hex}")
-    sink, ckpt = os.path.join(base, "sink"), os.path.join(base, "checkpoint")
+    base = f"{checkpoint_dir(spark)}/stream-{run_id}" if run_id else scratch_path(spark, "stream")
+    sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
     reader = spark.readStream.schema(EVENTS_SCHEMA)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -50,3 +47,18 @@ def run_event_fact(spark: SparkSession, source: str, window: str = "1 day", dela
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return sink
+
+
+def open_windows(events: DataFrame, entity: str, ts: str, value: str, window: str, delay: str) -> DataFrame:
+    """The windows the watermark has not closed yet, from the events at hand: what append mode holds back."""
+    latest = events.agg(F.max(F.col(ts).cast("timestamp")).alias("__t"))
+    w = windowed_fact_batch(events, entity, ts, value, window)
+    late = F.col("window_end") > F.col("__t") - F.expr(f"INTERVAL {delay}")
+    return w.crossJoin(F.broadcast(latest)).filter(late).drop("__t")  # one row
+
+
+def windowed_fact_batch(events: DataFrame, entity: str, ts: str, value: str, window: str) -> DataFrame:
+    return (events.groupBy(F.window(F.col(ts).cast("timestamp"), window).alias("w"), F.col(entity))
+            .agg(F.sum(value).alias("value_sum"), F.count(F.lit(1)).alias("n_events"))
+            .select(entity, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "value_sum", "n_events"))
