@@ -3,6 +3,7 @@
 from panelkit.plans import registry  # noqa: F401
 from panelkit.plans import (  # noqa: F401
     q_panel,
+    q_weekly,
     q_windows,
     q_basic,
     q_aggs,
