@@ -12,6 +12,7 @@ from panelkit.llm.langid import identify
 from panelkit.llm.lm_score import score_texts
 from panelkit.llm.mixing import mix_sources
 from panelkit.llm.ngram_join import ngram_components
+from panelkit.llm.oracles import ORACLES  # noqa: F401
 from panelkit.llm.packing import pack_sequences
 from panelkit.llm.secret_scan import scan_secrets, span_text
 from panelkit.llm.tool_calls import TURN_SCHEMAS, exchanges, link_calls
@@ -49,13 +50,6 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-OP5_SQL = """
-WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
-  FROM documents)
-SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
-  doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM n"""
-
-
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed by weights 3, 1, 2 to 150 % of all words, at most two epochs each."""
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
@@ -102,6 +96,3 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_ngram_join": op10_ngram_join,
 }
-ORACLES = {
-    "op5_exact_dedup": OP5_SQL,
-}
