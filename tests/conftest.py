@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("local[4]", app="panelkit-tests", shuffle_partitions=8)
+    own = tempfile.mkdtemp(prefix="panelkit-tests-")
+    s = get_spark("local[4]", app="panelkit-tests", shuffle_partitions=8,
+                  extra={"spark.checkpoint.dir": f"{own}/checkpoints", "spark.sql.warehouse.dir": f"{own}/warehouse"})
     yield s
 
 
