@@ -144,13 +144,14 @@ HOURLY_SQL = """hourly AS (
 
 
 def daily_weather(spark: SparkSession, d: str) -> DataFrame:
-    """Daily 'temperature': mean value of 'view' events per day."""
-    e = table(spark, d, "events").filter(F.col("event_type") == "view")
+    """Daily 'temperature': mean value of 'view' events per day; every fourth day of a month is not observed."""
+    e = table(spark, d, "events").filter((F.col("event_type") == "view") & (F.dayofmonth("ts") % 4 != 0))
     return e.groupBy(F.to_date("ts").alias("date")).agg(F.avg("value").alias("temp"))
 
 
 WEATHER_SQL = """weather AS (
-  SELECT CAST(ts AS DATE) AS date, avg(value) AS temp FROM events WHERE event_type = 'view' GROUP BY 1)"""
+  SELECT CAST(ts AS DATE) AS date, avg(value) AS temp FROM events
+  WHERE event_type = 'view' AND day(ts) % 4 <> 0 GROUP BY 1)"""
 
 
 def credit(spark: SparkSession, d: str) -> DataFrame:
