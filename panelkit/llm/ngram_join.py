@@ -3,7 +3,7 @@
 A text's set of word n-grams is ordered by one global order: frequent n-grams last,
 the others by hash. Texts with the same set are one class. Two sets of Jaccard at
 least t share an n-gram among the first |x| - ceil(t |x|) + 1 of each, so these first
-edges deal the classes to the sub-trees of the tree. Inside a sub-tree every set is the
+edges deal the classes to the sub-trees of the tree (edges with the same smallest class to one). Inside a sub-tree every set is the
 path of its counts over consecutive ranges of the hash order; paths with a common start
 are one node. The sub-tree is joined with itself level by level on pairs of nodes: a
 pair carries the overlap so far (shared by all sets below it) and is cut as soon as
@@ -11,8 +11,8 @@ that and the remaining lengths cannot reach the overlap the threshold asks for.
 
 Pairs that survive are bounds, not links: links are checked on the full sets. A first
 pass proposes a spanning forest per sub-tree, which is linear in its members;
-after the components of its verified links, a second pass proposes every surviving pair that still joins
-two components and was not tested. So no link between components is lost and copies are
+where one of its proposals fails, a second pass over that sub-tree proposes every surviving pair that
+still joins two components. So no link between components is lost and copies are
 never expanded into all pairs.
 """
 
@@ -55,15 +55,22 @@ def set_key(s: np.ndarray) -> tuple[int, int]:
 
 
 def path(s: np.ndarray) -> np.ndarray:
-    """Counts of the sorted hashes over equal ranges, about four hashes to a range."""
-    bits = max(4, int(len(s) // 4).bit_length())
+    """Counts of the sorted hashes over equal ranges, two to a byte: two ranges a hash for small sets, half a range for
+    large ones, and finer where a count would pass 15."""
+    n = len(s)
+    bits = max(4, (2 * n).bit_length() if n <= 512 else max(10, (n // 2).bit_length()))
     while True:
         c = np.bincount((s >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
-        if c.max() <= 255:
-            return c.astype(np.uint8)
+        if c.max() <= 15:
+            return (c[::2] * 16 + c[1::2]).astype(np.uint8)
         bits += 1
 
 
+def counts(packed: bytes) -> np.ndarray:
+    b = np.frombuffer(packed, np.uint8)
+    return np.stack([b >> 4, b & 15], axis=1).ravel()
+
+
 def need(a, b, t: int):
     """Least overlap of sets of sizes a and b that reaches t percent."""
     return -(-(t * (a + b)) // (100 + t))
@@ -94,7 +101,8 @@ def frequent_ngrams(docs: DataFrame, text: str, size: int, lower: bool, part: in
 
     counts = docs.select(text).mapInArrow(count, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
     least = max(8, docs.count() // part)
-    return np.sort(np.array([r.g for r in counts.filter(F.col("c") >= least).select("g").collect()], SIGNED).view(U))
+    found = counts.filter(F.col("c") >= least).select("g").toArrow()
+    return np.sort(found["g"].to_numpy().view(U))
 
 
 def text_digest(text: str) -> F.Column:
@@ -139,7 +147,7 @@ class Members:
 
     def __init__(self, group: np.ndarray, n: np.ndarray, paths: list[bytes]):
         self.group, self.n = group, n
-        self.rows = [np.frombuffer(p, np.uint8) for p in paths]
+        self.rows = [counts(p) for p in paths]
         self.width = np.array([len(r) for r in self.rows])
 
     def pairs(self, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,7 +165,7 @@ class Members:
             take = np.concatenate([own, more])
             if len(take) < 2:
                 continue
-            rows = np.empty((len(take), w), np.uint16 if len(more) else np.uint8)
+            rows = np.empty((len(take), w), np.uint16 if len(more) and self.width[more].max() > 16 * w else np.uint8)
             for k, m in enumerate(take):
                 r = self.rows[m]
                 rows[k] = r if len(r) == w else r.reshape(w, -1).sum(1)
@@ -183,8 +191,8 @@ def join_tree(group, n, rows, folded, t):
         key = np.ascontiguousarray(np.concatenate([node.astype(np.int32)[:, None].view(np.uint8),
                                                    np.ascontiguousarray(chunk).view(np.uint8)], axis=1))
         _, at, child = np.unique(key.view(f"V{key.shape[1]}").ravel(), return_index=True, return_inverse=True)
-        parent, chunk = node[at], chunk[at].astype(np.int16)
-        spent = used[parent] + chunk.sum(1)
+        parent, chunk = node[at], chunk[at]
+        spent = used[parent] + chunk.sum(1, dtype=np.int64)
         low = np.full(len(at), np.iinfo(np.int64).max)
         high = np.zeros(len(at), np.int64)
         np.minimum.at(low, child, n)
@@ -196,13 +204,13 @@ def join_tree(group, n, rows, folded, t):
         kids = np.diff(first)
         i2, j2, a2 = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         side, below = spread(by, first, kids, u)
-        for s, e in runs(kids[v[side]], 1 << 19):
+        for s, e in runs(kids[v[side]], 1 << 18):
             rep, cj = spread(by, first, kids, v[side[s:e]])
             ci, rep = below[s:e][rep], side[s:e][rep]
             ok = (u[rep] != v[rep]) | (ci <= cj)
             ok &= (high[ci] * 100 >= t * low[cj]) & (high[cj] * 100 >= t * low[ci]) & ~(wide[ci] & wide[cj])
             ci, cj, rep = ci[ok], cj[ok], rep[ok]
-            a = acc[rep] + np.minimum(chunk[ci], chunk[cj]).sum(1)
+            a = acc[rep] + np.minimum(chunk[ci], chunk[cj]).sum(1, dtype=np.int64)
             rest = np.minimum(high[ci] - spent[ci], high[cj] - spent[cj])
             ok = a + rest >= need(low[ci], low[cj], t)
             i2.append(ci[ok]), j2.append(cj[ok]), a2.append(a[ok])
@@ -223,7 +231,7 @@ def join_tree(group, n, rows, folded, t):
 
 
 def propose(members: DataFrame, t: int, spanning: bool) -> DataFrame:
-    """Candidate pairs (a, b) of members (part, gid, block, uid, n, path, comp)."""
+    """Candidate pairs (a, b, part, gid) of members (part, gid, block, uid, n, path, comp)."""
     def run(batches):
         cols = ["part", "gid", "block", "uid", "n", "path", "comp"]
         held = None
@@ -270,10 +278,12 @@ def propose(members: DataFrame, t: int, spanning: bool) -> DataFrame:
                 k = forest(i, j, score, len(uid))
                 i, j = i[k], j[k]
             a, b = np.minimum(uid[i], uid[j]), np.maximum(uid[i], uid[j])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a), pa.array(b), pa.array(pair[i]), pa.array(sub["gid"].to_numpy()[i])],
+                ["a", "b", "part", "gid"])
 
     ordered = members.repartition("part", "gid").sortWithinPartitions("part", "gid")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return ordered.mapInArrow(run, "a long, b long, part int, gid long")
 
 
 def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, id_col: str, size: int, t: int,
@@ -293,30 +303,24 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, id_col
             s1, s2, out = [], [], []
             for s in doc_sets(col, size, hasher):
                 a, b = set_key(s)
-                s1.append(a), s2.append(b), out.append(s.tobytes())
+                s1.append(a), s2.append(b), out.append(s.view(SIGNED))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(out, pa.binary())], ["s1", "s2", "s"])
+                [pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(out, pa.list_(pa.int64()))],
+                ["s1", "s2", "s"])
 
     rows = docs.select(bloom.mark(id_col).alias("m"), F.col(text).alias("text"))
-    rows = rows.mapInArrow(sets, "s1 long, s2 long, s binary").dropDuplicates(["s1", "s2"])
+    rows = rows.mapInArrow(sets, "s1 long, s2 long, s array<long>").dropDuplicates(["s1", "s2"])
     full = cut_lineage(rows.join(wanted, ["s1", "s2"]).select("uid", "s"), "sets")
 
-    def check(batches):
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= t * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-
     one = full.select(F.col("uid").alias("a"), F.col("s").alias("sa"))
     two = full.select(F.col("uid").alias("b"), F.col("s").alias("sb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+    both = F.size(F.array_intersect("sa", "sb"))
+    union = F.size("sa") + F.size("sb") - both
+    return pairs.join(one, "a").join(two, "b").filter(both * 100 >= union * t).select("a", "b")
 
 
 def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", size: int = 4, percent: int = 85,
-                     lower: bool = True, frequent_part: int = 400, block: int = 1000) -> DataFrame:
+                     lower: bool = True, frequent_part: int = 8000, block: int = 1000) -> DataFrame:
     """One row per input row: a row key, ``id_col``, n_shingles, component_id, a digest of the text, and the
     component's inner number (null without n-grams).
 
@@ -327,7 +331,7 @@ def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_
     pass links on. Rows that repeat a text or an id are rows of their own and link by text.
     Empty table: no rows.
     """
-    frequent = frequent_ngrams(docs, text, size, lower, frequent_part, 1 << 22)
+    frequent = frequent_ngrams(docs, text, size, lower, frequent_part, 1 << 20)
     rows = cut_lineage(describe(docs, text, id_col, size, percent, lower, frequent), "sets")
     reps = (rows.filter("n > 0").groupBy("s1", "s2", "n")
             .agg(F.min("uid").alias("uid"), F.min("id").alias("low"), F.min_by("id", "uid").alias("id"),
@@ -336,11 +340,10 @@ def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_
 
     postings = reps.select("uid", F.explode("edges").alias("edge"))
     by_edge = W.partitionBy("edge")
-    shared = postings.select(
-        "uid", F.count("*").over(by_edge).alias("size"), F.bit_xor(F.xxhash64("uid")).over(by_edge).alias("g1"),
-        F.bit_xor(F.xxhash64("uid", F.lit(1))).over(by_edge).alias("gid")).filter("size > 1")
-    # sub-trees with the same members are one
-    shared = shared.groupBy("g1", "gid", "uid").agg(F.min("size").alias("size"))
+    # the sub-trees of all edges with the same smallest class are one, so near copies meet once, not once an edge
+    shared = (postings.select("uid", F.min("uid").over(by_edge).alias("gid"), F.count("*").over(by_edge).alias("k"))
+              .filter("k > 1").select("gid", "uid").distinct()
+              .withColumn("size", F.count("*").over(W.partitionBy("gid"))))
     n_blocks = F.ceil(F.col("size") / block).cast("int")
     shared = shared.withColumn("block", F.pmod(F.xxhash64("uid", F.lit(2)), n_blocks).cast("int"))
     other = F.explode(F.sequence(F.lit(0), n_blocks - 1))
@@ -348,24 +351,29 @@ def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_
         "gid", "uid", "block", (F.least("block", "o") * 65536 + F.greatest("block", "o")).alias("part"))
     shared = cut_lineage(shared, "members")
 
-    def members(comp: DataFrame | None) -> DataFrame:
+    def members(of: DataFrame, comp: DataFrame | None) -> DataFrame:
         info = reps.select("uid", "n", "path")
         if comp is None:
             info = info.withColumn("comp", F.col("uid"))
         else:
             info = info.join(comp, info.uid == comp.node, "left").select(
                 "uid", "n", "path", F.coalesce("component", "uid").alias("comp"))
-        return shared.join(info, "uid")
+        return of.join(info, "uid")
 
     def check(pairs: DataFrame) -> DataFrame:
         return cut_lineage(verify(pairs, reps, docs, text, id_col, size, percent, lower), "links")
 
-    tried = cut_lineage(propose(members(None), percent, True), "pairs")
-    links = check(tried)
-    comp = cut_lineage(smallest_reachable(links), "components")
-    rest = cut_lineage(propose(members(comp), percent, False).join(tried, ["a", "b"], "left_anti"), "pairs")
-    if not rest.isEmpty():
-        comp = smallest_reachable(links.union(check(rest)))
+    tried = cut_lineage(propose(members(shared, None), percent, True), "pairs")
+    links = check(tried.select("a", "b").distinct())
+    comp = smallest_reachable(links)
+    # only a sub-tree with a proposal that failed can hold another pair that joins two components
+    failed = cut_lineage(tried.join(links, ["a", "b"], "left_anti"), "failed")
+    if not failed.isEmpty():
+        comp = cut_lineage(comp, "components")
+        left = shared.join(failed.select("part", "gid").distinct(), ["part", "gid"], "left_semi")
+        rest = propose(members(left, comp), percent, False).select("a", "b").distinct()
+        rest = rest.join(failed.select("a", "b").distinct(), ["a", "b"], "left_anti")
+        comp = smallest_reachable(links.union(check(cut_lineage(rest, "pairs"))))
     low = reps.select("s1", "s2", "n", "uid", "low").join(comp, F.col("uid") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "uid"))
     least = low.groupBy("component").agg(F.min("low").alias("component_id"))
