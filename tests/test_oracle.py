@@ -7,7 +7,7 @@ from panelkit.plans import ORACLES, QUERIES
 from panelkit.testing import compare, duck
 from tests.conftest import SF_SMALL
 
-# model fitting is exercised on sf0.001 too, but the slow grid search only here
+# 40 and 4 boosted fits: run by the driver's correctness pass, too slow for a unit test
 SLOW = {"ml7_grid_search_cv", "ml8_compare_models"}
 
 
@@ -27,7 +27,8 @@ def test_query_matches_oracle(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
 def test_rows_only_query_runs(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
-    assert df.count() >= 0 and len(df.columns) > 0
+    rows = df.collect()  # every column is computed
+    assert rows and all(len(r) == len(df.columns) for r in rows)
 
 
 def test_entry_smoke(spark):
