@@ -17,98 +17,144 @@ bounded, and a lost task is done again with the same result.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import deque
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END_OF_TEXT = 0
 
 
-def window_cuts(at: list[int], penalty: list[float], length: int, per_window: float = 0.0) -> list[int]:
+def window_cuts(at: np.ndarray, penalty: np.ndarray, length: int, per_window: float = 0.0) -> list[int]:
     """Least-cost cuts of a stream. ``at``: increasing possible cuts, from 0 to the end of the stream, no two
     neighbours further apart than ``length``; ``penalty``: cost of a cut there. Returns the indices
-    into ``at`` of the chosen cuts, the first and last included; ties take the longest window. ``per_window`` is
+    into ``at`` of the chosen cuts, the first and last included. ``per_window`` is
     the cost of one more window, which keeps short windows of a power of two rare."""
+    at = np.asarray(at)
     n = len(at)
+    # the earlier cuts a power of two away, as a list per cut
+    to, frm = [], []
+    for k in range(length.bit_length()):
+        i = np.searchsorted(at, at - (1 << k))
+        j = np.flatnonzero((at >= 1 << k) & (at[np.minimum(i, n - 1)] == at - (1 << k)))
+        to.append(j), frm.append(i[j])
+    to, frm = np.concatenate(to), np.concatenate(frm)
+    order = np.argsort(to, kind="stable")
+    first = np.searchsorted(to[order], np.arange(n + 1)).tolist()
+    exact = frm[order].tolist()
+    at, penalty = at.tolist(), (np.asarray(penalty, float) + per_window).tolist()
     cost, back = [0.0] * n, [0] * n
-    powers = [1 << k for k in range(length.bit_length()) if 1 << k <= length]
-    where = {0: 0}
-    queue = deque([(0.0, 0)])
+    queue = deque([(0.0, 0, 0)])
     for j in range(1, n):
         p = at[j]
-        while at[queue[0][1]] < p - length:
+        while queue[0][1] < p - length:
             queue.popleft()
-        best, i = queue[0]
+        best, _, i = queue[0]
         best += length - p
-        for w in powers:
-            k = where.get(p - w)
-            if k is not None and cost[k] < best:
+        for k in exact[first[j]:first[j + 1]]:
+            if cost[k] < best:
                 best, i = cost[k], k
-        best += penalty[j] + per_window
+        best += penalty[j]
         cost[j], back[j] = best, i
-        where[p] = j
         key = best + p
         while queue and queue[-1][0] > key:
             queue.pop()
-        queue.append((key, j))
+        queue.append((key, p, j))
     out = [n - 1]
     while out[-1]:
         out.append(back[out[-1]])
     return out[::-1]
 
 
+#: Fixed value: the pre-tokenisation pattern of byte-level BPE files of this kind.
+PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_letters() -> dict[str, int]:
+    """The letters such files write for the 256 bytes: printable bytes as they are, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
 class TokenStream:
-    """Token ids of texts under a byte-level BPE file, as little-endian 32-bit bytes.
+    """Token ids of texts under a byte-level BPE file.
 
-    Under this kind of pre-tokenisation a single space between other characters always begins a new piece,
-    so a text is encoded from its space-separated parts, and the frequent parts are remembered
-    (at most ``remember`` of them). A text with white space after a space, or with a
-    special token, is encoded as a whole by the tokenizer itself.
+    Under this pre-tokenisation a single space between other characters always begins a new piece,
+    so a text is encoded from its space-separated parts: the parts of a batch are made distinct, those
+    met before are remembered (at most ``remember``), new ones are encoded from the file's merges, and the ids
+    are gathered. A text with white space after a space, or with a special
+    token, is encoded as a whole by the tokenizer itself.
     """
 
-    def __init__(self, path: str, remember: int = 200_000):
+    def __init__(self, path: str, remember: int = 400_000):
         import os
         import re
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ["RAYON_NUM_THREADS"] = "1"
+        import tiktoken
         from tokenizers import Tokenizer
         self.tok, self.remember = Tokenizer.from_file(path), remember
-        special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r" \s", *map(re.escape, special)]))
+        special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
+        self.whole = re.compile("|".join([r" \s", *map(re.escape, sorted(special))]))
+        vocab, letters = self.tok.get_vocab(), byte_letters()
+        ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
+        self.parts = tiktoken.Encoding("file", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.known: dict[str, bytes] = {}
-        self.size = self.tok.get_vocab_size()
-        ends = np.zeros(self.size, bool)
-        for t, i in self.tok.get_vocab().items():
-            ends[i] = t.endswith((".", "!", "?", "Ċ", "。"))
+        ends = np.zeros(max(vocab.values()) + 1, bool)
+        for t, i in vocab.items():
+            ends[i] = t.endswith((".", "!", "?", "\u010a"))  # the last stands for a line feed
         self.sentence_end = ends
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        out = self.tok.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in out]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts, out, alone = [], [None] * len(texts), []
-        for k, t in enumerate(texts):
-            if self.whole.search(t):
-                alone.append(k)
-                parts.append([])
-            else:
-                p = t.split(" ")
-                parts.append([p[0], *[" " + x for x in p[1:]]] if p[0] else [" " + x for x in p[1:]])
-        known = self.known
-        new = list({x for p in parts for x in p if x not in known})
-        now = dict(zip(new, self._encode(new)))
-        for k, p in enumerate(parts):
-            out[k] = b"".join([known[x] if x in known else now[x] for x in p])
-        for k, ids in zip(alone, self._encode([texts[k] for k in alone])):
-            out[k] = ids
-        if len(known) + len(now) > self.remember:
+    def lookup(self, parts: list[str]) -> list[bytes]:
+        known, encode = self.known, self.parts
+        if len(known) > self.remember:
             known.clear()
-        known.update((x, b) for x, b in now.items() if len(x) <= 24)
-        return [np.frombuffer(x, "<u4") for x in out]
+        out = []
+        for x in parts:
+            b = known.get(x)
+            if b is None:
+                b = array("I", encode(x)).tobytes()
+                if len(x) <= 24:
+                    known[x] = b
+            out.append(b)
+        return out
+
+    def encode(self, col: pa.Array) -> list[np.ndarray]:
+        texts = col.to_pylist()
+        out: list = [np.zeros(0, "<u4")] * len(texts)
+        alone = [k for k, t in enumerate(texts) if self.whole.search(t)]
+        for k, x in zip(alone, self.tok.encode_batch([texts[k] for k in alone], add_special_tokens=False)):
+            out[k] = np.array(x.ids, "<u4")
+        rest = np.setdiff1d(np.arange(len(texts)), alone)
+        rest = [k for k in rest.tolist() if texts[k]]
+        if not rest:
+            return out
+        lists = pc.split_pattern(col.take(pa.array(rest)).cast(pa.large_string()), " ")
+        per = pc.list_value_length(lists).to_numpy()
+        at = np.cumsum(per) - per
+        flat = lists.flatten()
+        seen = flat.dictionary_encode()
+        codes = seen.indices.to_numpy().astype(np.int64)
+        words = seen.dictionary.to_pylist()
+        ids = self.lookup([" " + w for w in words])
+        heads = flat.take(pa.array(at)).to_pylist()  # the first part of a text has no space before it
+        codes[at] = len(words) + np.arange(len(at))
+        ids += [b"" if not h else x for h, x in zip(heads, self.lookup(heads))]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        data = np.frombuffer(b"".join(ids), "<u4")
+        start = np.cumsum(size) - size
+        n = size[codes]
+        total = np.cumsum(n)
+        stream = data[np.repeat(start[codes] - (total - n), n) + np.arange(total[-1])]
+        ends = total[at + per - 1]
+        for k, s, e in zip(rest, [0, *ends[:-1].tolist()], ends.tolist()):
+            out[k] = stream[s:e]
+        return out
 
 
 def segment_pieces(docs: list[np.ndarray], length: int, sentence_end: np.ndarray, cut_sentence: float,
@@ -128,7 +174,7 @@ def segment_pieces(docs: list[np.ndarray], length: int, sentence_end: np.ndarray
     stop[:] = cut_inside
     stop[marks] = cut_sentence
     stop[ends] = 0.0
-    cuts = at[window_cuts(at.tolist(), stop[at].tolist(), length, per_window)]
+    cuts = at[window_cuts(at, stop[at], length, per_window)]
     edges = np.union1d(cuts, np.concatenate([[0], ends]))
     s, size = edges[:-1], np.diff(edges)
     doc = np.searchsorted(ends, s, "right")
@@ -153,38 +199,37 @@ def pack_sequences(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id
         from pyspark import TaskContext
         stream, seq = TokenStream(tokenizer), TaskContext.get().partitionId() << 33
 
-        def segment(ids, texts):
+        def segment(parts):
             nonlocal seq
+            ids, texts = (pa.concat_arrays([p.column(k) for p in parts]) for k in (0, 1))
             toks = stream.encode(texts)
             doc, start, size, win, offset = segment_pieces(toks, length, stream.sentence_end, cut_sentence,
                                                            cut_inside, per_window)
-            crc = np.empty(len(doc), np.int64)
             data = [np.append(t, np.uint32(END_OF_TEXT)).astype("<u4") for t in toks]
-            for k in range(len(doc)):
-                crc[k] = zlib.crc32(data[doc[k]][start[k]:start[k] + size[k]])
+            crc = [zlib.crc32(data[d][s:s + n]) for d, s, n in zip(doc.tolist(), start.tolist(), size.tolist())]
             tokens = np.array([len(d) for d in data])
             out = pa.RecordBatch.from_arrays(
-                [pa.array(ids).take(pa.array(doc)) if not isinstance(ids, pa.Array) else ids.take(pa.array(doc)),
-                 pa.array(start), pa.array(size), pa.array(crc), pa.array(tokens[doc]),
-                 pa.array(win + seq), pa.array(offset)],
+                [ids.take(pa.array(doc)), pa.array(start), pa.array(size), pa.array(crc, pa.int64()),
+                 pa.array(tokens[doc]), pa.array(win + seq), pa.array(offset)],
                 ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
             seq += int(win[-1]) + 1
             return out
 
-        ids, texts, held = [], [], 0
+        parts, held = [], 0
         for batch in batches:
+            size = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
             first = 0
-            for k, t in enumerate(batch.column(1).to_pylist()):
-                texts.append(t)
-                held += len(t)
-                if held >= segment_bytes:
-                    ids.append(batch.column(0).slice(first, k + 1 - first))
-                    yield segment(pa.concat_arrays(ids), texts)
-                    ids, texts, held, first = [], [], 0, k + 1
-            if first < batch.num_rows:
-                ids.append(batch.column(0).slice(first))
-        if texts:
-            yield segment(pa.concat_arrays(ids), texts)
+            while first < batch.num_rows:
+                base = size[first - 1] if first else 0
+                end = int(np.searchsorted(size, base + segment_bytes - held)) + 1
+                parts.append(batch.slice(first, end - first))
+                held += int(size[min(end, batch.num_rows) - 1] - base)
+                if end <= batch.num_rows:
+                    yield segment(parts)
+                    parts, held = [], 0
+                first = end
+        if parts:
+            yield segment(parts)
 
     out = rows.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                                "sequence_id long, offset long")

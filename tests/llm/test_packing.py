@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -27,7 +28,7 @@ def test_stream_equals_the_tokenizer(tok):
     for remember in (5, 10**6):
         stream = TokenStream(PATH, remember)
         for _ in range(2):
-            got = stream.encode(texts)
+            got = stream.encode(pa.array(texts))
             assert [g.tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
