@@ -1,8 +1,8 @@
 """Tool-call linking: calls joined to results, ordered, validated, serialised.
 
 Calls and results meet in a hash join on (conversation, identifier). The order within a
-conversation is topological over the calls a call depends on, found in relational rounds: in
-each round every call whose dependencies are all placed gets the next level, so no
+conversation is topological over the calls a call depends on, found in relational rounds (chains by doubling
+pointers, calls that need several others level by level), so no
 conversation is gathered in one task. Arguments are checked against the schema of
 their tool and written as canonical JSON (sorted keys, no spaces, shortest numbers).
 """
@@ -84,25 +84,57 @@ def checked_arguments(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     return calls.withColumn("__c", check("name", "arguments")).select("*", "__c.*").drop("__c")
 
 
+def chain_ends(calls: DataFrame, deps: DataFrame) -> DataFrame:
+    """(conv_id, call_id, end, steps): where the chain of single needs above a call ends (a call that needs
+    nothing or several calls) and how many steps away. Calls on or behind a cycle of such
+    chains are absent. Pointers double in each round, so a chain of n calls takes about log2(n) rounds."""
+    keys = ["conv_id", "call_id"]
+    single = deps.groupBy(*keys).agg(F.count("*").alias("n"), F.min("needs").alias("end")).filter("n = 1")
+    p = calls.select(*keys).join(single, keys, "left").select(
+        *keys, F.coalesce("end", "call_id").alias("end"), F.when(F.col("n") == 1, 1).otherwise(0).alias("steps"),
+        F.col("n").isNull().alias("done"))
+    p, left = cut_lineage(p, "chains"), None
+    while True:
+        open_now = p.filter(~F.col("done")).count()
+        if open_now == 0 or open_now == left:  # a round that ends no chain has met only cycles
+            return p.filter("done").drop("done")
+        left = open_now
+        ahead = p.select("conv_id", F.col("call_id").alias("end"), F.col("end").alias("far"),
+                         F.col("steps").alias("more"), F.col("done").alias("ended"))
+        moved = p.filter(~F.col("done")).join(ahead, ["conv_id", "end"]).select(
+            *keys, F.col("far").alias("end"), (F.col("steps") + F.col("more")).alias("steps"), F.col("ended").alias("done"))
+        p = cut_lineage(p.filter("done").unionByName(moved), "chains")
+
+
 def topological_levels(calls: DataFrame, deps: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of calls (conv_id, call_id) and deps (conv_id, call_id, needs). Level 0 needs
-    nothing, every other call comes after all it needs. Needs that are no call are ignored; calls
-    on or behind a cycle have no level. As many rounds as the longest chain."""
+    nothing, every other call comes one level after the highest it needs. Needs that are no call are ignored; calls
+    on or behind a cycle have no level.
+
+    Chains of calls that need one other call are skipped at once (``chain_ends``); the rounds below place
+    the calls that need several, as many rounds as such calls follow on one another."""
     keys = ["conv_id", "call_id"]
     known = calls.select("conv_id", F.col("call_id").alias("needs"))
     deps = cut_lineage(deps.join(known, ["conv_id", "needs"], "left_semi").distinct(), "deps")
-    ready = cut_lineage(calls.select(*keys).join(deps, keys, "left_anti").withColumn("level", F.lit(0)), "levels")
-    done, level = ready, 0
-    while not ready.isEmpty():
-        level += 1
-        met = ready.select("conv_id", F.col("call_id").alias("needs"), F.lit(1).alias("__met"))
-        deps = cut_lineage(deps.join(met, ["conv_id", "needs"], "left").withColumn(
-            "met", F.coalesce("__met", "met") if "met" in deps.columns else F.col("__met")).drop("__met"), "deps")
-        closed = deps.groupBy(*keys).agg(F.count("*").alias("n"), F.count("met").alias("m")).filter("n = m")
-        ready = cut_lineage(closed.select(*keys, F.lit(level).alias("level")), "levels")
-        deps = deps.join(ready, keys, "left_anti")
-        done = done.unionByName(ready)
-    return done
+    ends = chain_ends(calls, deps)
+    done = calls.select(*keys).join(deps, keys, "left_anti").withColumn("level", F.lit(0))
+    several = deps.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys)
+    above = ends.select("conv_id", F.col("call_id").alias("needs"), "end", "steps")
+    # one row per need; a need without an end leaves its call open for ever
+    edges = cut_lineage(deps.join(several, keys, "left_semi").join(above, ["conv_id", "needs"], "left")
+                        .select(*keys, "end", "steps"), "edges")
+    while True:
+        place = done.select("conv_id", F.col("call_id").alias("end"), "level")
+        ready = (edges.join(place, ["conv_id", "end"], "left").groupBy(*keys)
+                 .agg(F.count("*").alias("n"), F.count("level").alias("m"),
+                      F.max(F.col("level") + F.col("steps") + 1).alias("level")).filter("n = m").select(*keys, "level"))
+        ready = cut_lineage(ready, "levels")
+        if ready.isEmpty():
+            break
+        done = cut_lineage(done.unionByName(ready), "levels")
+        edges = cut_lineage(edges.join(ready, keys, "left_anti"), "edges")
+    place = done.select("conv_id", F.col("call_id").alias("end"), F.col("level").alias("base"))
+    return ends.join(place, ["conv_id", "end"]).select(*keys, (F.col("base") + F.col("steps")).cast("int").alias("level"))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -126,7 +158,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
         .select(*keys, F.col("r.seq").alias("result_seq"), F.col("r.content").alias("content"), "more_results",
                 F.lit(True).alias("answered")))
     deps = one_call.select(*keys, F.explode("needs").alias("needs")).filter("needs is not null")
-    levels = topological_levels(one_call.select(*keys), deps)
+    levels = cut_lineage(topological_levels(one_call.select(*keys), deps), "levels")
     both = (one_call.withColumn("called", F.lit(True)).join(levels, keys, "left")
             .join(one_result, keys, "full_outer"))
     # the position in a conversation: those on smaller levels, then the order within a level

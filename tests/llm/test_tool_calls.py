@@ -45,6 +45,33 @@ def test_a_long_chain_and_a_hot_conversation(spark):
     assert {r.status for r in got} == {"unanswered"}
 
 
+def plain_levels(calls, needs):
+    level = {}
+    while True:
+        new = {c: max((level[n] for n in needs[c]), default=-1) + 1 for c in calls
+               if c not in level and all(n in level for n in needs[c])}
+        if not new:
+            return level
+        level.update(new)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_levels_of_random_graphs(spark, seed):
+    import random
+
+    from panelkit.llm.tool_calls import topological_levels
+    rng = random.Random(seed)
+    calls = [(c, str(k)) for c in range(3) for k in range(40)]
+    needs = {(c, k): {(c, str(n)) for n in rng.sample(range(int(k)), min(int(k), rng.choice([0, 1, 1, 1, 2, 3])))}
+             for c, k in calls}
+    for a, b in [("5", "9"), ("30", "31"), ("31", "30")]:  # cycles in one conversation
+        needs[(2, a)].add((2, b))
+    deps = [(c, k, n[1]) for (c, k), ns in needs.items() for n in ns] + [(0, "3", "missing")]
+    got = topological_levels(spark.createDataFrame(calls, "conv_id long, call_id string"),
+                             spark.createDataFrame(deps, "conv_id long, call_id string, needs string")).collect()
+    assert {(r.conv_id, r.call_id): r.level for r in got} == plain_levels(calls, needs)
+
+
 def test_empty_tables(spark):
     assert link(spark, [], []).count() == 0
     assert link(spark, [], [(1, "a", 1, "x")]).first().status == "orphan"
