@@ -60,7 +60,8 @@ def in_text(at: np.ndarray, n: int, size: int) -> np.ndarray:
 
 
 def block_index(docs: DataFrame, window: int, block: int, buckets: int) -> DataFrame:
-    """(bucket, f, lo, hi): fingerprints of all non-overlapping blocks with the documents that hold them."""
+    """(bucket, f, multi): fingerprints of all non-overlapping blocks and whether several documents hold them, a
+    sixteenth of a bucket to a row."""
     def run(batches):
         hasher = Hasher(False)
         for batch in batches:
@@ -77,10 +78,12 @@ def block_index(docs: DataFrame, window: int, block: int, buckets: int) -> DataF
                      ids.slice(i, j - i).take(pa.array(doc))], ["bucket", "f", "id"])
 
     rows = docs.filter("id is not null").select("id", "text").mapInArrow(run, "bucket int, f int, id long")
-    return rows.groupBy("bucket", "f").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    held = rows.groupBy("bucket", "f").agg((F.min("id") != F.max("id")).alias("multi"))
+    return held.groupBy("bucket", F.pmod("f", F.lit(16)).alias("part")).agg(
+        F.collect_list("f").alias("f"), F.collect_list("multi").alias("multi"))
 
 
-CELL = ("bucket int, kind int, f int, lo long, hi long, chunk long, data binary, ids array<long>, "
+CELL = ("bucket int, kind int, f array<int>, multi array<boolean>, chunk long, data binary, ids array<long>, "
         "first array<int>, h1 array<long>, h2 array<long>, sha array<string>")
 
 
@@ -116,8 +119,8 @@ def probe_cells(docs: DataFrame, window: int, block: int, buckets: int) -> DataF
                 n = len(out["data"])
                 lists = [batch.column(0).slice(i, j - i).to_pylist(), at.tolist(), h1.tolist(), h2.tolist(), sha]
                 cols = [out["bucket"] + [chunk % buckets], out["kind"] + [3], [None] * (n + 1), [None] * (n + 1),
-                        [None] * (n + 1), [chunk] * (n + 1), out["data"] + [None], *[[None] * n + [x] for x in lists]]
-                kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(),
+                        [chunk] * (n + 1), out["data"] + [None], *[[None] * n + [x] for x in lists]]
+                kinds = [pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.int64(), pa.binary(),
                          pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()),
                          pa.list_(pa.string())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
@@ -130,7 +133,7 @@ def answer_probes(cells: DataFrame, index: DataFrame, buckets: int) -> DataFrame
     """Positions whose block another document holds on its grid. A bucket's index rows come first and are
     held (their number is bounded by the choice of ``buckets``); its cells stream by."""
     names = [c.split()[0] for c in CELL.split(", ")]
-    idx = index.select(*[F.col(c) if c in ("bucket", "f", "lo", "hi") else
+    idx = index.select(*[F.col(c) if c in ("bucket", "f", "multi") else
                          F.lit(0).alias(c) if c == "kind" else F.lit(None).alias(c) for c in names])
     both = cells.unionByName(idx).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
 
@@ -146,12 +149,12 @@ def answer_probes(cells: DataFrame, index: DataFrame, buckets: int) -> DataFrame
                 m = s + int(np.searchsorted(kind[s:e], 1))
                 if m > s:
                     part = batch.slice(s, m - s)
-                    held.append((part.column(2).to_numpy().view(np.uint32),
-                                 part.column(3).to_numpy() != part.column(4).to_numpy()))
+                    held.append((part.column(2).flatten().to_numpy().view(np.uint32),
+                                 part.column(3).flatten().to_numpy(zero_copy_only=False)))
                 for r in range(m, e):
                     if kind[r] == 3:
-                        chunk.append(batch.column(5)[r].as_py()), loc.append(None)
-                        lists.append([batch.column(c)[r].as_py() for c in range(7, 12)])
+                        chunk.append(batch.column(4)[r].as_py()), loc.append(None)
+                        lists.append([batch.column(c)[r].as_py() for c in range(6, 11)])
                         continue
                     if f is None:
                         f = np.concatenate([x for x, _ in held]) if held else np.zeros(0, np.uint32)
@@ -160,7 +163,7 @@ def answer_probes(cells: DataFrame, index: DataFrame, buckets: int) -> DataFrame
                         f, multi = f[order], multi[order]
                     if not len(f):
                         continue
-                    d = np.frombuffer(batch.column(6)[r].as_buffer(), np.uint8)
+                    d = np.frombuffer(batch.column(5)[r].as_buffer(), np.uint8)
                     n = int(d[:4].view(np.uint32)[0])
                     q = np.frombuffer(d[4:4 + 4 * n].tobytes(), np.uint32)
                     at = np.minimum(np.searchsorted(f, q), len(f) - 1)
@@ -168,7 +171,7 @@ def answer_probes(cells: DataFrame, index: DataFrame, buckets: int) -> DataFrame
                     if kind[r] == 2:  # its own block is in the index, so another document must hold it too
                         hit &= multi[at]
                     if hit.any():
-                        chunk.append(batch.column(5)[r].as_py())
+                        chunk.append(batch.column(4)[r].as_py())
                         loc.append(unpack_gaps(d[4 + 4 * n:])[hit].tolist()), lists.append([None] * 5)
             if chunk:
                 cols = [pa.array(chunk, pa.int64()), pa.array(loc, pa.list_(pa.int32()))]
@@ -264,7 +267,7 @@ def repeated_positions(texts: DataFrame, window: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", window: int = 50,
-                   bucket_bytes: int = 6 << 20) -> DataFrame:
+                   bucket_bytes: int = 6 << 20, most_buckets: int = 20_000) -> DataFrame:
     """One row per input row: ``id_col``, n_words, n_removed, kept_sha256 and kept (the words
     that stay, joined by one space; null where nothing was removed: the text's own words).
 
@@ -272,12 +275,13 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id
     smaller id (integral ids). Words are unchanged runs between ASCII white space; null text has none. Rows
     with a null id are neither removed from nor a source. Rows that share an id do not
     count as smaller than each other. Texts with the same words as a smaller row are removed whole if they hold a
-    window. Empty table: no rows. Windows are compared by 64-bit hashes of 64-bit word hashes.
+    window. Empty table: no rows. The index has a bucket per ``bucket_bytes`` of text, beyond
+    ``most_buckets`` larger ones. Windows are compared by 64-bit hashes of 64-bit word hashes.
     """
     block = window // 2
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(8, -(-size // bucket_bytes))
+    buckets = min(max(8, -(-size // bucket_bytes)), most_buckets)
     index = block_index(docs, window, block, buckets)
     answers = cut_lineage(answer_probes(probe_cells(docs, window, block, buckets), index, buckets), "hits")
     info = cut_lineage(hit_texts(answers, window, block), "texts")

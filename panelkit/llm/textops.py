@@ -87,7 +87,7 @@ class Hasher:
         return mix(w + U(len(h)))[0]
 
 
-def slices(col: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(col: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a string column (null: empty) into runs of rows of about ``limit`` bytes:
     (first row, end row, bytes, offsets into them). A longer text is a run of its own."""
     col = pc.fill_null(col.cast(pa.large_binary()), b"")
