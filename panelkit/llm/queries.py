@@ -9,7 +9,7 @@ from panelkit.llm.anchors import remove_repeats
 from panelkit.llm.common import documents
 from panelkit.llm.exact_dedup import exact_dedup
 from panelkit.llm.langid import identify
-from panelkit.llm.lm_score import score_texts
+from panelkit.llm.lm_score import score_texts, score_words
 from panelkit.llm.mixing import mix_sources
 from panelkit.llm.ngram_join import ngram_components
 from panelkit.llm.oracles import ORACLES  # noqa: F401
@@ -79,6 +79,12 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_units", F.round("log_score", 3).alias("log_score"), F.round("mean_score", 6).alias("mean_score"))
 
 
+def op7_lm_score_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document by its word pairs under the counts of all documents."""
+    return score_words(documents(spark, sf_dir)).select(
+        "doc_id", "n_units", F.round("log_score", 3).alias("log_score"), F.round("mean_score", 6).alias("mean_score"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 50-word runs that an earlier document holds too, removed from every document."""
     return remove_repeats(documents(spark, sf_dir)).drop("kept")
@@ -92,6 +98,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op7_lm_score": op7_lm_score,
+    "op7_lm_score_words": op7_lm_score_words,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_secrets": op9_secrets,
     "op10_ngram_join": op10_ngram_join,
