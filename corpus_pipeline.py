@@ -30,8 +30,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of documents that share 85 % of their 4-word shingles the smallest doc_id stays."""
-    return keep_one_per_component(docs)
+    """Of each component of documents that share 80 % of their 5-word shingles the smallest doc_id stays."""
+    return keep_one_per_component(docs, size=5, percent=80)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 
 import corpus_pipeline as cp
 from panelkit.session import cut_lineage
-from tests.llm.brute import LOWER, jaccard_components, words
+from tests.llm.brute import LOWER, components, jaccard_components, shingles, words
 from tests.llm.conftest import prose
 from tests.llm.test_packing import check
 
@@ -64,3 +64,26 @@ def test_run_equals_the_stages_and_empty_input(spark, documents, tmp_path):
     assert cp.run(spark, str(tmp_path)).count() > 0
     documents([]).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert cp.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_near_copies_share_80_percent_of_five_words(documents):
+    rng = random.Random(12)
+    text, stage = {}, dict(cp.STAGES)["n-gram Jaccard join"]
+    for k in range(40):  # with a block at the end: five-word Jaccard 0.78 to 0.90
+        base = prose(rng, 200, 10**6)
+        text[2 * k] = base
+        text[2 * k + 1] = base + " " + prose(rng, 22 + k * 33 // 40, 10**6)
+    for k in range(40):  # single words replaced
+        base = prose(rng, 230, 10**6).split()
+        text[200 + 2 * k] = " ".join(base)
+        for i in range(10, 230, 40 + k):
+            base[i] = f"x{i}"
+        text[201 + 2 * k] = " ".join(base)
+    sets = {i: shingles(t, 5) for i, t in text.items()}
+    links = [(i, i + 1) for i in text if i % 2 == 0
+             and 100 * len(sets[i] & sets[i + 1]) >= 80 * len(sets[i] | sets[i + 1])]
+    assert 20 < len(links) < 80
+    want = sorted(i for i, c in components(text, links).items() if i == c)
+    assert sorted(r.doc_id for r in stage(None, documents(sorted(text.items())), "unused").collect()) == want
+    four = {i for i, (_, c) in jaccard_components(text).items() if i == c}
+    assert four - set(want)  # copies that only these bounds find
