@@ -5,7 +5,8 @@ sample. A text is parsed into phrases: from each point the longest match in the
 automaton, then the next phrase. The language whose automaton needs the fewest phrases per
 character explains the text best (the phrase rate estimates the cross entropy) and wins.
 
-Automata are dense transition tables, so all pieces of a batch of texts step through
+Every letter of the samples is a symbol of its own. Automata are dense transition tables over the most
+frequent symbols and sorted transitions over the others, so all pieces of a batch of texts step through
 all automata together, one character at a time, in numpy.
 """
 
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 GAP, OTHER = 0, 1
 NONE = 0xFFFF
+#: Symbols with a column in the dense tables; it bounds memory only, no result depends on it.
+DENSE = 64
 
 
 def held_out(id_col) -> "F.Column":
@@ -29,26 +32,33 @@ def held_out(id_col) -> "F.Column":
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+def fold(c: str) -> str:
+    """Lower case where that is one character."""
+    low = c.lower()
+    return low if len(low) == 1 else c
+
+
 class Alphabet:
-    """Code points to symbols: 0 everything that is no letter, 1 rare letters, then the frequent letters (lower case)."""
+    """Code points to symbols: 0 everything that is no letter, 1 letters not in the samples, then the samples' letters (lower
+    case), frequent ones first."""
 
-    def __init__(self, samples: list[str], symbols: int = 64):
-        seen = Counter("".join(samples).lower())
-        letters = sorted((c for c in seen if c.isalpha()), key=lambda c: (-seen[c], c))[:symbols - 2]
+    def __init__(self, samples: list[str]):
+        seen = Counter(map(fold, "".join(samples)))
+        letters = sorted((c for c in seen if c.isalpha()), key=lambda c: (-seen[c], c))
         code = {c: k + 2 for k, c in enumerate(letters)}
         self.size = len(letters) + 2
-        self.table = np.zeros(0x110000, np.uint8)
+        self.table = np.zeros(0x110000, np.min_scalar_type(self.size))
         for cp in range(0x110000):
             c = chr(cp)
             if c.isalpha():
-                self.table[cp] = code.get(c, code.get(c.lower(), OTHER))
+                self.table[cp] = code.get(fold(c), OTHER)
 
 
 def encode(table: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of all texts, runs of gaps as one and none at a start, and the end of each text."""
     sym = table[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)]
     ends = np.cumsum([len(t) for t in texts])
-    prev = np.concatenate([[GAP], sym]).astype(np.uint8)[:len(sym)]
+    prev = np.concatenate([[GAP], sym]).astype(sym.dtype)[:len(sym)]
     starts = np.concatenate([[0], ends[:-1]])
     prev[starts[starts < len(sym)]] = GAP
     keep = (sym != GAP) | (prev != GAP)
@@ -56,8 +66,34 @@ def encode(table: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]
     return sym[keep], total[ends]
 
 
-def suffix_automaton(seq: list[int], symbols: int) -> np.ndarray:
-    """Dense transitions (state, symbol) -> state, ``NONE`` where no substring goes on; state 0 is the start."""
+class Automaton:
+    """Transitions (state, symbol) -> state, ``NONE`` where no substring goes on; state 0 is the start. ``table`` has the
+    first ``DENSE`` symbols, ``keys`` (state * symbols + symbol, sorted) and ``goes`` the others."""
+
+    def __init__(self, edges: list[dict[int, int]], symbols: int):
+        self.symbols, width = symbols, min(symbols, DENSE)
+        self.table = np.full((len(edges), width), NONE, np.uint16)
+        rest = []
+        for s, out in enumerate(edges):
+            for c, to in out.items():
+                if c < width:
+                    self.table[s, c] = to
+                else:
+                    rest.append((s * symbols + c, to))
+        rest.sort()
+        self.keys = np.array([k for k, _ in rest], np.int64)
+        self.goes = np.array([to for _, to in rest], np.uint16)
+
+    def __getitem__(self, at: tuple[int, int]) -> int:
+        s, c = at
+        if c < self.table.shape[1]:
+            return int(self.table[s, c])
+        k = np.searchsorted(self.keys, s * self.symbols + c)
+        return int(self.goes[k]) if k < len(self.keys) and self.keys[k] == s * self.symbols + c else NONE
+
+
+def suffix_automaton(seq: list[int], symbols: int) -> Automaton:
+    """The automaton of all substrings of ``seq``."""
     nxt, link, length, last = [{}], [-1], [0], 0
     for c in seq:
         cur = len(nxt)
@@ -78,24 +114,37 @@ def suffix_automaton(seq: list[int], symbols: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.full((len(nxt), symbols), NONE, np.uint16)
-    for s, edges in enumerate(nxt):
-        for c, to in edges.items():
-            table[s, c] = to
-    return table
+    return Automaton(nxt, symbols)
 
 
 class CrossParser:
     """Phrase counts of many texts under all automata."""
 
-    def __init__(self, tables: list[np.ndarray], piece: int):
-        self.symbols, self.piece = tables[0].shape[1], piece
-        self.flat = np.concatenate([t.ravel() for t in tables])
-        self.base = np.cumsum([0] + [t.size for t in tables[:-1]])
-        root = np.stack([t[0] for t in tables])
+    def __init__(self, tables: list[Automaton], piece: int):
+        self.symbols, self.width, self.piece = tables[0].symbols, tables[0].table.shape[1], piece
+        self.flat = np.concatenate([t.table.ravel() for t in tables])
+        self.base = np.cumsum([0] + [t.table.size for t in tables[:-1]])
+        # sorted transitions of all automata one after the other; a language has at most NONE states
+        self.keys = np.concatenate([k * NONE * self.symbols + t.keys for k, t in enumerate(tables)])
+        self.goes = np.concatenate([t.goes for t in tables])
+        root = np.full((len(tables), self.symbols), NONE, np.uint16)
+        for k, t in enumerate(tables):
+            root[k, :self.width] = t.table[0]
+            n = np.searchsorted(t.keys, self.symbols)
+            root[k, t.keys[:n]] = t.goes[:n]
         self.unseen = root == NONE
         self.root = np.where(self.unseen, 0, root).astype(np.int64)
 
+    def sparse(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """(languages, symbols of ``c``): the next states by symbols beyond the dense tables."""
+        to = np.full(state.shape, NONE, np.int64)
+        lang, at = np.nonzero(~self.unseen[:, c])  # a language without the letter has no transition by it
+        key = (lang * NONE + state[lang, at]) * self.symbols + c[at]
+        k = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+        if len(key):
+            to[lang, at] = np.where(self.keys[k] == key, self.goes[k], NONE)
+        return to
+
     def phrases(self, sym: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """(texts, languages): phrases needed. Texts are parsed in pieces of fixed length, each from the start state."""
         starts = np.concatenate([[0], ends[:-1]])
@@ -113,7 +162,11 @@ class CrossParser:
         for t in range(int(size[0]) if len(size) else 0):
             m = active[t]
             c = sym[first[:m] + t]
-            to = self.flat[self.base[:, None] + state[:, :m] * self.symbols + c].astype(np.int64)
+            far = np.flatnonzero(c >= self.width) if self.symbols > self.width else ()
+            near = np.minimum(c, self.width - 1) if len(far) else c
+            to = self.flat[self.base[:, None] + state[:, :m] * self.width + near].astype(np.int64)
+            if len(far):
+                to[:, far] = self.sparse(state[:, far], c[far].astype(np.int64))
             miss = to == NONE
             count[:, :m] += miss
             count[:, :m] += miss & self.unseen[:, c]

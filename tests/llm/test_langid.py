@@ -89,3 +89,47 @@ def test_nothing_to_learn_empty_table_and_names(documents):
     r = identify(clash, names=("h", "p", "q")).first()
     assert (r.lang_pred, r.score, r.p) == ("x", 5.0, "aa")
     assert identify(clash).first().lang_pred == "aa"
+
+
+def test_every_letter_of_the_sample_is_a_symbol():
+    rng = random.Random(5)
+    han = [chr(0x4E00 + k) for k in range(300)]
+    samples = ["".join(rng.choice(han) for _ in range(2000)), text(rng, "bb", 200), text(rng, "cc", 200) + " İ"]
+    alphabet = Alphabet(samples)
+    codes = {int(alphabet.table[ord(c)]) for s in samples for c in s if c.isalpha()}
+    assert len(codes) == alphabet.size - 2 and min(codes) == 2
+    assert alphabet.table[ord("я")] == 1 and alphabet.table[ord("E")] == alphabet.table[ord("e")]
+    enc = [encode(alphabet.table, [s])[0].tolist() for s in samples]
+    tables = [suffix_automaton(s, alphabet.size) for s in enc]
+    have = {tuple(enc[0][i:j]) for i in range(len(enc[0])) for j in range(i + 1, min(i + 4, len(enc[0])) + 1)}
+    for _ in range(500):
+        i = rng.randrange(len(enc[0]) - 4)
+        z = enc[0][i:i + 3] if rng.random() < 0.5 else enc[0][i:i + 2] + [rng.randrange(2, alphabet.size)]
+        state = 0
+        for c in z:
+            state = tables[0][state, c] if state != 0xFFFF else state
+        assert (state != 0xFFFF) == (tuple(z) in have)
+    texts = [samples[0][50:90] + samples[0][500:520], "".join(rng.choice(han) for _ in range(80)), text(rng, "bb", 20), "x" + han[0]]
+    sym, ends = encode(alphabet.table, texts)
+    got = CrossParser(tables, 10**6).phrases(sym, ends)
+    starts = np.concatenate([[0], ends[:-1]])
+    plain = ["".join(map(chr, s)) for s in enc]
+    for k in range(len(texts)):
+        z = "".join(map(chr, sym[starts[k]:ends[k]].tolist()))
+        for m, s in enumerate(plain):
+            if set(z) <= set(s):
+                assert got[k, m] == plain_phrases(s, z)
+
+
+def test_languages_of_several_scripts_are_told_apart(documents):
+    rng = random.Random(6)
+    letters = {"el": [chr(0x3B1 + k) for k in range(17)], "ru": [chr(0x430 + k) for k in range(32)],
+               "ja": [chr(0x3041 + k) for k in range(80)], "zh": [chr(0x4E00 + 7 * k) for k in range(400)]}
+    pairs = {x: [a + rng.choice(c) for a in c] for x, c in letters.items()}
+
+    def some(lang):
+        return text(rng, lang, 40) if lang in SYL else " ".join("".join(rng.choices(pairs[lang], k=3)) for _ in range(40))
+
+    rows = [(k, some(x), x) for k, x in enumerate([*SYL, *letters] * 40)]
+    got = {r.doc_id: r.lang_pred for r in identify(documents(rows)).collect()}
+    assert [got[i] for i, _, _ in rows] == [x for _, _, x in rows]
