@@ -178,16 +178,19 @@ class CrossParser:
 
 def learn(docs: DataFrame, text: str, id_col: str, lang: str, sample_docs: int, sample_chars: int):
     """(languages, alphabet, automata) from at most ``sample_docs`` excerpts and ``sample_chars`` characters per
-    language of rows that are not held out. The driver sees only these excerpts."""
+    language of different texts of rows that are not held out. The driver sees only these excerpts."""
     size = sample_chars // sample_docs
     room = F.greatest(F.length("l") - size, F.lit(0)) + 1
     rows = (docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(id_col))
             .select(F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("k"), F.col(text).alias("t")))
+    # copies share the hash and are one teacher
     top = W.partitionBy("lang").orderBy("k")
-    rows = rows.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= sample_docs)
+    first = (rows.select("lang", "k").groupBy("lang", "k").agg(F.count("*").alias("copies"))
+             .withColumn("r", F.row_number().over(top)).filter(F.col("r") <= sample_docs).select("lang", "k", "r"))
     letters = F.regexp_replace("t", r"[^\p{L}]+", " ")
-    rows = (rows.withColumn("l", letters)
-            .select("lang", "r", F.substr("l", (F.pmod("k", room) + 1).cast("int"), F.lit(size)).alias("s")))
+    rows = (rows.join(F.broadcast(first), ["lang", "k"]).withColumn("l", letters)
+            .select("lang", "r", F.substr("l", (F.pmod("k", room) + 1).cast("int"), F.lit(size)).alias("s"))
+            .groupBy("lang", "r").agg(F.min("s").alias("s")))
     excerpts: dict[str, list[str]] = {}
     for r in sorted(rows.collect(), key=lambda r: (r.lang, r.r)):
         excerpts.setdefault(r.lang, []).append(r.s)
@@ -207,7 +210,7 @@ def identify(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", lan
              names: tuple[str, str, str] = ("held_out", "lang_pred", "score")) -> DataFrame:
     """The columns of ``docs`` with held_out, lang_pred and score, or under other ``names``.
 
-    Automata come from at most ``sample_docs`` labelled rows and ``sample_chars`` (below 32,000)
+    Automata come from at most ``sample_docs`` different labelled texts and ``sample_chars`` (below 32,000)
     characters per language; every whole text is parsed. lang_pred is a learned label, or ``und`` for null text,
     text without a letter, or where nothing could be learned; ties go to the first label in code-point order.
     score is the lead, 1 - phrases(best) / phrases(second), 0 for ``und``. Columns of ``docs`` that bear a result's

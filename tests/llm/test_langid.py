@@ -2,8 +2,9 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from panelkit.llm.langid import Alphabet, CrossParser, encode, identify, suffix_automaton
+from panelkit.llm.langid import Alphabet, CrossParser, encode, identify, learn, suffix_automaton
 
 SYL = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["sch", "ung", "ein", "er"], "cc": ["ción", "ñe", "os", "ar"]}
 
@@ -133,3 +134,18 @@ def test_languages_of_several_scripts_are_told_apart(documents):
     rows = [(k, some(x), x) for k, x in enumerate([*SYL, *letters] * 40)]
     got = {r.doc_id: r.lang_pred for r in identify(documents(rows)).collect()}
     assert [got[i] for i, _, _ in rows] == [x for _, _, x in rows]
+
+
+def test_copies_take_one_place_among_the_teachers(documents):
+    rng = random.Random(7)
+    rows = [(k, text(rng, "aa" if k % 2 else "bb"), "aa" if k % 2 else "bb") for k in range(400)]
+    first = documents(rows).filter("lang = 'aa'").orderBy(F.xxhash64("text")).first().text
+    copies = [(1000 + k, first, "aa") for k in range(400)]
+
+    def taught(r):
+        langs, alphabet, tables = learn(documents(r), "text", "doc_id", "lang", 150, 30_000)
+        return langs, alphabet.table, [t.table for t in tables]
+
+    one, many = taught(rows + copies[:20]), taught(rows + copies)
+    assert one[0] == many[0] == ["aa", "bb"] and (one[1] == many[1]).all()
+    assert all(np.array_equal(a, b) for a, b in zip(one[2], many[2])) and len(many[2][0]) > 10_000
