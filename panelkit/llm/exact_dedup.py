@@ -1,9 +1,9 @@
-"""Exact deduplication by a tree-merge of sorted digest runs (DataFrame functions only).
+"""Exact deduplication by a tree-merge of digest runs (DataFrame functions only).
 
 Every row is dealt to one of ``runs`` runs. A run holds one entry per digest: the
 verified survivor and the number of rows. In round k the runs exchange by the bits
 of their number (binomial tree, ``2**fan_bits`` runs per merge) and equal digests are
-merged, until a single run, spread over the cluster by digest, is left. Going back
+merged by Spark's grouped aggregation (no run is kept sorted), until a single run, spread over the cluster by digest, is left. Going back
 down, every (run, digest) entry learns the survivor, then every row of the run.
 
 A text held by a third of all rows has at most one entry per run at every level, and
@@ -28,9 +28,8 @@ def normalised(text: Column) -> Column:
 def tree_merge(runs: DataFrame, n_runs: int, fan_bits: int, largest: bool) -> DataFrame:
     """Merge the entries (__run, digest, __pick, __n) of ``n_runs`` runs into one run.
 
-    Entries are ordered by the short digest; two entries are one text only if the
-    256-bit digest and the byte length agree too (checked at every level, so a clash
-    of the short digest never merges different texts)."""
+    Entries are grouped by the short digest, the 256-bit digest and the byte length; two entries are one text only if
+    all agree (checked at every level, so a clash of the short digest never merges different texts)."""
     pick = F.max if largest else F.min
     bits = max(n_runs - 1, 0).bit_length()
     level = runs
