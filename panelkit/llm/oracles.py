@@ -116,7 +116,56 @@ reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.a, x.r
 low AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY 1)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, low.component_id FROM w LEFT JOIN n USING (doc_id) JOIN low USING (doc_id)"""
 
+# op11: every kept term of a language against every source of it; all divisions are of whole numbers.
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+o AS (SELECT rid, lang, source, unnest(ts) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM o GROUP BY 1, 2 HAVING count(DISTINCT rid) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT o.lang, source, o.term, count(*) AS n FROM o JOIN k ON o.lang = k.lang AND o.term = k.term GROUP BY 1, 2, 3),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY 1), s AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY 1, 2),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(s.n, 0) + v.v) AS p,
+    1 + (1000000000::HUGEINT * (k.n + 1)) // (v.n + v.v) AS q
+  FROM g JOIN k ON g.lang = k.lang JOIN v ON v.lang = g.lang LEFT JOIN s ON s.lang = g.lang AND s.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT a.lang, a.source AS s1, b.source AS s2, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3) x
+  ON x.lang = a.lang AND x.s1 = a.source AND x.s2 = b.source),
+own AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // q AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM own))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r
+WHERE part = 'pair' OR rank <= 200"""
+
+# op12: phrases of every length exploded and counted one by one.
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d)),
+grams AS (SELECT lang, w[i:i + z - 1] AS g FROM (SELECT lang, w, z, unnest(range(1, len(w) - z + 2)) AS i
+  FROM pieces, (SELECT unnest(range(1, 6)) AS z) WHERE len(w) >= z)),
+f AS (SELECT lang, g, count(*) AS f FROM grams GROUP BY 1, 2 HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY 1),
+cuts AS (SELECT lang, g, f AS a, k, g[1:k] AS head, g[k + 1:] AS tail FROM (SELECT *, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1)),
+scored AS (SELECT c.lang, c.g, a, h.f AS l, t.f AS r, n.n, (1000::HUGEINT * a * n.n) // (h.f::HUGEINT * t.f) AS score,
+    row_number() OVER (PARTITION BY c.lang, c.g ORDER BY (1000::HUGEINT * a * n.n) // (h.f::HUGEINT * t.f), k) AS best
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.g = c.head JOIN f t ON t.lang = c.lang AND t.g = c.tail JOIN n ON n.lang = c.lang),
+inner_ AS (SELECT DISTINCT lang, g[i:i + z - 1] AS g, f FROM (SELECT lang, g, f, z, unnest(range(1, len(g) - z + 2)) AS i
+  FROM f, (SELECT unnest(range(2, 5)) AS z) WHERE len(g) > z)),
+stay AS (SELECT * FROM scored s WHERE best = 1 AND NOT EXISTS (
+  SELECT 1 FROM inner_ i WHERE i.lang = s.lang AND i.g = s.g AND 100 * i.f >= 100 * s.a)),
+ranked AS (SELECT *, array_to_string(g, ' ') AS phrase,
+  row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(g, ' '))) AS rank FROM stay)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000"""
+
 ORACLES = {
     "op1_vector_graph": OP1, "op3_tool_calls": OP3, "op5_exact_dedup": OP5, "op7_lm_score": OP7,
     "op8_substring_dedup": OP8, "op9_secrets": OP9, "op10_ngram_join": OP10,
+    "op11_divergence": OP11, "op12_collocations": OP12,
 }

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm.anchors import remove_repeats
+from panelkit.llm.collocations import collocations
 from panelkit.llm.common import documents
+from panelkit.llm.divergence import source_divergence
 from panelkit.llm.exact_dedup import exact_dedup
 from panelkit.llm.langid import identify
 from panelkit.llm.lm_score import score_texts, score_words
@@ -90,6 +92,16 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).drop("kept")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of the sources of each language from each other, and each source's own terms to rank 200."""
+    return source_divergence(documents(spark, sf_dir))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of 2 to 5 words of each language."""
+    return collocations(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_vector_graph": op1_vector_graph,
     "op2_packing": op2_packing,
@@ -102,4 +114,6 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_secrets": op9_secrets,
     "op10_ngram_join": op10_ngram_join,
+    "op11_divergence": op11_divergence,
+    "op12_collocations": op12_collocations,
 }
