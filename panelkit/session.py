@@ -73,16 +73,31 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``cut_lineage`` has written. Nothing that is still to run may read them."""
+    for t in tables:
+        app = t.sparkSession.sparkContext.applicationId
+        path = getattr(t, "_scratch_path", None)
+        if path in _SCRATCH.get(app, []):
+            _SCRATCH[app].remove(path)
+            _delete(t.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables. Call it once the results
     that read them are written; at exit it runs by itself."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+        _delete(spark, path)
 
 
 def _clear_all() -> None:
