@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.session import cut_lineage
+from panelkit.session import cut_lineage, discard
 from panelkit.sources.io import load_table
 
 #: Fixed value: the word pattern of the contracts (its complement: the six ASCII white-space characters).
@@ -32,20 +34,66 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def smallest_reachable(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component): the smallest node reachable over undirected ``edges`` (a, b).
-
-    Alternating large-star and small-star rounds: every round hangs the larger
-    neighbours of a node, then the smaller ones, on the smallest node of its
-    neighbourhood, so the number of edges never grows and the depth shrinks
-    geometrically. Each round is a written table; nothing but one
-    row of counters reaches the driver. Nodes without edges are absent.
-    Hot nodes: the minimum is a map-side combined aggregate, and the join that
-    brings it back can be split by skew.
+def least_labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node reachable over the pairs a, b), nodes that reach a smaller one only."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j, low = ends[:len(a)], ends[len(a):], np.arange(len(nodes))
+    while len(i):
+        x, y = low[i], low[j]
+        apart = x != y
+        i, j = i[apart], j[apart]
+        np.minimum.at(low, np.maximum(x[apart], y[apart]), np.minimum(x[apart], y[apart]))
+        while True:  # every node hangs on its root
+            up = low[low]
+            if np.array_equal(up, low):
+                break
+            low = up
+    moved = np.flatnonzero(low != np.arange(len(nodes)))
+    return nodes[moved], nodes[low[moved]]
+
+
+def contract(edges: DataFrame, limit: int) -> DataFrame:
+    """Edges (a, b) of each partition as stars: every node with the smallest one it reaches there. Works on ``limit``
+    edges at a time, so a task's memory is bounded; stars never outnumber edges."""
+    def run(batches):
+        held, n = [], 0
+
+        def stars():
+            return least_labels(*(np.concatenate(x) for x in zip(*held)))
+
+        def out(node, low):
+            return pa.RecordBatch.from_arrays([pa.array(node), pa.array(low)], ["a", "b"])
+
+        for batch in batches:
+            held.append(tuple(batch.column(k).to_numpy() for k in (0, 1)))
+            n += batch.num_rows
+            if n >= limit:
+                held = [stars()]
+                n = len(held[0][0])
+                if n > limit // 2:
+                    yield out(*held[0])
+                    held, n = [], 0
+        if held:
+            yield out(*stars())
+
+    return edges.mapInArrow(run, "a long, b long")
+
+
+def smallest_reachable(edges: DataFrame, limit: int = 1 << 20) -> DataFrame:
+    """(node, component): the smallest node reachable over undirected ``edges`` (a, b). Nodes without edges are absent.
+
+    Edges are dealt to partitions of about ``limit`` and contracted to stars there. While a node hangs on two roots, or on
+    a node that hangs on another, a round of large star and small star follows: the larger neighbours of a
+    node, then the smaller ones, go to the smallest of its neighbourhood, and the partitions contract again. The
+    number of edges never grows and the depth shrinks geometrically. Each round is a written table, the one
+    before it is deleted, and one row of counters reaches the driver. Hot nodes: the minimum is a map-side
+    combined aggregate, and the join that brings it back can be split by skew.
     """
-    e = cut_lineage(_both_smaller_second(edges), "edges")
-    before = None
-    for _ in range(max_rounds):
+    raw = cut_lineage(_both_smaller_second(edges), "edges")
+    n = raw.count()
+    e = cut_lineage(contract(raw.repartition(max(1, -(-n // limit))), limit), "edges")
+    discard(raw)
+    while not _are_stars(e):
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = (both.join(low, "a").filter(F.col("b") > F.col("a"))
@@ -55,17 +103,20 @@ def smallest_reachable(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = large.join(low, "a").select(F.explode(F.array(
             F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
             F.struct(F.col("a").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        e = cut_lineage(small.filter("a <> b").distinct(), "edges")
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError("components did not settle")
+        before, e = e, cut_lineage(contract(small.filter("a <> b"), limit).distinct(), "edges")
+        discard(before)
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
+def _are_stars(e: DataFrame) -> bool:
+    """Whether every node hangs on one root that hangs on none."""
+    ends = e.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.lit(1).alias("up")),
+                                      F.struct(F.col("b").alias("v"), F.lit(None).cast("int").alias("up")))).alias("e"))
+    ends = ends.select("e.*").groupBy("v").agg(F.count("up").alias("up"), F.count("*").alias("n"))
+    return ends.filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("n") > F.col("up")))).isEmpty()
+
+
 def _both_smaller_second(edges: DataFrame) -> DataFrame:
     return (edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
             .filter("a <> b").distinct())
@@ -76,22 +127,21 @@ def total(cols: list[Column]) -> Column:
 
 
 class FixedBloom:
-    """A Bloom filter of a fixed number of bits over one key column, gathered by Spark as 32-bit words.
+    """A Bloom filter over one key column of a written table, gathered by Spark as 32-bit words.
 
-    The bound holds for any number of keys (``bits / 8`` bytes on driver and executors); when
-    more keys come than it can tell apart, more rows pass, none is lost. It only spares a shuffle of rows that an
-    exact join drops anyway.
+    Its bits grow with the keys (16 a key) up to ``most_bits``, so driver and executors hold ``most_bits / 8``
+    bytes at most; when more keys come than it can tell apart, more rows pass, none is lost. It only
+    spares a shuffle of rows that an exact join drops anyway.
     """
 
-    def __init__(self, keys: DataFrame, key: str, bits: int = 1 << 20):
-        import numpy as np
-        self.bits = bits
-        m = F.pmod(F.xxhash64(F.col(key)), F.lit(bits))
+    def __init__(self, keys: DataFrame, key: str, most_bits: int = 1 << 28):
+        self.bits = min(most_bits, max(1 << 20, 1 << (16 * keys.count()).bit_length()))
+        m = F.pmod(F.xxhash64(F.col(key)), F.lit(self.bits))
         one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("m") % 32).cast("int"))
-        words = np.zeros(bits // 32, np.int64)
-        for r in (keys.select(m.alias("m")).groupBy(F.shiftright("m", 5).alias("w"))
-                  .agg(F.bit_or(one).alias("x")).toLocalIterator()):
-            words[r.w] = r.x
+        found = (keys.select(m.alias("m")).groupBy(F.shiftright("m", 5).alias("w")).agg(F.bit_or(one).alias("x"))
+                 .toArrow())
+        words = np.zeros(self.bits // 32, np.uint32)
+        words[found["w"].to_numpy()] = found["x"].to_numpy().astype(np.uint32)
         self.shared = keys.sparkSession.sparkContext.broadcast(words)
 
     def mark(self, key: str) -> Column:
@@ -100,4 +150,4 @@ class FixedBloom:
     @staticmethod
     def passes(words, m):
         """For marks m: whether the key may be among the keys (numpy, inside tasks)."""
-        return (words[m >> 5] >> (m & 31)) & 1 == 1
+        return (words[m >> 5] >> (m & 31).astype(np.uint32)) & np.uint32(1) == 1

@@ -10,10 +10,12 @@ pair carries the overlap so far (shared by all sets below it) and is cut as soon
 that and the remaining lengths cannot reach the overlap the threshold asks for.
 
 Pairs that survive are bounds, not links: links are checked on the full sets. A first
-pass proposes a spanning forest per sub-tree, which is linear in its members;
-where one of its proposals fails, a second pass over that sub-tree proposes every surviving pair that
-still joins two components. So no link between components is lost and copies are
-never expanded into all pairs.
+pass proposes a spanning forest per sub-tree, which is linear in its members. A sub-tree with too many members for one
+task is dealt to blocks by hash, each block proposes its own forest, and a second deal by another hash does the same for what
+is still apart, so a crowd of near copies becomes one component without comparing its blocks in pairs.
+Where a proposal failed, or a sub-tree of several blocks still holds more than one component, a last pass over that
+sub-tree, block by block with all others, proposes every surviving pair that joins two components. So no
+link between components is lost and copies are never expanded into all pairs.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.llm.arrays import forest, runs, spread
@@ -231,16 +232,27 @@ def join_tree(group, n, rows, folded, t):
 
 
 def propose(members: DataFrame, t: int, spanning: bool) -> DataFrame:
-    """Candidate pairs (a, b, part, gid) of members (part, gid, block, uid, n, path, comp)."""
+    """Candidate pairs (a, b, gid, lo, hi) of members (gid, lo, hi, block, uid, n, path, comp): a part joins block lo
+    with block hi, or one block with itself."""
+    part_cols = ["gid", "lo", "hi"]
+
+    def starts(tab):
+        new = np.zeros(tab.num_rows, bool)
+        new[0] = True
+        for c in part_cols:
+            x = tab[c].to_numpy()
+            new[1:] |= x[1:] != x[:-1]
+        return new
+
     def run(batches):
-        cols = ["part", "gid", "block", "uid", "n", "path", "comp"]
+        cols = [*part_cols, "block", "uid", "n", "path", "comp"]
         held = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             tab = pa.Table.from_batches([batch]).select(cols)
             held = tab if held is None else pa.concat_tables([held, tab])
-            last = held.slice(held.num_rows - 1).to_pylist()[0]
-            part, gid = held["part"].to_numpy(), held["gid"].to_numpy()
-            done = int(np.argmax((part == last["part"]) & (gid == last["gid"])))
+            done = int(np.flatnonzero(starts(held))[-1])  # the last part may go on
             if done >= 2000:
                 yield from work(held.slice(0, done))
                 held = held.slice(done)
@@ -248,42 +260,34 @@ def propose(members: DataFrame, t: int, spanning: bool) -> DataFrame:
             yield from work(held)
 
     def work(tab):
-        def starts():
-            part, gid = tab["part"].to_numpy(), tab["gid"].to_numpy()
-            return np.concatenate([[True], (part[1:] != part[:-1]) | (gid[1:] != gid[:-1])])
-
         comp = tab["comp"].to_numpy()
-        new = starts()
+        new = starts(tab)
         one = np.logical_and.reduceat(comp == comp[np.flatnonzero(new)][np.cumsum(new) - 1], np.flatnonzero(new))
         tab = tab.filter(pa.array(~one[np.cumsum(new) - 1]))  # nothing left to link there
         if not tab.num_rows:
             return
-        new = starts()
+        new = starts(tab)
         group = np.cumsum(new) - 1
         sizes = np.bincount(group)
         ends = np.cumsum(sizes)
         for s, e in runs(sizes * sizes, 1 << 21):
             sub = tab.slice(int(ends[s] - sizes[s]), int(ends[e - 1] - ends[s] + sizes[s]))
             g = group[int(ends[s] - sizes[s]):int(ends[e - 1])]
-            uid, block, comp = (sub[c].to_numpy() for c in ("uid", "block", "comp"))
-            pair = sub["part"].to_numpy()
+            uid, block, comp, gid, lo, hi = (sub[c].to_numpy() for c in ("uid", "block", "comp", "gid", "lo", "hi"))
             i, j, score = Members(g, sub["n"].to_numpy(), sub["path"].to_pylist()).pairs(t)
             if not len(i):
                 continue
-            # a part joins one block with itself, or two blocks with each other only
-            inside = pair[i] % 65536 == pair[i] // 65536
-            ok = (inside | (block[i] != block[j])) & (comp[i] != comp[j])
+            ok = ((lo[i] == hi[i]) | (block[i] != block[j])) & (comp[i] != comp[j])
             i, j, score = i[ok], j[ok], score[ok]
             if spanning:
                 k = forest(i, j, score, len(uid))
                 i, j = i[k], j[k]
             a, b = np.minimum(uid[i], uid[j]), np.maximum(uid[i], uid[j])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a), pa.array(b), pa.array(pair[i]), pa.array(sub["gid"].to_numpy()[i])],
-                ["a", "b", "part", "gid"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, gid[i], lo[i], hi[i])],
+                                             ["a", "b", *part_cols])
 
-    ordered = members.repartition("part", "gid").sortWithinPartitions("part", "gid")
-    return ordered.mapInArrow(run, "a long, b long, part int, gid long")
+    ordered = members.repartition(*part_cols).sortWithinPartitions(*part_cols)
+    return ordered.mapInArrow(run, "a long, b long, gid long, lo long, hi long")
 
 
 def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, id_col: str, size: int, t: int,
@@ -339,39 +343,50 @@ def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_
     reps = cut_lineage(reps, "classes")
 
     postings = reps.select("uid", F.explode("edges").alias("edge"))
-    by_edge = W.partitionBy("edge")
     # the sub-trees of all edges with the same smallest class are one, so near copies meet once, not once an edge
-    shared = (postings.select("uid", F.min("uid").over(by_edge).alias("gid"), F.count("*").over(by_edge).alias("k"))
-              .filter("k > 1").select("gid", "uid").distinct()
-              .withColumn("size", F.count("*").over(W.partitionBy("gid"))))
-    n_blocks = F.ceil(F.col("size") / block).cast("int")
-    shared = shared.withColumn("block", F.pmod(F.xxhash64("uid", F.lit(2)), n_blocks).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), n_blocks - 1))
-    shared = shared.select("gid", "uid", "block", other.alias("o")).select(
-        "gid", "uid", "block", (F.least("block", "o") * 65536 + F.greatest("block", "o")).alias("part"))
-    shared = cut_lineage(shared, "members")
-
-    def members(of: DataFrame, comp: DataFrame | None) -> DataFrame:
-        info = reps.select("uid", "n", "path")
-        if comp is None:
-            info = info.withColumn("comp", F.col("uid"))
-        else:
-            info = info.join(comp, info.uid == comp.node, "left").select(
-                "uid", "n", "path", F.coalesce("component", "uid").alias("comp"))
+    by_edge = postings.groupBy("edge").agg(F.min("uid").alias("gid"), F.count("*").alias("k")).filter("k > 1")
+    members = cut_lineage(postings.join(by_edge, "edge").select("gid", "uid").distinct(), "members")
+    sizes = cut_lineage(members.groupBy("gid").agg(F.ceil(F.count("*") / block).alias("blocks")), "sizes")
+
+    def dealt(salt: int, own: DataFrame) -> DataFrame:
+        at = F.pmod(F.xxhash64("uid", F.lit(salt)), F.col("blocks"))
+        return members.join(own, "gid").select("gid", "uid", "blocks", at.alias("block"))
+
+    def described(of: DataFrame, comp: DataFrame) -> DataFrame:
+        info = reps.select("uid", "n", "path").join(comp, F.col("uid") == F.col("node"), "left").select(
+            "uid", "n", "path", F.coalesce("component", "uid").alias("comp"))
         return of.join(info, "uid")
 
     def check(pairs: DataFrame) -> DataFrame:
         return cut_lineage(verify(pairs, reps, docs, text, id_col, size, percent, lower), "links")
 
-    tried = cut_lineage(propose(members(shared, None), percent, True), "pairs")
-    links = check(tried.select("a", "b").distinct())
-    comp = smallest_reachable(links)
-    # only a sub-tree with a proposal that failed can hold another pair that joins two components
+    def forests(of: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Proposals of every block for itself, and those of them that are links."""
+        own = of.select("gid", "uid", "block", F.col("block").alias("lo"), F.col("block").alias("hi"))
+        tried = cut_lineage(propose(described(own, comp), percent, True), "pairs")
+        return tried, check(tried.select("a", "b").distinct())
+
+    spark = docs.sparkSession
+    comp = spark.createDataFrame([], "node long, component long")
+    tried, links = forests(dealt(2, sizes), comp)
+    comp = cut_lineage(smallest_reachable(links), "components")
+    large = sizes.filter("blocks > 1")
+    if not large.isEmpty():
+        again, more = forests(dealt(3, large), comp)
+        tried, links = tried.union(again), links.union(more)
+        comp = cut_lineage(smallest_reachable(links), "components")
+    # only a sub-tree with a proposal that failed, or one of several blocks, can hold another pair that joins components
     failed = cut_lineage(tried.join(links, ["a", "b"], "left_anti"), "failed")
-    if not failed.isEmpty():
-        comp = cut_lineage(comp, "components")
-        left = shared.join(failed.select("part", "gid").distinct(), ["part", "gid"], "left_semi")
-        rest = propose(members(left, comp), percent, False).select("a", "b").distinct()
+    whole = (members.join(large, "gid").join(comp, F.col("uid") == F.col("node"), "left").groupBy("gid", "blocks")
+             .agg(F.min(F.coalesce("component", "uid")).alias("x"), F.max(F.coalesce("component", "uid")).alias("y"))
+             .filter("x <> y").select("gid", "blocks"))
+    open_ = failed.select("gid").distinct().join(sizes, "gid").filter("blocks = 1").union(whole)
+    open_ = cut_lineage(open_, "open")
+    if not open_.isEmpty():
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o")
+        left = dealt(2, open_).select("gid", "uid", "block", other).select(
+            "gid", "uid", "block", F.least("block", "o").alias("lo"), F.greatest("block", "o").alias("hi"))
+        rest = propose(described(left, comp), percent, False).select("a", "b").distinct()
         rest = rest.join(failed.select("a", "b").distinct(), ["a", "b"], "left_anti")
         comp = smallest_reachable(links.union(check(cut_lineage(rest, "pairs"))))
     low = reps.select("s1", "s2", "n", "uid", "low").join(comp, F.col("uid") == F.col("node"), "left").withColumn(
@@ -394,10 +409,14 @@ def keep_one_per_component(docs: DataFrame, **kw) -> DataFrame:
         F.col(id_col).isNull().alias("z"), F.col(id_col).alias("id"), "uid", "digest")).alias("s")).select("s.*")
     alone = found.filter("component is null").select(F.col(id_col).alias("id"), "uid", "digest")
     chosen = stay.select("id", "uid", "digest").unionByName(alone).groupBy("id", "digest").agg(F.count("*").alias("k"))
-    # rows that agree in id and text are interchangeable: as many stay as were chosen. One long stands for both, so
-    # counting and joining share one shuffle of the rows
-    chosen = chosen.withColumn("both", F.xxhash64("id", F.col("id").isNull(), "digest"))
-    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("i"), text_digest(text).alias("d"))
-    packed = packed.withColumn("both", F.xxhash64("i", F.col("i").isNull(), "d"))
-    kept = packed.withColumn("r", F.row_number().over(W.partitionBy("both").orderBy("i"))).join(chosen, "both")
-    return kept.filter("r <= k").select("row.*")
+    # rows that agree in id and text are interchangeable: all of them stay, or one. One long stands for both, so
+    # the rows are shuffled once
+    every = found.groupBy(F.col(id_col).alias("id"), "digest").agg(F.count("*").alias("n"))
+    both = F.xxhash64("id", F.col("id").isNull(), "digest").alias("both")
+    chosen = cut_lineage(chosen.join(every, chosen.id.eqNullSafe(every.id) & (chosen.digest == every.digest)).select(
+        chosen.id, chosen.digest, "k", "n").select(both, "k", "n"), "chosen")
+    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), text_digest(text).alias("digest"))
+    packed = packed.select("row", both)
+    whole = packed.join(chosen.filter("k = n").select("both"), "both").select("row.*")
+    one = packed.join(chosen.filter("k < n").select("both"), "both").groupBy("both").agg(F.first("row").alias("row"))
+    return whole.unionByName(one.select("row.*"))
