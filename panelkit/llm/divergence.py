@@ -35,41 +35,44 @@ def not_a_term() -> np.ndarray:
     return gap
 
 
-def count_terms(docs: DataFrame, unit: int = 1 << 21) -> DataFrame:
+def count_terms(docs: DataFrame, unit: int = 1 << 19) -> DataFrame:
     """(lang, source, term, n, docs) of rows (lang, source, text), summed within units of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gaps, held, n = not_a_term(), [], 0
+        groups: dict[tuple[str, str], int] = {}
 
         def flush():
-            t = pa.concat_tables(held).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
-            return t.rename_columns(["lang", "source", "term", "n", "docs"]).to_batches(max_chunksize=100_000)
+            t = pa.concat_tables(held).group_by(["group", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+            lang, source = (pa.array(x, pa.string()) for x in zip(*groups))
+            for part in t.to_batches(max_chunksize=50_000):
+                own = part.column("group")
+                yield pa.RecordBatch.from_arrays(
+                    [lang.take(own), source.take(own), *(part.column(c) for c in ("term", "n_sum", "docs_sum"))],
+                    ["lang", "source", "term", "n", "docs"])
 
         for batch in batches:
-            by = [batch.column(k).dictionary_encode() for k in (0, 1)]
-            lang, source = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in by)
-            for i, j, data, off in slices(batch.column(2), 4 << 20):
+            names = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            for i, j, data, off in slices(batch.column(2)):
                 gap = gaps[data]
                 starts, ends = word_bounds(gap, off)
                 if not len(starts):
                     continue
                 words, code = encode(LOWER[data], gap, starts, ends)
+                group = np.array([groups.setdefault(x, len(groups)) for x in names[i:j]])
                 doc = np.searchsorted(off, starts, "right") - 1
                 pair, times = np.unique(doc * len(words) + code, return_counts=True)  # one entry a document and term
-                doc, code = pair // len(words) + i, pair % len(words)
-                width = len(by[1].dictionary)
-                key, place = np.unique((lang[doc] * width + source[doc]) * len(words) + code, return_inverse=True)
+                doc, code = pair // len(words), pair % len(words)
+                key, place = np.unique(group[doc] * len(words) + code, return_inverse=True)
                 total = np.zeros(len(key), np.int64)
                 np.add.at(total, place, times)
-                group = key // len(words)
-                held.append(pa.table([
-                    by[0].dictionary.take(pa.array(group // width)).cast(pa.string()),
-                    by[1].dictionary.take(pa.array(group % width)).cast(pa.string()),
-                    words.take(pa.array(key % len(words))).cast(pa.string()), pa.array(total),
-                    pa.array(np.bincount(place))], ["lang", "source", "term", "n", "docs"]))
+                held.append(pa.table([pa.array((key // len(words)).astype(np.int32)),
+                                      words.take(pa.array(key % len(words))).cast(pa.string()), pa.array(total),
+                                      pa.array(np.bincount(place))], ["group", "term", "n", "docs"]))
                 n += len(key)
                 if n >= unit:
                     yield from flush()
                     held, n = [], 0
+                    groups.clear()
         if held:
             yield from flush()
 
@@ -86,8 +89,8 @@ def value_sql(p: str, q: str) -> Column:
     return F.expr(f"(({p} - {q}) * ({p} - {q})) div {q}")
 
 
-def price(count, total: int, kept: int):
-    """The price of an array of counts: long division by thousands, as a product may pass 64 bits."""
+def price(count, total, kept):
+    """The price of counts: long division by thousands, as a product may pass 64 bits."""
     base = total + kept
     whole, rest = (count + 1) // base, (count + 1) % base
     for _ in range(3):
@@ -131,45 +134,57 @@ def gallop(short: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, low[at]
 
 
-def pair_values(ids_a, n_a, total_a: int, ids_b, n_b, total_b: int, size: int, kept: int) -> tuple[int, int]:
-    """Sums over one block of ``size`` terms: a priced against b, and b against a."""
-    pa_, pb_ = price(n_a, total_a, kept), price(n_b, total_b, kept)
-    none = np.zeros(1, np.int64)
-    a0, b0 = price(none, total_a, kept)[0], price(none, total_b, kept)[0]
-    if len(ids_a) <= len(ids_b):
-        i, j = gallop(ids_a, ids_b)
-    else:
-        j, i = gallop(ids_b, ids_a)
-    only_a, only_b = np.ones(len(ids_a), bool), np.ones(len(ids_b), bool)
-    only_a[i] = only_b[j] = False
-    x, y, u, v = pa_[i], pb_[j], pa_[only_a], pb_[only_b]
-    absent = size - len(ids_a) - len(ids_b) + len(i)
-    forth = value(x, y).sum() + value(u, b0).sum() + value(a0, v).sum() + absent * value(a0, b0)
-    back = value(y, x).sum() + value(b0, u).sum() + value(v, a0).sum() + absent * value(b0, a0)
-    return int(forth), int(back)
-
-
-def price_pairs(pairs: DataFrame) -> DataFrame:
+def pair_values(tasks: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Per pair task the sums over its block: the shorter array priced against the longer one, and back. ``tasks`` holds
+    the arrays of all tasks end to end, their ids raised by a block a task, so one galloping run serves them all."""
+    k = len(tasks["size"])
+    (short, s_n, s_task), (long, l_n, l_task) = ((tasks[f"{x}_id"], tasks[f"{x}_n"], tasks[f"{x}_task"]) for x in "sl")
+    s_total, l_total, v = tasks["s_total"], tasks["l_total"], tasks["v"]
+    p, q = price(s_n, s_total[s_task], v[s_task]), price(l_n, l_total[l_task], v[l_task])
+    none = np.zeros(k, np.int64)
+    p0, q0 = price(none, s_total, v), price(none, l_total, v)
+    i, j = gallop(short, long)
+    only_s, only_l = np.ones(len(short), bool), np.ones(len(long), bool)
+    only_s[i] = only_l[j] = False
+    a, b = s_task[only_s], l_task[only_l]
+    absent = tasks["size"] - np.bincount(s_task, minlength=k) - np.bincount(b, minlength=k)
+    forth, back = absent * value(p0, q0), absent * value(q0, p0)
+    for at, x, y in ((s_task[i], p[i], q[j]), (a, p[only_s], q0[a]), (b, p0[b], q[only_l])):
+        np.add.at(forth, at, value(x, y))
+        np.add.at(back, at, value(y, x))
+    return forth, back
+
+
+def price_pairs(pairs: DataFrame, block: int) -> DataFrame:
     """(lang, a, b, forth, back) of one block each."""
     def run(batches):
         for batch in batches:
-            out = [[], []]
-            ids = [batch.column(batch.schema.get_field_index(c)) for c in ("a_ids", "a_n", "b_ids", "b_n")]
-            one = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("a_total", "b_total", "size", "v")]
-            for k in range(batch.num_rows):
-                x = [np.asarray(c[k].values.to_numpy(zero_copy_only=False), np.int64) for c in ids]
-                ta, tb, size, v = (int(c[k]) for c in one)
-                forth, back = pair_values(x[0], x[1], ta, x[2], x[3], tb, size, v)
-                out[0].append(forth), out[1].append(back)
+            get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+            tasks = {c: get[c].to_numpy().astype(np.int64) for c in ("s_total", "l_total", "size", "v")}
+            for side in "sl":
+                ids, n = get[f"{side}_ids"], get[f"{side}_ns"]
+                task = np.repeat(np.arange(batch.num_rows), ids.value_lengths().to_numpy(zero_copy_only=False))
+                tasks[f"{side}_id"] = ids.flatten().to_numpy().astype(np.int64) + task * (2 * block)
+                tasks[f"{side}_n"], tasks[f"{side}_task"] = n.flatten().to_numpy().astype(np.int64), task
+            x, y = pair_values(tasks)
+            flip = get["flip"].to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(batch.schema.get_field_index(c)) for c in ("lang", "a", "b")),
-                 pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["lang", "a", "b", "forth", "back"])
+                [get["lang"], get["a"], get["b"], pa.array(np.where(flip, y, x)), pa.array(np.where(flip, x, y))],
+                ["lang", "a", "b", "forth", "back"])
 
-    return pairs.mapInArrow(run, "lang string, a string, b string, forth long, back long")
+    flip = F.size("a_ids") > F.size("b_ids")
+
+    def side(name: str, first: str, second: str, column: str):
+        return F.when(flip, F.col(second + column)).otherwise(F.col(first + column)).alias(name)
+
+    ordered = pairs.select("lang", "a", "b", "size", "v", flip.alias("flip"), *(
+        side(f"{s}_{to}", x, y, f"_{c}") for s, x, y in (("s", "a", "b"), ("l", "b", "a"))
+        for to, c in (("ids", "ids"), ("ns", "n"), ("total", "total"))))
+    return ordered.mapInArrow(run, "lang string, a string, b string, forth long, back long")
 
 
 def source_divergence(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source",
-                      least_docs: int = 3, top_terms: int = 200, block: int = 4096) -> DataFrame:
+                      least_docs: int = 3, top_terms: int = 200, block: int = 512) -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` holds the divergence of a source from each other source
     of its language, all ranks; part ``term`` the terms that a source uses more than its language does, by value, to
     rank ``top_terms``.
@@ -228,6 +243,7 @@ def pair_part(terms: DataFrame, held: DataFrame, info: DataFrame, block: int) ->
     # a source without terms in a block still pairs there with its smoothed price
     grid = (sizes.join(info, "lang").join(arrays, ["lang", "block", "source"], "left")
             .select("lang", "block", "source", "size", "v", "own", F.coalesce("x", empty).alias("x")))
+    widest = sizes.agg(F.max("size")).first()[0] or 1
     grid = cut_lineage(grid.select("lang", "block", "source", "size", "v", "own", F.col("x.id").alias("ids"),
                                    F.col("x.n").alias("n")), "arrays")
     a = grid.select("lang", "block", "size", "v", F.col("source").alias("a"), F.col("own").alias("a_total"),
@@ -235,7 +251,7 @@ def pair_part(terms: DataFrame, held: DataFrame, info: DataFrame, block: int) ->
     b = grid.select("lang", "block", F.col("source").alias("b"), F.col("own").alias("b_total"),
                     F.col("ids").alias("b_ids"), F.col("n").alias("b_n"))
     both = a.join(b, ["lang", "block"]).filter("a < b")
-    sums = price_pairs(both).groupBy("lang", "a", "b").agg(F.sum("forth").alias("forth"), F.sum("back").alias("back"))
+    sums = price_pairs(both, widest).groupBy("lang", "a", "b").agg(F.sum("forth").alias("forth"), F.sum("back").alias("back"))
     # languages without kept terms have no block: their pairs come from the groups and are worth 0
     names = info.select("lang", F.col("source").alias("a")).join(
         info.select("lang", F.col("source").alias("b")), "lang").filter("a < b")
