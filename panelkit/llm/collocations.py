@@ -137,7 +137,7 @@ def longest_windows(docs: DataFrame, longest: int, bits: np.ndarray, unit: int =
                 # lead columns: the code k words on while every pair up to there stays in the window, else null (-1)
                 lead = np.full((longest + 1, len(code)), -1, np.int64)
                 lead[0], lead[1], stay = lang[i + text], code, np.ones(len(code), bool)
-                for k in range(1, longest):
+                for k in range(1, min(longest, len(code))):
                     stay[:len(code) - k + 1] &= on[k - 1:]
                     stay[max(0, len(code) - k):] = False
                     to = np.flatnonzero(stay)
