@@ -77,7 +77,7 @@ def lang_hashes(langs: pa.Array, pieces: Pieces) -> np.ndarray:
     return own[coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)]
 
 
-def frequent_pairs(docs: DataFrame, least: int, counters: int, unit: int = 1 << 22) -> np.ndarray:
+def frequent_pairs(docs: DataFrame, least: int, counters: int, unit: int = 1 << 21) -> np.ndarray:
     """One bit per counter: whether its word pairs together reach ``least``. Counters are summed by
     Spark; ``counters / 8`` bytes reach the driver at most, whatever the corpus."""
     def run(batches):
@@ -89,7 +89,7 @@ def frequent_pairs(docs: DataFrame, least: int, counters: int, unit: int = 1 <<
 
         for batch in batches:
             langs = lang_hashes(batch.column(0), pieces)
-            for i, _, data, off in slices(batch.column(1), 4 << 20):
+            for i, _, data, off in slices(batch.column(1)):
                 words, code, text, on = pieces.words(data, off)
                 own = pieces.hashes(words)[code]
                 at = np.flatnonzero(on)
@@ -110,23 +110,18 @@ def frequent_pairs(docs: DataFrame, least: int, counters: int, unit: int = 1 <<
     return bits
 
 
-def longest_windows(docs: DataFrame, longest: int, bits: np.ndarray, unit: int = 1 << 20) -> DataFrame:
-    """(lang, w1, .., wn, c): the distinct windows of units of a task, padded with null, and how often they come."""
+def longest_windows(docs: DataFrame, longest: int, bits: np.ndarray) -> DataFrame:
+    """(lang, w1, .., wn, c): the distinct windows of a slice of texts, padded with null, and how often they come."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     names = [f"w{k}" for k in range(1, longest + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, frequent = Pieces(), shared.value
-        counters, held, n = 32 * len(frequent), [], 0
-
-        def flush():
-            t = pa.concat_tables(held).group_by(["lang", *names]).aggregate([("c", "sum")])
-            return t.rename_columns(["lang", *names, "c"]).to_batches(max_chunksize=50_000)
-
+        counters = 32 * len(frequent)
         for batch in batches:
             by = batch.column(0).dictionary_encode()
             lang, langs = by.indices.to_numpy(zero_copy_only=False).astype(np.int64), lang_hashes(batch.column(0), pieces)
-            for i, _, data, off in slices(batch.column(1), 4 << 20):
+            for i, _, data, off in slices(batch.column(1)):
                 words, code, text, on = pieces.words(data, off)
                 if not len(code):
                     continue
@@ -151,13 +146,7 @@ def longest_windows(docs: DataFrame, longest: int, bits: np.ndarray, unit: int =
                 for k in range(1, longest + 1):
                     c = lead[k, first]
                     cols.append(words.take(pa.array(c, mask=c < 0)).cast(pa.string()))
-                held.append(pa.table([*cols, pa.array(times)], ["lang", *names, "c"]))
-                n += len(first)
-                if n >= unit:
-                    yield from flush()
-                    held, n = [], 0
-        if held:
-            yield from flush()
+                yield from pa.table([*cols, pa.array(times)], ["lang", *names, "c"]).to_batches(max_chunksize=50_000)
 
     schema = ", ".join(["lang string", *(f"{w} string" for w in names), "c long"])
     return docs.mapInArrow(run, schema)
