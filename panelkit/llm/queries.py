@@ -17,6 +17,7 @@ from panelkit.llm.ngram_join import ngram_components
 from panelkit.llm.oracles import ORACLES  # noqa: F401
 from panelkit.llm.packing import pack_sequences
 from panelkit.llm.secret_scan import scan_secrets, span_text
+from panelkit.llm.templates import main_text
 from panelkit.llm.tool_calls import TURN_SCHEMAS, exchanges, link_calls
 from panelkit.llm.vector_graph import near_duplicate_vectors
 from panelkit.sources.io import load_table
@@ -102,6 +103,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(documents(spark, sf_dir))
 
 
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text(load_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_vector_graph": op1_vector_graph,
     "op2_packing": op2_packing,
@@ -116,4 +122,5 @@ QUERIES = {
     "op10_ngram_join": op10_ngram_join,
     "op11_divergence": op11_divergence,
     "op12_collocations": op12_collocations,
+    "op13_html_text": op13_html_text,
 }
