@@ -61,9 +61,9 @@ WORDS_SQL = """words AS (
 
 
 def words(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct words (runs of letters of any script) of every document, lower-cased."""
+    """Words (runs of letters of any script) of every document, lower-cased."""
     docs = td.table(spark, d, "documents").select(F.explode(F.split("text", r"[^\p{L}]+")).alias("w"))
-    return docs.filter(F.length("w") >= 1).select(F.lower("w").alias("token")).distinct()
+    return docs.filter(F.length("w") >= 1).select(F.lower("w").alias("token"))
 
 
 def part_names(spark: SparkSession, d: str) -> DataFrame:
@@ -85,9 +85,23 @@ def mat2_best_match(spark: SparkSession, d: str) -> DataFrame:
     return mt.best_match(words(spark, d), part_names(spark, d), "token", "name", block=3)
 
 
-@register("mat1_similarity_ratio")
+# One row of the longest-common-subsequence table per letter of the token.
+LCS_SQL = [WORDS_SQL, """pairs AS (SELECT w.token, n.name FROM words w JOIN (SELECT DISTINCT lower(p_name) AS name FROM part) n
+  ON substr(w.token, 1, 3) = substr(n.name, 1, 3))""", """lcs(token, name, i, line) AS (
+  SELECT token, name, 0, list_transform(range(length(name) + 1), lambda x: 0) FROM pairs
+  UNION ALL SELECT token, name, i + 1, list_transform(range(1, length(name) + 2), lambda j: list_max(list_transform(range(1, j + 1),
+    lambda k: greatest(line[k], CASE WHEN k > 1 AND substr(name, k - 1, 1) = substr(token, i + 1, 1) THEN line[k - 1] + 1 ELSE 0 END))))
+  FROM lcs WHERE i < length(token))""", """scored AS (SELECT token, name, CAST(CASE WHEN length(token) + length(name) = 0 THEN 100 ELSE
+    round_even(200.0 * line[length(name) + 1] / (length(token) + length(name)), 0) END AS INTEGER) AS score
+  FROM lcs WHERE i = length(token))"""]
+
+
+@register("mat1_similarity_ratio", with_ctes(*LCS_SQL, body="""
+SELECT token, name AS best_match, score, CAST(score AS VARCHAR) || '%' AS score_text FROM (
+  SELECT *, row_number() OVER (PARTITION BY token ORDER BY score DESC, name) AS rn FROM scored) WHERE rn = 1""").replace(
+    "WITH", "WITH RECURSIVE", 1))
 def mat1_similarity_ratio(spark: SparkSession, d: str) -> DataFrame:
-    """Same blocked candidates scored by the LCS ratio (vectorised pandas UDF)."""
+    """Same blocked candidates scored by the ratio of the longest common subsequence."""
     return mt.best_match(words(spark, d), part_names(spark, d), "token", "name", block=3, score="ratio")
 
 
