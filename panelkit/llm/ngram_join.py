@@ -205,7 +205,7 @@ def join_tree(group, n, rows, folded, t):
         kids = np.diff(first)
         i2, j2, a2 = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         side, below = spread(by, first, kids, u)
-        for s, e in runs(kids[v[side]], 1 << 18):
+        for s, e in runs(kids[v[side]], max(1 << 12, (1 << 23) // max(1, hi - lo))):  # about 8 MB of counts a side
             rep, cj = spread(by, first, kids, v[side[s:e]])
             ci, rep = below[s:e][rep], side[s:e][rep]
             ok = (u[rep] != v[rep]) | (ci <= cj)
