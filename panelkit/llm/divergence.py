@@ -157,20 +157,26 @@ def pair_values(tasks: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def price_pairs(pairs: DataFrame, block: int) -> DataFrame:
     """(lang, a, b, forth, back) of one block each."""
+    step = max(1, (1 << 18) // block)  # pair tasks worked on at once
+
     def run(batches):
         for batch in batches:
-            get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-            tasks = {c: get[c].to_numpy().astype(np.int64) for c in ("s_total", "l_total", "size", "v")}
-            for side in "sl":
-                ids, n = get[f"{side}_ids"], get[f"{side}_ns"]
-                task = np.repeat(np.arange(batch.num_rows), ids.value_lengths().to_numpy(zero_copy_only=False))
-                tasks[f"{side}_id"] = ids.flatten().to_numpy().astype(np.int64) + task * (2 * block)
-                tasks[f"{side}_n"], tasks[f"{side}_task"] = n.flatten().to_numpy().astype(np.int64), task
-            x, y = pair_values(tasks)
-            flip = get["flip"].to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [get["lang"], get["a"], get["b"], pa.array(np.where(flip, y, x)), pa.array(np.where(flip, x, y))],
-                ["lang", "a", "b", "forth", "back"])
+            for at in range(0, batch.num_rows, step):
+                yield priced(batch.slice(at, step))
+
+    def priced(batch):
+        get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+        tasks = {c: get[c].to_numpy().astype(np.int64) for c in ("s_total", "l_total", "size", "v")}
+        for side in "sl":
+            ids, n = get[f"{side}_ids"], get[f"{side}_ns"]
+            task = np.repeat(np.arange(batch.num_rows), ids.value_lengths().to_numpy(zero_copy_only=False))
+            tasks[f"{side}_id"] = ids.flatten().to_numpy().astype(np.int64) + task * (2 * block)
+            tasks[f"{side}_n"], tasks[f"{side}_task"] = n.flatten().to_numpy().astype(np.int64), task
+        x, y = pair_values(tasks)
+        flip = get["flip"].to_numpy(zero_copy_only=False)
+        return pa.RecordBatch.from_arrays(
+            [get["lang"], get["a"], get["b"], pa.array(np.where(flip, y, x)), pa.array(np.where(flip, x, y))],
+            ["lang", "a", "b", "forth", "back"])
 
     flip = F.size("a_ids") > F.size("b_ids")
 
@@ -184,7 +190,7 @@ def price_pairs(pairs: DataFrame, block: int) -> DataFrame:
 
 
 def source_divergence(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source",
-                      least_docs: int = 3, top_terms: int = 200, block: int = 512) -> DataFrame:
+                      least_docs: int = 3, top_terms: int = 200, block: int = 128) -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` holds the divergence of a source from each other source
     of its language, all ranks; part ``term`` the terms that a source uses more than its language does, by value, to
     rank ``top_terms``.
