@@ -5,10 +5,11 @@ windows are counted once, and one Spark ROLLUP over (lang, w1, .., wn) sums them
 counts of all phrase lengths, of single words and of the language come out of one grouping instead of an
 explosion per length.
 
-A window is also padded from the first word pair on that cannot reach the least count: pairs are counted first by hash into a
-fixed number of counters, and a pair in a counter below the least count is too rare itself. A phrase with the least
-count holds only pairs with it, so no such phrase loses a window; when a corpus fills the counters, more windows stay
-longer and the result is the same.
+A window is also padded from the first word on with which its start cannot reach the least count. Starts are counted by
+hash into a fixed number of counters beforehand, those of two words first, then the longer ones that hold no rare
+pair; a start in a counter below the least count is too rare itself. A phrase with the least count has only starts with
+it, so no such phrase loses a window; when a corpus fills the counters, more windows stay longer and the result is
+the same.
 
 Scores are integers: floor(1000 * a * n / (l * r)) in decimals of 38 digits.
 """
@@ -65,11 +66,6 @@ class Pieces:
         return mix((sums[off[1:]] - sums[off[:-1]]) * back[off[:-1]] + np.diff(off).astype(U))
 
 
-def pair_marks(left: np.ndarray, right: np.ndarray, lang: np.ndarray, counters: int) -> np.ndarray:
-    """The counter of a word pair of a language."""
-    return (mix(mix(left * U(0xD6E8FEB86659FD93) + right) ^ lang) & U(counters - 1)).astype(np.int64)
-
-
 def lang_hashes(langs: pa.Array, pieces: Pieces) -> np.ndarray:
     """64 bits per row for its language."""
     coded = langs.dictionary_encode()
@@ -77,11 +73,43 @@ def lang_hashes(langs: pa.Array, pieces: Pieces) -> np.ndarray:
     return own[coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)]
 
 
-def frequent_pairs(docs: DataFrame, least: int, counters: int, unit: int = 1 << 21) -> np.ndarray:
-    """One bit per counter: whether its word pairs together reach ``least``. Counters are summed by
-    Spark; ``counters / 8`` bytes reach the driver at most, whatever the corpus."""
+def starts(own: np.ndarray, lang: np.ndarray, on: np.ndarray, longest: int, bits: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For k = 2 .. ``longest``: (k, places, hashes) of the starts of k words that stay in their piece and, as far as ``bits``
+    are known (for two words, for more words), are frequent enough by them; each is the one before and a word."""
+    at, h = np.arange(len(own)), mix(own ^ lang)
+    pairs = None
+    for k in range(2, longest + 1):
+        go = on[np.minimum(at + k - 2, len(on) - 1)] if len(on) else on
+        if pairs is not None:  # the last two words of the longer start
+            go = go & pairs[np.minimum(at + k - 2, len(on) - 1)]
+        at, h = at[go], h[go]
+        h = mix(h * U(0xD6E8FEB86659FD93) + own[at + k - 1])
+        if len(bits) > (k > 2):
+            ok = is_marked(bits[k > 2], h)
+            if k == 2:
+                pairs = np.zeros(len(own), bool)
+                pairs[at[ok]] = True
+            at, h = at[ok], h[ok]
+        yield k, at, h
+
+
+def marks(h: np.ndarray, counters: int) -> np.ndarray:
+    return (h & U(counters - 1)).astype(np.int64)
+
+
+def is_marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    m = marks(h, 32 * len(bits))
+    return (bits[m >> 5] >> (m & 31).astype(np.uint32)) & np.uint32(1) == 1
+
+
+def frequent_starts(docs: DataFrame, least: int, counters: int, longest: int, bits: list[np.ndarray], unit: int = 1 << 21) -> np.ndarray:
+    """One bit per counter: whether the starts of two words (with no ``bits`` yet), or those of three to ``longest`` words, that it
+    stands for together reach ``least``. Counters are summed by Spark; ``counters / 8`` bytes reach the driver at
+    most, whatever the corpus."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
     def run(batches):
-        pieces, held, n = Pieces(), [], 0
+        pieces, known, held, n = Pieces(), shared.value, [], 0
 
         def flush():
             mark, times = np.unique(np.concatenate(held), return_counts=True)
@@ -91,33 +119,32 @@ def frequent_pairs(docs: DataFrame, least: int, counters: int, unit: int = 1 <<
             langs = lang_hashes(batch.column(0), pieces)
             for i, _, data, off in slices(batch.column(1)):
                 words, code, text, on = pieces.words(data, off)
-                own = pieces.hashes(words)[code]
-                at = np.flatnonzero(on)
-                held.append(pair_marks(own[at], own[at + 1], langs[i + text[at]], counters))
-                n += len(at)
+                for k, _, h in starts(pieces.hashes(words)[code], langs[i + text], on, longest if known else 2, known):
+                    if k > 2 or not known:
+                        held.append(marks(h, counters))
+                        n += len(h)
                 if n >= unit:
                     yield flush()
                     held, n = [], 0
-        if held:
+        if n:
             yield flush()
 
     one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("mark") % 32))
     found = (docs.mapInArrow(run, "mark int, n long").groupBy("mark").agg(F.sum("n").alias("n"))
              .filter(F.col("n") >= least)
              .groupBy(F.shiftright("mark", 5).alias("place")).agg(F.bit_or(one).alias("bits")).toArrow())
-    bits = np.zeros(max(1, counters // 32), np.uint32)
-    bits[found["place"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
-    return bits
+    out = np.zeros(max(1, counters // 32), np.uint32)
+    out[found["place"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
+    return out
 
 
-def longest_windows(docs: DataFrame, longest: int, bits: np.ndarray) -> DataFrame:
+def longest_windows(docs: DataFrame, longest: int, bits: list[np.ndarray]) -> DataFrame:
     """(lang, w1, .., wn, c): the distinct windows of a slice of texts, padded with null, and how often they come."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     names = [f"w{k}" for k in range(1, longest + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, frequent = Pieces(), shared.value
-        counters = 32 * len(frequent)
+        pieces, known = Pieces(), shared.value
         for batch in batches:
             by = batch.column(0).dictionary_encode()
             lang, langs = by.indices.to_numpy(zero_copy_only=False).astype(np.int64), lang_hashes(batch.column(0), pieces)
@@ -125,18 +152,11 @@ def longest_windows(docs: DataFrame, longest: int, bits: np.ndarray) -> DataFram
                 words, code, text, on = pieces.words(data, off)
                 if not len(code):
                     continue
-                own = pieces.hashes(words)[code]
-                at = np.flatnonzero(on)
-                mark = pair_marks(own[at], own[at + 1], langs[i + text[at]], counters)
-                on[at] = (frequent[mark >> 5] >> (mark & 31).astype(np.uint32)) & np.uint32(1) == 1
-                # lead columns: the code k words on while every pair up to there stays in the window, else null (-1)
+                # lead columns: the code k words on where the window goes on so far, else null (-1)
                 lead = np.full((longest + 1, len(code)), -1, np.int64)
-                lead[0], lead[1], stay = lang[i + text], code, np.ones(len(code), bool)
-                for k in range(1, min(longest, len(code))):
-                    stay[:len(code) - k + 1] &= on[k - 1:]
-                    stay[max(0, len(code) - k):] = False
-                    to = np.flatnonzero(stay)
-                    lead[k + 1, to] = code[to + k]
+                lead[0], lead[1] = lang[i + text], code
+                for k, at, _ in starts(pieces.hashes(words)[code], langs[i + text], on, longest, known):
+                    lead[k, at] = code[at + k - 1]
                 # a window is the number of its lead and of the window it prolongs, so equal windows get equal numbers
                 number = np.zeros(len(code), np.int64)
                 for k in range(longest + 1):
@@ -156,7 +176,9 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, counters: int) -> D
     """(lang, words, f): phrases of 1 to ``longest`` words that come ``least`` times, and per language its words
     altogether (no words: an empty array)."""
     names = [f"w{k}" for k in range(1, longest + 1)]
-    bits = frequent_pairs(docs, least, counters)
+    bits: list[np.ndarray] = []
+    for _ in range(min(2, longest - 1)):
+        bits.append(frequent_starts(docs, least, counters, longest, bits))
     windows = longest_windows(docs, longest, bits).groupBy("lang", *names).agg(F.sum("c").alias("c"))
     rolled = windows.rollup("lang", *names).agg(F.sum("c").alias("f"), F.grouping_id().alias("g"))
     # the grouping id has a bit for each column summed away, the last ones first; a length is their complement
@@ -180,7 +202,9 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lon
     """
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     counted = cut_lineage(phrase_counts(rows, longest, least, counters), "phrases")
-    totals = counted.filter(F.size("words") == 0).select("lang", F.col("f").alias("n"))  # one row a language
+    # one row a language, copied per salt: most phrases may be of one language
+    totals = counted.filter(F.size("words") == 0).select(
+        "lang", F.col("f").alias("n"), F.explode(F.sequence(F.lit(0), F.lit(63))).alias("salt"))
     phrases = counted.filter(F.size("words") > 0)
     long = phrases.filter(F.size("words") > 1).select("lang", "words", F.col("f").alias("a"))
 
@@ -189,7 +213,8 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lon
         "tail", F.slice("words", F.col("k") + 1, F.lit(longest)))
     heads = phrases.select("lang", F.col("words").alias("head"), F.col("f").alias("l"))
     tails = phrases.select("lang", F.col("words").alias("tail"), F.col("f").alias("r"))
-    cuts = cuts.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"]).join(totals, "lang")
+    cuts = cuts.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"])
+    cuts = cuts.withColumn("salt", F.pmod(F.hash("words"), F.lit(64))).join(totals, ["lang", "salt"])
     score = F.expr("(cast(1000 as decimal(4,0)) * cast(a as decimal(16,0)) * cast(n as decimal(16,0)))"
                    " div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
     best = F.min_by(F.struct("l", "r", "n", "score"), F.struct("score", "k")).alias("best")
