@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.operators.scans import quantiles_by_class
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -139,21 +141,8 @@ def histogram(df: DataFrame, col: str, bins: int, out_bin: str = "bin", out_n: s
 def box_stats(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
     """AGG-17: min, q1, median, q3, max per class (exact, linear between ranks).
 
-    Rows are first counted per (class, value), with map-side combination; ranks
-    come from a running sum over the distinct values, so no task holds a class's rows."""
-    by = list(by)
-    vals = df.where(F.col(col).isNotNull()).groupBy(*by, F.col(col).cast("double").alias("__v")).agg(
-        F.count(F.lit(1)).alias("__c"))
-    run = Window.partitionBy(*by).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = vals.withColumns({"__upto": F.sum("__c").over(run), "__n": F.sum("__c").over(Window.partitionBy(*by))})
-    out = []
-    for name, q in (("min", 0.0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("max", 1.0)):
-        at = F.lit(q) * (F.col("__n") - 1)
-        lo = F.min(F.when(F.col("__upto") > F.floor(at), F.col("__v")))
-        hi = F.min(F.when(F.col("__upto") > F.ceil(at), F.col("__v")))
-        part = F.max(at - F.floor(at))
-        out.append((lo + (hi - lo) * part).alias(name))
-    return ranked.groupBy(*by).agg(*out)
+    Ranks are selected range by range (``quantiles_by_class``), so no task holds a class's rows or distinct values."""
+    return quantiles_by_class(df, by, col, {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0})
 
 
 def duplicate_report(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:

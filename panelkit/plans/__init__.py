@@ -12,5 +12,7 @@ from panelkit.plans import (  # noqa: F401
     q_model,
     q_fair,
     q_stream,
+    q_scans,
+    q_boost,
 )
 from panelkit.plans.registry import ORACLES, QUERIES  # noqa: F401
