@@ -3,7 +3,8 @@
 Rows are binned once. A level of all trees of a round, whatever the number of classes, settings and folds, is
 one pass: tasks walk their rows down the trees so far and sum gradients, Hessians and rows by (tree, node, feature, bin); Spark
 adds the sums up, running sums over the bins price every cut, and the best cut of each open node comes back. So a
-level costs one scan for one model and for a whole tuning grid alike, and depth has no limit.
+level costs one scan for one model and for a whole tuning grid alike, and depth has no limit. Nodes with few rows
+leave this loop: their rows meet in one group per node, where the same sums grow the rest of the tree.
 
 Gradients are rounded to whole numbers on a scale taken from the number of rows, so sums do not depend on the order
 of addition and a model of a grid equals the same model fitted alone. What reaches the driver and the tasks are
@@ -135,8 +136,10 @@ def _unpack(batch: pa.RecordBatch, width: int, scores: int):
 
 
 def fit_boosted(df: DataFrame, features: Sequence[str], label: str, settings: Sequence[Boost], *, objective: str = "squared",
-                classes: int = 1, fold: str | None = None, bins: int = 64, seed: int = 42) -> list[BoostedModel]:
-    """One model per setting, all grown together.
+                classes: int = 1, fold: str | None = None, bins: int = 64, seed: int = 42,
+                small: int = 1 << 16) -> list[BoostedModel]:
+    """One model per setting, all grown together. Nodes of at most ``small`` rows are finished in one group each; the trees are
+    the same for any ``small``.
 
     ``objective``: ``squared`` (label a number) or ``softmax`` (label 0 .. ``classes`` - 1, one tree a class and round).
     Rows with a null feature or label do not train. Empty table: every model is its base value."""
@@ -161,6 +164,7 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str, settings: Se
     unit = 2.0 ** min(38, 61 - math.ceil(math.log2(n + 1)))
     scale = unit / (most * 4), 1.0 if objective == "squared" else unit
 
+    counts = [sum(r["n"] for r in folds if r["fold"] != s.without_fold) for s in settings]
     start = np.concatenate(base)
 
     def first(batches):
@@ -177,7 +181,7 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str, settings: Se
         live = [m for m, s in enumerate(settings) if r < s.rounds]
         trees = {m * classes + k: Tree() for m in live for k in range(classes)}
         columns = {m: _columns(len(features), settings[m].column_share, seed, r) for m in live}
-        _grow(state, trees, columns, settings, edges, objective, classes, scale, scores)
+        _grow(state, trees, columns, settings, edges, objective, classes, scale, scores, counts, small)
         for t, tree in trees.items():
             tree.value = np.where(tree.feature < 0, tree.value * settings[t // classes].eta, 0.0)
         for m in live:
@@ -205,41 +209,61 @@ def _columns(n: int, share: float, seed: int, round_: int) -> np.ndarray:
     return np.sort(order[:max(1, round(share * n))])
 
 
-def _grow(state, trees, columns, settings, edges, objective, classes, scale, scores) -> None:
-    """Grow the trees of one round level by level."""
+def _node_rows(batch, trees, open_, settings, objective, classes, scale, width, scores):
+    """Per tree with open nodes the batch's training rows in them: (tree, place of the node, rounded gradients and Hessians, bins)."""
+    y, fold, x, margin = _unpack(batch, width, scores)
+    for m in sorted({t // classes for t in open_}):
+        g, h = _gradients(objective, y, margin[:, m * classes:(m + 1) * classes])
+        trains = fold != settings[m].without_fold if settings[m].without_fold is not None else np.ones(len(y), bool)
+        for t in range(m * classes, (m + 1) * classes):
+            if t in open_:
+                place = np.full(len(trees[t].feature), -1, np.int64)
+                place[open_[t]] = np.arange(len(open_[t]))
+                k = place[trees[t].walk(x)]
+                rows = np.flatnonzero(trains & (k >= 0))
+                yield t, k[rows], np.rint(g[rows, t % classes] * scale[0]), np.rint(h[rows, t % classes] * scale[1]), x[rows]
+
+
+def _grow(state, trees, columns, settings, edges, objective, classes, scale, scores, counts, small) -> None:
+    """Grow the trees of one round: level by level, and node by node where few rows are left."""
     spark = state.sparkSession
-    open_ = {t: np.zeros(1, np.int64) for t in trees}
     leaves, depth, width = dict.fromkeys(trees, 1), 0, len(edges)
     cells = max(len(e) for e in edges) + 1
+    for t, tree in trees.items():
+        tree.cover[0] = counts[t // classes]
+    open_ = {t: np.zeros(1, np.int64) for t in trees if counts[t // classes]}
+    few: dict[int, np.ndarray] = {}
+    began: dict[int, np.ndarray] = {}
+
+    def set_aside() -> None:
+        """Open nodes of few rows wait for the end, unless they could pass the bound on leaves together."""
+        for t in list(open_):
+            rows = trees[t].cover[open_[t]]
+            less = rows <= small
+            if less.any() and rows.sum() + leaves[t] <= settings[t // classes].max_leaves:
+                few[t] = np.append(few.get(t, np.zeros(0, np.int64)), open_[t][less])
+                began[t] = np.append(began.get(t, np.zeros(0, np.int64)), np.full(less.sum(), depth))
+                leaves[t] += int(rows[less].sum())
+                open_[t] = open_[t][~less]
+            if not len(open_[t]):
+                del open_[t]
+
+    set_aside()
     while open_:
         shared = spark.sparkContext.broadcast((trees, open_, columns))
 
         def sums(batches):
             trees, open_, columns = shared.value
-            place = {}
-            for t, nodes in open_.items():
-                place[t] = np.full(len(trees[t].feature), -1, np.int64)
-                place[t][nodes] = np.arange(len(nodes))
             for b in batches:
-                y, fold, x, margin = _unpack(b, width, scores)
                 held = []
-                for m in sorted({t // classes for t in open_}):
-                    g, h = _gradients(objective, y, margin[:, m * classes:(m + 1) * classes])
-                    trains = fold != settings[m].without_fold if settings[m].without_fold is not None else np.ones(len(y), bool)
-                    for t in range(m * classes, (m + 1) * classes):
-                        if t not in open_:
-                            continue
-                        k = place[t][trees[t].walk(x)]
-                        rows = np.flatnonzero(trains & (k >= 0))
-                        gi, hi = np.rint(g[rows, t % classes] * scale[0]), np.rint(h[rows, t % classes] * scale[1])
-                        for f in columns[m]:
-                            cell = k[rows] * cells + x[rows, f]
-                            size = len(open_[t]) * cells
-                            c = np.bincount(cell, minlength=size)
-                            at = np.flatnonzero(c)
-                            # sums of a batch are whole numbers below 2^53, so exact as doubles
-                            sg, sh = (np.bincount(cell, w, size)[at].astype(np.int64) for w in (gi, hi))
-                            held.append((np.full(len(at), t), at // cells, np.full(len(at), f), at % cells, sg, sh, c[at]))
+                for t, k, gi, hi, x in _node_rows(b, trees, open_, settings, objective, classes, scale, width, scores):
+                    for f in columns[t // classes]:
+                        cell, size = k * cells + x[:, f], len(open_[t]) * cells
+                        c = np.bincount(cell, minlength=size)
+                        at = np.flatnonzero(c)
+                        # sums of a batch are whole numbers below 2^53, so exact as doubles
+                        sg, sh = (np.bincount(cell, w, size)[at].astype(np.int64) for w in (gi, hi))
+                        held.append((np.full(len(at), t), at // cells, np.full(len(at), f), at % cells, sg, sh, c[at]))
                 if held:
                     cols = [np.concatenate(c).astype(np.int64) for c in zip(*held)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["tree", "place", "f", "bin", "g", "h", "c"])
@@ -252,26 +276,122 @@ def _grow(state, trees, columns, settings, edges, objective, classes, scale, sco
         after = {}
         for t in open_:
             s, tree = settings[t // classes], trees[t]
-            own = np.flatnonzero(cols["tree"] == t) if len(cols["tree"]) else np.zeros(0, np.int64)
-            nodes = open_[t][cols["place"][own]] if len(own) else np.zeros(0, np.int64)
-            if depth == 0 and len(own):
-                tree.value[0] = -cols["all_g"][own][0] / (cols["all_h"][own][0] + s.ridge)
-                tree.cover[0] = cols["all_c"][own][0]
-            win = own[cols["gain"][own] > s.least_gain] if len(own) and depth < s.depth else own[:0]
-            if len(win) > s.max_leaves - leaves[t]:
-                win = np.sort(win[np.argsort(-cols["gain"][win], kind="stable")[:s.max_leaves - leaves[t]]])
-            if not len(win):
-                continue
-            nodes = open_[t][cols["place"][win]]
-            gl, hl, cl = (cols[f"left_{c}"][win] for c in "ghc")
-            gr, hr, cr = (cols[f"all_{c}"][win] - x for c, x in zip("ghc", (gl, hl, cl)))
-            after[t] = tree.split(nodes, cols["f"][win], cols["bin"][win],
-                                  (-gl / (hl + s.ridge), -gr / (hr + s.ridge)), (cl, cr))
-            leaves[t] += len(win)
-            if depth + 1 >= s.depth:
-                del after[t]
+            own = np.flatnonzero(cols["tree"] == t)
+            own = own[np.argsort(cols["place"][own])]
+            nodes = open_[t][cols["place"][own]]
+            got = _split_best(tree, nodes, {k: v[own] for k, v in cols.items()}, s, depth, s.max_leaves - leaves[t])
+            leaves[t] += len(got) // 2
+            if len(got) and depth + 1 < s.depth:
+                after[t] = got
         open_ = after
         depth += 1
+        set_aside()
+    if few:
+        _finish(state, trees, few, began, columns, settings, edges, objective, classes, scale, scores)
+
+
+def _split_best(tree: Tree, nodes: np.ndarray, cols: dict, s: Boost, depth: int, room: int) -> np.ndarray:
+    """Split the nodes whose best cut gains enough (those with the highest gain when there is not room for all); the new nodes."""
+    if depth == 0 and len(nodes):
+        tree.value[0] = -cols["all_g"][0] / (cols["all_h"][0] + s.ridge)
+    win = np.flatnonzero(cols["gain"] > s.least_gain) if depth < s.depth else np.zeros(0, np.int64)
+    if len(win) > room:
+        win = np.sort(win[np.argsort(-cols["gain"][win], kind="stable")[:room]])
+    if not len(win):
+        return np.zeros(0, np.int64)
+    gl, hl, cl = (cols[f"left_{c}"][win] for c in "ghc")
+    gr, hr, cr = (cols[f"all_{c}"][win] - x for c, x in zip("ghc", (gl, hl, cl)))
+    return tree.split(nodes[win], cols["f"][win], cols["bin"][win], (-gl / (hl + s.ridge), -gr / (hr + s.ridge)), (cl, cr))
+
+
+def _cuts_of_rows(place, n, g, h, x, columns, cells, s: Boost, scale) -> dict:
+    """The best cut of each of n nodes from their rows: what ``_best_cuts`` finds, in one task."""
+    best = {k: np.zeros(n) for k in ("gain", *[f"{a}_{c}" for c in "ghc" for a in ("all", "left")])}
+    best["gain"] -= np.inf
+    best |= {"f": np.zeros(n, np.int64), "bin": np.zeros(n, np.int64)}
+    for f in columns:
+        cell = place * cells + x[:, f]
+        part = [np.bincount(cell, w, n * cells).reshape(n, cells) for w in (g, h)] + [
+            np.bincount(cell, minlength=n * cells).reshape(n, cells).astype(float)]
+        here = part[2] > 0
+        left = [np.cumsum(p, 1) / u for p, u in zip(part, (*scale, 1.0))]
+        (gl, hl, cl), (ga, ha, ca) = left, (p[:, -1:] for p in left)
+        gr, hr = ga - gl, ha - hl
+        able = here & (hl >= s.min_child) & (hr >= s.min_child) & (cl < ca)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = np.where(able, gl * gl / (hl + s.ridge) + gr * gr / (hr + s.ridge) - ga * ga / (ha + s.ridge), -np.inf)
+        at = gain.argmax(1)
+        rows = np.arange(n)
+        better = gain[rows, at] > best["gain"]
+        for k, v in (("gain", gain), ("left_g", gl), ("left_h", hl), ("left_c", cl)):
+            best[k] = np.where(better, v[rows, at], best[k])
+        best["f"], best["bin"] = np.where(better, f, best["f"]), np.where(better, at, best["bin"])
+        best |= {"all_g": ga[:, 0], "all_h": ha[:, 0], "all_c": ca[:, 0]}
+    return best
+
+
+def _finish(state, trees, few, began, columns, settings, edges, objective, classes, scale, scores) -> None:
+    """Grow the rest of the trees below the nodes ``few``: their rows meet in one group per node, and the nodes come back."""
+    spark, width = state.sparkSession, len(edges)
+    cells = max(len(e) for e in edges) + 1
+    shared = spark.sparkContext.broadcast((trees, few, began, columns))
+
+    def rows(batches):
+        trees, few, _, _ = shared.value
+        for b in batches:
+            for t, k, g, h, x in _node_rows(b, trees, few, settings, objective, classes, scale, width, scores):
+                flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), width).cast(pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), t)), pa.array(k), pa.array(g), pa.array(h), flat],
+                                                 ["tree", "place", "g", "h", "bins"])
+
+    def grow(group: pa.Table) -> pa.Table:
+        _, _, began, columns = shared.value
+        t, place = group["tree"][0].as_py(), group["place"][0].as_py()
+        s, tree = settings[t // classes], Tree()
+        g, h = group["g"].to_numpy(), group["h"].to_numpy()
+        x = group["bins"].combine_chunks().flatten().to_numpy().reshape(-1, width)
+        at, open_, start = np.zeros(len(g), np.int64), np.zeros(1, np.int64), int(began[t][place])
+        depth = start
+        while len(open_):
+            index = np.full(len(tree.feature), -1, np.int64)
+            index[open_] = np.arange(len(open_))
+            on = np.flatnonzero(index[at] >= 0)
+            cols = _cuts_of_rows(index[at[on]], len(open_), g[on], h[on], x[on], columns[t // classes], cells, s, scale)
+            if depth == start:
+                tree.value[0] = -cols["all_g"][0] / (cols["all_h"][0] + s.ridge)
+                tree.cover[0] = cols["all_c"][0]
+            got = _split_best(tree, open_, cols, s, depth, len(g))
+            depth += 1
+            cut = on[tree.feature[at[on]] >= 0]
+            at[cut] = tree.left[at[cut]] + (x[cut, tree.feature[at[cut]]] > tree.cut[at[cut]])
+            open_ = got if depth < s.depth else got[:0]
+        n = len(tree.feature)
+        return pa.table({"tree": np.full(n, t), "place": np.full(n, place), "node": np.arange(n), "feature": tree.feature, "cut": tree.cut,
+                         "left": tree.left, "value": tree.value, "cover": tree.cover})
+
+    found = state.mapInArrow(rows, "tree long, place long, g double, h double, bins array<int>").groupBy("tree", "place").applyInArrow(
+        grow, "tree long, place long, node long, feature int, cut int, left int, value double, cover double").toArrow()
+    found = found.sort_by([("tree", "ascending"), ("place", "ascending"), ("node", "ascending")])
+    cols = {c: found[c].to_numpy() for c in found.column_names}
+    first = np.flatnonzero(cols["node"] == 0)
+    grafts: dict[int, list] = {}
+    for a, b in zip(first, np.append(first[1:], len(found))):
+        grafts.setdefault(int(cols["tree"][a]), []).append((a, b))
+    for t, parts in grafts.items():
+        tree, n = trees[t], len(trees[t].feature)
+        new = {c: [getattr(tree, c)] for c in ("feature", "cut", "left", "value", "cover")}
+        for a, b in parts:
+            root = few[t][cols["place"][a]]
+            # a sub-tree's root is the node itself, the others are added at the end
+            for c in new:
+                v = cols[c][a:b]
+                v = v + (n - 1) if c == "left" else v
+                new[c][0][root] = v[0]
+                new[c].append(v[1:])
+            n += b - a - 1
+        for c, v in new.items():
+            setattr(tree, c, np.concatenate(v))
+    shared.unpersist()
 
 
 def _best_cuts(sums: DataFrame, settings: Sequence[Boost], classes: int, scale: tuple[float, float]) -> DataFrame:
