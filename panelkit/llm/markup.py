@@ -14,6 +14,7 @@ import xxhash
 TAG = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))
     | <(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?:(?P<attrs>(?>[^>"']+|"[^"]*"|'[^']*')*+)> | (?P<cut>[^>]*)(?:>|\Z))
     | <[!?/][^>]*(?:>|\Z)""", re.S | re.X)
+MARKED = re.compile(r"\b(?:class|id|role)\s*=", re.I)
 ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 DIGITS = re.compile(r"\d+")
 PARTS = re.compile(r"[^a-z0-9]+")
@@ -39,6 +40,7 @@ OUT_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsense
     menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar sidebar sidebars widget widgets
     footer share sharing social related recommended recommendations search form disqus""".split())
 COMMENT_WORDS = frozenset("comment comments commentlist respond replies".split())
+SPECIAL = frozenset("article main header".split())
 HEAD_WORDS = frozenset("header masthead banner topbar".split())
 
 
@@ -57,23 +59,24 @@ class Page:
         self.flush()
 
     def read(self, html: str) -> None:
-        at, n = 0, len(html)
+        at, n, search = 0, len(html), TAG.search
         while at < n:
-            m = TAG.search(html, at)
+            m = search(html, at)
             if m is None:
                 self.add(html[at:])
                 return
-            if m.start() > at:
-                self.add(html[at:m.start()])
-            at = m.end()
-            name = m["name"]
+            begin, end = m.span()
+            if begin > at:
+                self.add(html[at:begin])
+            at = end
+            closes, name, attrs, cut = m.groups()
             if name is None:
                 continue
             name = name.lower()
-            if m["end"]:
+            if closes:
                 self.close(name)
                 continue
-            self.start(name, m["attrs"] if m["attrs"] is not None else m["cut"] or "")
+            self.start(name, cut or "" if attrs is None else attrs)
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, at)
                 at = end.start() if end else n
@@ -129,7 +132,7 @@ class Page:
     def judge(self, name: str, attrs: str, part: int) -> tuple[str, int]:
         """Label of an element and the part of the page that it is."""
         words, names, role = [], set(), ""
-        if attrs and not attrs.isspace():
+        if attrs and MARKED.search(attrs):
             for key, *value in ATTR.findall(attrs):
                 key, value = key.lower(), unescape("".join(value)).lower()
                 if key == "class":
@@ -143,6 +146,8 @@ class Page:
             return label, part
         if name in OUT_TAGS or role in OUT_ROLES:
             return label, -1
+        if not names and not role and name not in SPECIAL:
+            return label, part
         if name in ("html", "body"):
             return label, part
         if names & COMMENT_WORDS:

@@ -95,7 +95,9 @@ def test_large_hosts_in_parts_repeated_rows_and_clashing_columns(spark):
     rows += rows[:5]
     df = table(spark, rows, ", host long, salt string")
     whole = sorted(tuple(r) for r in main_text(df).collect())
-    assert len(whole) == 45 and sorted(tuple(r) for r in main_text(df, split=3).collect()) == whole
+    assert len(whole) == 45 and sorted(tuple(r) for r in main_text(df, split=9).collect()) == whole
+    # templates shuffled instead of sent to every task
+    assert sorted(tuple(r) for r in main_text(df, split=9, broadcast_entries=0).collect()) == whole
     assert all("Sign up" not in r[2] and r[2].startswith(f"Title {r[0]}\n") for r in whole)
     assert main_text(df).columns == ["page_id", "url", "text", "n_chars"]
     assert main_text(df.limit(0)).count() == 0
@@ -108,23 +110,27 @@ def test_a_very_long_page(spark):
     assert got[1].count("\n") == 60_000 and got[1].endswith("\nend") and got[2] == "s"
 
 
-def test_classes_are_those_of_occurrence_vectors(spark):
+@pytest.mark.parametrize("salts", [1, 3])
+def test_classes_are_those_of_occurrence_vectors(spark, salts):
     rng = random.Random(4)
-    rows = [page(f"{h}.example", 10 * i + k, [prose(rng, 20, 30) for _ in range(2)]) for i, h in enumerate("pq") for k in range(6)]
-    vectors, pages = defaultdict(dict), defaultdict(int)
+    rows = [page(f"{h}.example", 10 * i + k, [prose(rng, 20, 30) for _ in range(2)]) for i, h in enumerate("pq") for k in range(9)]
+    vectors, pages = defaultdict(dict), defaultdict(set)
     for k, url, html in rows:
         host = url.split("/")[2]
-        pages[host] += 1
-        for t, c in zip(*(x.tolist() for x in np.unique(page_tokens(Page(html, {}).items, Hasher(False))[0], return_counts=True))):
+        pages[host, k % salts].add(k)
+        tokens = page_tokens([Page(html, {}).items], Hasher(False))[0][0]
+        for t, c in zip(*(x.tolist() for x in np.unique(tokens, return_counts=True))):
             vectors[host, t][k] = c
     want = defaultdict(set)
     for (host, t), v in vectors.items():
-        if len(v) >= 4 and 2 * len(v) >= pages[host]:
+        if len(v) >= 4 and all(2 * len(own & set(v)) >= len(own) for (h, _), own in pages.items() if h == host):
             want[host, tuple(sorted(v.items()))].add(t)
     want = sorted((h, tuple(sorted(t))) for (h, _), t in want.items() if len(t) >= 3)
-    df = table(spark, rows).select(F.regexp_extract("url", "//([^/]*)", 1).alias("host"), F.xxhash64("html").alias("key"), "html")
+    df = table(spark, rows).select(F.regexp_extract("url", "//([^/]*)", 1).alias("host"), (F.col("page_id") % salts).alias("salt"),
+                                   F.xxhash64("html").alias("key"), "html")
+    df = df.repartition("host", "salt").sortWithinPartitions("host", "salt")
     got = defaultdict(set)
-    for r in candidate_classes(count_vectors(df, unit=50), df.groupBy("host").agg(F.count("*").alias("n")), 4, 3).collect():
+    for r in candidate_classes(count_vectors(df, 4), 4, 3).collect():
         for x in r.template:
             got[r.host, x["class"]].add(x.token)
     assert sorted((h, tuple(sorted(t))) for (h, _), t in got.items()) == want and len(want) >= 2
