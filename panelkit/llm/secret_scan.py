@@ -31,24 +31,63 @@ GENERIC = r"[A-Za-z0-9+/_-]{24,}"
 SPAN = "struct<start:int,rank:int,stop:int,kind:string,value:string>"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, whatever ``body`` does with it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def running(values: Column, start: Column, merge, block: int = 128) -> Column:
+    """For each integer of an array the merge of ``start`` and all before it. Appending copies an array, so this is done inside
+    blocks and over the blocks: the work grows as the array, not as its square."""
+    def inside(of, first):
+        def step(acc, x):
+            return F.struct(merge(acc["now"], x).alias("now"), F.concat(acc["out"], F.array(acc["now"])).alias("out"))
+        return F.aggregate(of, F.struct(first.alias("now"), F.array().cast("array<int>").alias("out")), step)
+
+    def blocks(of):
+        last = F.greatest(F.ceil(F.size(of) / block).cast("int") - 1, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(of, k * block + 1, block))
+
+    def whole(parts):
+        each = F.transform(parts, lambda x: F.aggregate(x, start, merge))
+        return F.flatten(F.zip_with(parts, inside(each, start)["out"], lambda x, first: inside(x, first)["out"]))
+
+    return let(values, lambda v: let(blocks(v), whole))
+
+
 def matches(text: Column, pattern: str, rank: int, kind: str) -> Column:
     """All leftmost non-overlapping matches as spans in code points. A match starts
     after the pieces between matches and the matches before it."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        stop = start + F.length(x["hit"])
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), stop.alias("stop"),
-                        F.lit(kind).alias("kind"), x["hit"].alias("value"))
-        return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def spans(pairs: Column) -> Column:
+        before = running(F.transform(pairs, lambda x: F.length(x["gap"]) + F.length(x["hit"])), F.lit(0), lambda n, x: n + x)
+        return F.zip_with(pairs, before, lambda x, n: F.struct(
+            (n + F.length(x["gap"])).alias("start"), F.lit(rank).alias("rank"),
+            (n + F.length(x["gap"]) + F.length(x["hit"])).alias("stop"), F.lit(kind).alias("kind"), x["hit"].alias("value")))
+
+    pairs = let(found, lambda f: F.zip_with(F.slice(gaps, 1, F.size(f)), f,
+                                            lambda g, h: F.struct(g.alias("gap"), h.alias("hit"))))
+    return let(pairs, lambda p: F.when(F.size(p) > 0, spans(p)).otherwise(F.array().cast(f"array<{SPAN}>")))
+
+
+def apart(base: Column, more: Column) -> Column:
+    """The spans of ``more`` that touch none of ``base``: in order of starts, the base spans before one end in time, and those
+    after it start in time. One sort and two running values, so many spans cost no more than their order."""
+    far = 2 ** 31 - 1
+
+    def clear(spans):
+        ends = running(F.transform(spans, lambda s: F.when(s["kind"] == "live", F.lit(0)).otherwise(s["stop"])),
+                       F.lit(0), lambda a, x: F.greatest(a, x))
+        starts = F.reverse(running(F.reverse(F.transform(spans, lambda s: F.when(s["kind"] == "live", F.lit(far)).otherwise(s["start"]))),
+                                   F.lit(far), lambda a, x: F.least(a, x)))
+        judged = F.zip_with(F.arrays_zip(spans.alias("span"), ends.alias("end")), starts, lambda x, start: F.struct(
+            x["span"].alias("span"), (x["end"] <= x["span"]["start"]).alias("before"), (start >= x["span"]["stop"]).alias("after")))
+        kept = F.filter(judged, lambda x: (x["span"]["kind"] == "live") & x["before"] & x["after"])
+        return F.transform(kept, lambda x: x["span"])
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found,
-                       lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    spans = F.aggregate(pairs, zero, step)["out"]
-    return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return F.when(F.size(more) > 0, let(F.array_sort(F.concat(base, more)), clear)).otherwise(more)
 
 
 def base_spans(text: Column) -> Column:
@@ -92,9 +131,7 @@ def scan_secrets(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id",
     scanned = docs.select(
         row_key().alias("__uid"), F.col(id_col).alias("__id"), F.col(repository).cast("string").alias("repository"),
         F.col(owner).cast("string").alias("owner"), base_spans(t).alias("base"), generic_spans(t).alias("more"))
-    clear = F.filter("more", lambda s: ~F.exists(
-        "base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    scanned = cut_lineage(scanned.withColumn("more", clear), "spans")
+    scanned = cut_lineage(scanned.withColumn("more", apart(F.col("base"), F.col("more"))), "spans")
     spans = (scanned.filter((F.size("base") > 0) | (F.size("more") > 0))
              .select("__uid", "repository", "owner", F.explode(F.concat("base", "more")).alias("s"))
              .withColumn("digest", F.sha2(secret_value(F.col("s")), 256)))

@@ -10,6 +10,7 @@ their tool and written as canonical JSON (sorted keys, no spaces, shortest numbe
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -59,8 +60,17 @@ def problems(value, schema: dict, at: str = "$") -> Iterator[str]:
             yield from problems(x, schema["items"], f"{at}[{k}]")
 
 
+#: Half a surrogate pair: valid in JSON as an escape, in no text.
+LONE = re.compile("[\ud800-\udfff]")
+
+
+def no_lone(text: str | None) -> str | None:
+    """Lone surrogates written as the escapes they came as."""
+    return LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text) if text else text
+
+
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return no_lone(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
 
 
 def checked_arguments(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -78,7 +88,7 @@ def checked_arguments(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
             if tool not in schemas:
                 out.append((form, "$: unknown tool"))
             else:
-                out.append((form, next(problems(value, schemas[tool]), None)))
+                out.append((form, no_lone(next(problems(value, schemas[tool]), None))))
         return pd.DataFrame(out, columns=["canonical", "problem"])
 
     return calls.withColumn("__c", check("name", "arguments")).select("*", "__c.*").drop("__c")
@@ -179,8 +189,9 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
                 status: pd.Series) -> pd.Series:
         out = []
         for i, n, a, c, s in zip(call_id, name, arguments, content, status):
-            row = {"id": i, "name": n, "arguments": None if a is None else json.loads(a), "result": c, "status": s}
-            out.append(canonical({k: v for k, v in row.items() if v is not None}))
+            # keys in order; arguments are canonical already, and as deep as the parser went
+            row = {"arguments": a, **{k: None if v is None else canonical(v) for k, v in (("id", i), ("name", n), ("result", c), ("status", s))}}
+            out.append("{" + ",".join(f'"{k}":{v}' for k, v in row.items() if v is not None) + "}")
         return pd.Series(out, dtype=object)
 
     out = both.select(*keys, "position", "level", "status", "problem", "n_repeats",

@@ -48,3 +48,28 @@ def test_nulls_repeats_and_empty_table(documents):
     assert scan_secrets(documents([])).count() == 0
     clash = documents([(1, "a", "en", "s", "u", 1)], ", base string, more int")
     assert scan_secrets(clash).count() == 1
+
+
+def test_a_dump_of_keys_in_one_text(documents):
+    rng = random.Random(8)
+    word = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(word) for _ in range(30)) for _ in range(60_000)]
+    text = " é ".join(f"token={k}" if i % 2 else k for i, k in enumerate(keys))
+    assert len(text) > 2_000_000
+    r = scan_secrets(documents([(1, text), (2, "see " + keys[0])])).filter("doc_id = 1").first()
+    want = list(base_secrets(text))
+    assert [(s.kind, s.start, s.stop) for s in r.base] == want and len(want) == 30_000
+    mixed = [k for k in keys[::2] if any(c.islower() for c in k) and any(c.isupper() for c in k) and any(c.isdigit() for c in k)]
+    assert [s.value for s in r.added] == mixed
+    assert all(text[s.start:s.stop] == s.value for s in r.added[::997])
+
+
+def test_generic_tokens_that_touch_base_spans(documents):
+    a, b = "Zx81kQpLm02Vb7TyRe45WqAs9", "Qq77kQpLm02Vb7TyRe45WqAs1"
+    texts = [f"{a} token={b} {a}", f"{a}{'0f' * 20}", f"{'0f' * 20}Z{a} {b}", f"secret={a}/{b} {b}"]
+    got = {r.doc_id: r for r in scan_secrets(documents([(k, t) for k, t in enumerate(texts)]), live_owners=9, live_repositories=99).collect()}
+    for k, t in enumerate(texts):
+        base = [(s.start, s.stop) for s in got[k].base]
+        import re
+        want = [m.span() for m in re.finditer("[A-Za-z0-9+/_-]{24,}", t) if not any(s < m.end() and m.start() < e for s, e in base)]
+        assert [(s.start, s.stop) for s in got[k].added] == want

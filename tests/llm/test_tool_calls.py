@@ -97,3 +97,26 @@ def test_turns_become_exchanges(spark):
 def test_schema_checks(value, schema, want):
     assert next(problems(value, schema), None) == want
     assert canonical({"b": 1, "a": "é"}) == '{"a":"é","b":1}'
+
+
+def test_lone_surrogates_and_deep_arguments(spark):
+    deep = lambda n: "[" * n + "]" * n
+    calls = [(1, "a", 1, "add", '{"a":1,"b":"\\ud800x"}', []), (1, "b", 2, "add", '{"\\udfff":1,"a":1}', []),
+             (1, "c", 3, "add", '{"a":1,"b":"\\ud83d\\ude00"}', []), *((1, f"d{n}", n, "add", deep(n), []) for n in (50, 900, 990, 5000, 200000))]
+    got = {r.call_id: r for r in link(spark, calls, []).collect()}
+    assert got["a"].status == "unanswered" and '"b":"\\ud800x"' in got["a"].json
+    assert got["b"].problem == "$.\\udfff: unknown" and '"\\udfff":1' in got["b"].json
+    assert '"b":"😀"' in got["c"].json
+    assert all(json.loads(got[k].json)["id"] == k for k in "abc")
+    for n in (50, 900, 990, 5000, 200000):
+        r = got[f"d{n}"]
+        # what the parser takes is in the result whole, what it does not take is no JSON
+        assert (deep(n) in r.json) if r.problem != "$: not JSON" else "arguments" not in r.json
+    assert got["d50"].problem == "$: not object" and got["d200000"].problem == "$: not JSON"
+
+
+def test_clashing_extra_columns(spark):
+    calls = spark.createDataFrame([(1, "a", 1, "add", '{"a":1}', [], "x", 1, 2, True, None)], CALLS + ", content string, level int, position int, answered boolean, c string")
+    results = spark.createDataFrame([(1, "a", 2, "r", "y", 3, 4)], RESULTS + ", name string, n int, more_calls int")
+    r = link_calls(calls, results, SCHEMAS).collect()
+    assert len(r) == 1 and r[0].status == "ok" and json.loads(r[0].json)["result"] == "r"
