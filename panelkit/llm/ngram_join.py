@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from panelkit.llm.arrays import forest, runs, spread
 from panelkit.llm.common import FixedBloom, row_key, smallest_reachable
 from panelkit.llm.textops import Hasher, U, mix, slices
-from panelkit.session import cut_lineage
+from panelkit.session import cut_lineage, discard
 
 SIGNED = np.int64
 
@@ -292,7 +292,7 @@ def propose(members: DataFrame, t: int, spanning: bool) -> DataFrame:
 
 def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, id_col: str, size: int, t: int,
            lower: bool) -> DataFrame:
-    """The pairs whose full sets reach the threshold. Only texts in pairs are hashed again; a
+    """The pairs whose full sets reach the threshold, written. Only texts in pairs are hashed again; a
     Bloom filter of fixed size keeps most others out before the shuffle."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
     wanted = cut_lineage(ids.join(reps.select("uid", "id", "s1", "s2"), "uid"), "wanted")
@@ -320,7 +320,9 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, id_col
     two = full.select(F.col("uid").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - both
-    return pairs.join(one, "a").join(two, "b").filter(both * 100 >= union * t).select("a", "b")
+    links = cut_lineage(pairs.join(one, "a").join(two, "b").filter(both * 100 >= union * t).select("a", "b"), "links")
+    discard(full, wanted)
+    return links
 
 
 def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", size: int = 4, percent: int = 85,
@@ -342,7 +344,8 @@ def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_
                  F.first("edges").alias("edges"), F.first("path").alias("path")))
     reps = cut_lineage(reps, "classes")
 
-    postings = reps.select("uid", F.explode("edges").alias("edge"))
+    # dealt by edge once, for the groups and for the join back to them
+    postings = reps.select("uid", F.explode("edges").alias("edge")).repartition("edge")
     # the sub-trees of all edges with the same smallest class are one, so near copies meet once, not once an edge
     by_edge = postings.groupBy("edge").agg(F.min("uid").alias("gid"), F.count("*").alias("k")).filter("k > 1")
     members = cut_lineage(postings.join(by_edge, "edge").select("gid", "uid").distinct(), "members")
@@ -358,7 +361,7 @@ def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_
         return of.join(info, "uid")
 
     def check(pairs: DataFrame) -> DataFrame:
-        return cut_lineage(verify(pairs, reps, docs, text, id_col, size, percent, lower), "links")
+        return verify(pairs, reps, docs, text, id_col, size, percent, lower)
 
     def forests(of: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Proposals of every block for itself, and those of them that are links."""
@@ -389,6 +392,7 @@ def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_
         rest = propose(described(left, comp), percent, False).select("a", "b").distinct()
         rest = rest.join(failed.select("a", "b").distinct(), ["a", "b"], "left_anti")
         comp = smallest_reachable(links.union(check(cut_lineage(rest, "pairs"))))
+    discard(members, sizes)
     low = reps.select("s1", "s2", "n", "uid", "low").join(comp, F.col("uid") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "uid"))
     least = low.groupBy("component").agg(F.min("low").alias("component_id"))
