@@ -8,6 +8,7 @@ so depths are parameters with Spark-feasible defaults.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
@@ -127,6 +128,15 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int = 4, seed: int = 42, o
     return model, model.transform(df).drop("raw", "features")
 
 
+def assign_centroids(df: DataFrame, cols: Sequence[str], centroids: Sequence[Sequence[float]], out: str = "cluster") -> DataFrame:
+    """ML-9 with given centroids: the number of the nearest one (ties: the smaller number); NULL where a column is."""
+    def far(c):
+        return sum(((F.col(x) - F.lit(float(v))) * (F.col(x) - F.lit(float(v))) for x, v in zip(cols, c)), F.lit(0.0))
+    near = F.array_min(F.array(*[F.struct(far(c).alias("d"), F.lit(k).alias("k")) for k, c in enumerate(centroids)]))
+    known = [F.col(x).isNotNull() for x in cols]
+    return df.withColumn(out, F.when(reduce(lambda a, b: a & b, known), near["k"]))
+
+
 def order_clusters(assigned: DataFrame, cluster: str, by: Sequence[str], out: str = "cluster_rank") -> DataFrame:
     """ML-10: stable labels: rank clusters by the means of ``by`` and map each row's
     cluster to its rank (k-row table, broadcast)."""

@@ -14,5 +14,6 @@ from panelkit.plans import (  # noqa: F401
     q_stream,
     q_scans,
     q_boost,
+    q_given,
 )
 from panelkit.plans.registry import ORACLES, QUERIES  # noqa: F401

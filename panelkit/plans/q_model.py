@@ -11,7 +11,7 @@ from panelkit.operators import evaluate as ev
 from panelkit.operators import models as ml
 from panelkit.operators import split as sp
 from panelkit.operators import windows as win
-from panelkit.plans.common import H, M, dense_panel, panel_ctes, rounded, sig_sql
+from panelkit.plans.common import H, M, dense_panel, panel_ctes, round_dec, rounded, sig, sig_sql
 from panelkit.plans.registry import register, with_ctes
 from panelkit.sources import testdata as td
 
@@ -57,17 +57,40 @@ def train_test(spark: SparkSession, d: str):
     return f.filter(F.col("split") == "train"), f.filter(F.col("split") == "test")
 
 
-@register("enc3_poly_features")
+_MO = "(PARTITION BY household_key ORDER BY month_no)"
+_DIAL = "(180.0 - 15.0 * 2 * ((month_no - 1) % 12 + 1)) / 180.0 * pi()"
+MODEL_SQL = [*panel_ctes("month_no"), f"""model AS (SELECT * FROM (SELECT household_key, month_no, sales_value / 100 AS y,
+  coalesce(lag(sales_value / 100) OVER {_MO}, 0.0) AS lag1, coalesce(lag(sales_value / 100, 2) OVER {_MO}, 0.0) AS lag2,
+  coalesce(lag(quantity) OVER {_MO}, 0.0) AS qty_lag1,
+  avg(sales_value / 100) OVER (PARTITION BY household_key ORDER BY month_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hist_mean,
+  ({' + '.join(f'coalesce(lag(sales_value / 100, {k}) OVER {_MO}, 0.0) * {11 - k}.0' for k in range(1, 11))}) / 55.0 AS wavg10,
+  sin({_DIAL}) AS month_sin, cos({_DIAL}) AS month_cos FROM dense) WHERE hist_mean IS NOT NULL)"""]
+
+
+def sig_array(arr):
+    """Elements to eight digits, without negative zeros."""
+    return F.transform(arr, lambda x: sig(x) + F.lit(0.0))
+
+
+@register("enc3_poly_features", with_ctes(*MODEL_SQL, body=f"""
+SELECT household_key, month_no, 9 AS n_terms, list_transform([lag1, lag1 * lag1, lag1 * lag1 * lag1, qty_lag1, lag1 * qty_lag1,
+    lag1 * lag1 * qty_lag1, qty_lag1 * qty_lag1, lag1 * qty_lag1 * qty_lag1, qty_lag1 * qty_lag1 * qty_lag1],
+  lambda x: {sig_sql('x')}) AS poly FROM model"""))
 def enc3_poly_features(spark: SparkSession, d: str) -> DataFrame:
     f = model_frame(spark, d)
     from pyspark.ml.functions import vector_to_array
     arr = vector_to_array(F.col("poly"))
-    return sp.poly(f, ["lag1", "qty_lag1"], 3).select(H, M, F.size(arr).alias("n_terms"), arr.alias("poly"))
+    return sp.poly(f, ["lag1", "qty_lag1"], 3).select(H, M, F.size(arr).alias("n_terms"), sig_array(arr).alias("poly"))
 
 
-@register("enc4_assemble_features")
+@register("enc4_assemble_features", with_ctes(*MODEL_SQL, body="""
+SELECT household_key, month_no, list_transform(list_transform([lag1, lag2, qty_lag1, hist_mean, wavg10, month_sin, month_cos],
+  lambda x: round(x, 9)), lambda x: {SIG} + 0.0) AS features FROM model""".replace("{SIG}", sig_sql("x"))))
 def enc4_assemble_features(spark: SparkSession, d: str) -> DataFrame:
-    return sp.assemble_features(model_frame(spark, d), FEATURES).select(H, M, F.col("features").cast("string"))
+    from pyspark.ml.functions import vector_to_array
+    arr = vector_to_array(F.col("features"))
+    return sp.assemble_features(model_frame(spark, d), FEATURES).select(
+        H, M, sig_array(F.transform(arr, lambda x: round_dec(x, 9))).alias("features"))
 
 
 @register("spl1_split_ordered", with_ctes(*panel_ctes("month_no"), body="""

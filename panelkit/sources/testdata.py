@@ -218,3 +218,18 @@ def products_raw(spark: SparkSession, d: str) -> DataFrame:
 PRODUCTS_RAW_SQL = """praw AS (
   SELECT p_partkey AS product_id, CASE WHEN p_size > 45 THEN ' ' ELSE p_brand END AS department,
          p_type AS commodity_desc, upper(p_name) AS sub_commodity_desc FROM part)"""
+
+
+def promotions(spark: SparkSession, d: str) -> DataFrame:
+    """Promotions per household and week: seconds in the app (view and click events, in hundredths) and bonus points (ten a
+    purchase). The household is the event's user, the week follows from its number."""
+    e = table(spark, d, "events")
+    return e.groupBy(F.col("user_id").alias("household_key"), (F.col("event_id") % 344 + 1).cast("int").alias("week_no")).agg(
+        F.sum(F.when(F.col("event_type").isin("view", "click"), F.round(F.col("value") * 100).cast("long")).otherwise(0)).alias("time_in_app"),
+        F.sum(F.when(F.col("event_type") == "purchase", 10).otherwise(0)).cast("long").alias("bonus_points"))
+
+
+PROMOTIONS_SQL = """promotions AS (
+  SELECT user_id AS household_key, CAST(event_id % 344 + 1 AS INTEGER) AS week_no,
+    sum(CASE WHEN event_type IN ('view', 'click') THEN CAST(round(value * 100) AS BIGINT) ELSE 0 END) AS time_in_app,
+    sum(CASE WHEN event_type = 'purchase' THEN 10 ELSE 0 END) AS bonus_points FROM events GROUP BY 1, 2)"""

@@ -61,7 +61,10 @@ def _spark_type_names(sdf) -> dict:
     names = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE", T.StringType: "VARCHAR",
              T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP", T.BooleanType: "BOOLEAN", T.FloatType: "FLOAT",
              T.TimestampType: "TIMESTAMP WITH TIME ZONE", T.ShortType: "SMALLINT", T.ByteType: "TINYINT"}
-    return {f.name: names.get(type(f.dataType), str(f.dataType)) for f in sdf.schema.fields}
+
+    def name(t) -> str:
+        return f"{name(t.elementType)}[]" if isinstance(t, T.ArrayType) else names.get(type(t), str(t))
+    return {f.name: name(f.dataType) for f in sdf.schema.fields}
 
 
 def compare(spark, name: str, sf_dir: str, fn, sql: str, con=None) -> dict:
