@@ -219,6 +219,10 @@ def hit_texts(answers: DataFrame, window: int, block: int) -> DataFrame:
     return ordered.mapInArrow(run, "id long, h1 long, h2 long, n long, sha string, starts array<int>, ends array<int>")
 
 
+#: Windows held by more rows than these, and by more than one in so many, are hot.
+LEAST_HOT, HOT_PARTS = 5_000, 10_000
+
+
 def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (distinct KEY columns and more) with the texts it names."""
     bloom = FixedBloom(wanted, "id")
@@ -262,8 +266,13 @@ def repeated_positions(texts: DataFrame, window: int) -> DataFrame:
 
     rows = texts.select(*KEY, "text", "starts", "ends").mapInArrow(run, "id long, h1 long, h2 long, w long, at int")
     rows = cut_lineage(rows, "windows")
-    owners = rows.groupBy("w").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
-    return rows.join(owners.select("w", "lo"), "w").filter("id > lo").select(*KEY, "at")
+    owners = rows.groupBy("w").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
+    owners = cut_lineage(owners.drop("hi"), "owners")
+    # a window that more than one in HOT_PARTS rows hold is sent to its rows (fewer than HOT_PARTS such windows), others meet by a shuffle
+    often = max(LEAST_HOT, rows.count() // HOT_PARTS)
+    marked = rows.join(F.broadcast(owners.filter(F.col("n") > often).select("w", F.col("lo").alias("hot"))), "w", "left")
+    few = marked.filter("hot is null").join(owners.filter(F.col("n") <= often).select("w", "lo"), "w").filter("id > lo")
+    return marked.filter("id > hot").select(*KEY, "at").union(few.select(*KEY, "at"))
 
 
 def remove_repeats(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", window: int = 50,

@@ -184,9 +184,12 @@ def learn(docs: DataFrame, text: str, id_col: str, lang: str, sample_docs: int,
     rows = (docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(id_col))
             .select(F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("k"), F.col(text).alias("t")))
     # copies share the hash and are one teacher
-    top = W.partitionBy("lang").orderBy("k")
-    first = (rows.select("lang", "k").groupBy("lang", "k").agg(F.count("*").alias("copies"))
-             .withColumn("r", F.row_number().over(top)).filter(F.col("r") <= sample_docs).select("lang", "k", "r"))
+    # ranked in hash parts of a language first, so no task ranks a language's texts: at most sample_docs of each part go on
+    first = rows.select("lang", "k").groupBy("lang", "k").agg(F.pmod("k", F.lit(64)).alias("part"))
+    for by in (["lang", "part"], ["lang"]):
+        top = W.partitionBy(*by).orderBy("k")
+        first = first.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= sample_docs)
+    first = first.select("lang", "k", "r")
     letters = F.regexp_replace("t", r"[^\p{L}]+", " ")
     rows = (rows.join(F.broadcast(first), ["lang", "k"]).withColumn("l", letters)
             .select("lang", "r", F.substr("l", (F.pmod("k", room) + 1).cast("int"), F.lit(size)).alias("s"))

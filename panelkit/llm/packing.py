@@ -92,6 +92,7 @@ class TokenStream:
     """
 
     def __init__(self, path: str, remember: int = 400_000):
+        import json
         import os
         import re
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -99,6 +100,10 @@ class TokenStream:
         import tiktoken
         from tokenizers import Tokenizer
         self.tok, self.remember = Tokenizer.from_file(path), remember
+        before = json.loads(self.tok.to_str())
+        pre = before.get("pre_tokenizer") or {}
+        if (before.get("normalizer"), pre.get("type"), pre.get("add_prefix_space"), pre.get("use_regex", True)) != (None, "ByteLevel", False, True):
+            raise ValueError(f"{path} does not cut texts as byte-level BPE files of this kind do")
         special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
         self.whole = re.compile("|".join([r" \s", *map(re.escape, sorted(special))]))
         vocab, letters = self.tok.get_vocab(), byte_letters()

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from panelkit.llm import anchors
 from panelkit.llm.anchors import pack_gaps, remove_repeats, unpack_gaps
 from tests.llm.brute import sha, without_repeats
 from tests.llm.conftest import prose
@@ -60,3 +61,14 @@ def test_gaps_round_trip():
         loc = np.unique(rng.integers(0, top, 200))
         assert (unpack_gaps(pack_gaps(loc)) == loc).all()
     assert len(unpack_gaps(pack_gaps(np.zeros(0, np.int64)))) == 0
+
+
+def test_hot_windows_meet_without_a_shuffle(documents, monkeypatch):
+    rng = random.Random(12)
+    passage = prose(rng, 90, 10**6)
+    rows = [(k, f"{prose(rng, 20, 10**6)} {passage} {prose(rng, 20, 10**6)}") for k in range(40)] + [(90, prose(rng, 80)), (91, passage)]
+    want = without_repeats(dict(rows))
+    for least in (3, 1000):
+        monkeypatch.setattr(anchors, "LEAST_HOT", least)
+        got = {r.doc_id: (r.n_words, r.n_removed) for r in remove_repeats(documents(rows)).collect()}
+        assert got == {k: v[:2] for k, v in want.items()}

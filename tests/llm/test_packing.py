@@ -110,3 +110,9 @@ def test_empty_table_and_clashing_columns(documents):
     assert pack_sequences(documents([]), tokenizer=PATH).count() == 0
     clash = documents([(1, "a", "en", "s", "u", 3)], ", start string, length long")
     assert [r.length for r in pack_sequences(clash, tokenizer=PATH).collect()] == [2]
+
+
+def test_a_file_with_other_pieces_is_refused():
+    import public_tokenizers
+    with pytest.raises(ValueError):
+        TokenStream(public_tokenizers.path("word_bpe_49k.json"))
