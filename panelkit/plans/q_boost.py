@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelkit.functions import calendar as cal
 from panelkit.operators import boosting as bo
 from panelkit.operators import evaluate as ev
+from panelkit.operators import gradient as gr
 from panelkit.plans.common import rounded, sig_sql
 from panelkit.plans.registry import register, with_ctes
 from panelkit.sources import testdata as td
@@ -97,3 +98,18 @@ def ml13_tree_attribution(spark: SparkSession, d: str) -> DataFrame:
     train, test = sides(spark, d)
     model = bo.fit_boosted(train, ["n_orders", "temp", "season", "weekend"], "load", [bo.Boost(rounds=10, depth=4)])[0]
     return bo.tree_attribution(test, model, ["date"])
+
+
+@register("ml8_kernel_and_network")
+def ml8_kernel_and_network(spark: SparkSession, d: str) -> DataFrame:
+    """Support vectors and a neural network beside boosted trees on the daily load: metrics of the test side."""
+    train, test = sides(spark, d)
+    names = ["n_orders", "temp", "season", "weekend"]
+    models = {"svr": gr.fit_svr(train, names, "load"), "network": gr.fit_network(train, names, "load")}
+    scored = {k: m.predict(test) for k, m in models.items()}
+    scored["boosted"] = bo.predict(test, bo.fit_boosted(train, names, "load", [bo.Boost(rounds=20, depth=4)])[0])
+    out = None
+    for name, p in scored.items():
+        m = ev.regression_metrics(p, "load", "prediction").withColumn("model", F.lit(name))
+        out = m if out is None else out.unionByName(m)
+    return out
