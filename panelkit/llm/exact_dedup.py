@@ -1,10 +1,11 @@
-"""Exact deduplication by a tree-merge of digest runs (DataFrame functions only).
+"""Exact deduplication by a tree-merge of sorted digest runs (DataFrame functions only).
 
-Every row is dealt to one of ``runs`` runs. A run holds one entry per digest: the
-verified survivor and the number of rows. In round k the runs exchange by the bits
-of their number (binomial tree, ``2**fan_bits`` runs per merge) and equal digests are
-merged by Spark's grouped aggregation (no run is kept sorted), until a single run, spread over the cluster by digest, is left. Going back
-down, every (run, digest) entry learns the survivor, then every row of the run.
+A run is what one partition holds: one entry per digest, the verified survivor and the number of rows. In round k the runs
+exchange by the bits of their number (binomial tree, ``2**fan_bits`` runs per merge): a task gets one range of digests of
+all the runs of its group, each of them in order, brings them into one order and merges the neighbours that agree. The range narrows as
+the groups grow, so a round has as many tasks as there are runs, until a single run, in order and spread over
+the cluster by digest range, is left. Going back down, every (run, digest) entry learns the survivor, then every row
+of the run.
 
 A text held by a third of all rows has at most one entry per run at every level, and
 its rows meet their answer split over all runs, so no task gathers them.
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import ascii_lower, row_key, shuffle_width
+from panelkit.llm.common import ascii_lower, row_key
 from panelkit.session import cut_lineage
 
 KEY = ["__d64", "__sha", "__len"]
@@ -26,19 +27,20 @@ def normalised(text: Column) -> Column:
 
 
 def tree_merge(runs: DataFrame, n_runs: int, fan_bits: int, largest: bool) -> DataFrame:
-    """Merge the entries (__run, digest, __pick, __n) of ``n_runs`` runs into one run.
+    """Merge the entries (__run, digest, __pick, __n) of ``n_runs`` runs into one run in order of digests.
 
-    Entries are grouped by the short digest, the 256-bit digest and the byte length; two entries are one text only if
+    Entries are one text only if the short digest, the 256-bit digest and the byte length
     all agree (checked at every level, so a clash of the short digest never merges different texts)."""
     pick = F.max if largest else F.min
     bits = max(n_runs - 1, 0).bit_length()
     level = runs
     for low in range(0, max(bits, 1), fan_bits):
-        parent = F.shiftright("__run", low + fan_bits)
-        level = (level.withColumn("__run", F.shiftleft(parent, low + fan_bits))
-                 .groupBy("__run", *KEY)
-                 .agg(pick("__pick").alias("__pick"), F.sum("__n").alias("__n")))
-    return level.drop("__run")
+        merged = min(low + fan_bits, max(bits, 1))  # runs that agree above these bits meet, in 2**merged ranges of digests
+        level = level.withColumns({"__run": F.shiftright("__run", merged) * (1 << merged),
+                                   "__range": F.shiftrightunsigned("__d64", 64 - merged)})
+        level = (level.repartition("__run", "__range").sortWithinPartitions("__run", "__range", *KEY)
+                 .groupBy("__run", "__range", *KEY).agg(pick("__pick").alias("__pick"), F.sum("__n").alias("__n")))
+    return level.drop("__run", "__range")
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *, keep: str = "smallest",
@@ -49,12 +51,11 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *,
     row with the smallest (or ``keep="largest"``) id stays; a null id loses to every
     other id; of rows that repeat an id, exactly one stays. ``carry`` defaults to the
     id column. Names of the results replace columns of the same name in ``carry``.
-    Empty table: no rows.
+    Empty table: no rows. The partitions of ``docs`` are the runs, or ``runs`` partitions made of them.
     """
     if keep not in ("smallest", "largest"):
         raise ValueError("keep must be 'smallest' or 'largest'")
-    spark, largest = docs.sparkSession, keep == "largest"
-    n_runs = runs or 1 << max(3, (shuffle_width(spark) - 1).bit_length())
+    largest = keep == "largest"
     carry = [id_col] if carry is None else carry
     made = ["keep_id", "group_size", "kept", "text_sha256"]
     norm = normalised(F.col(text))
@@ -62,10 +63,10 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *,
         F.struct(*[F.col(c) for c in carry if c not in made]).alias("__row"), F.col(id_col).alias("__id"),
         row_key().alias("__uid"), F.sha2(norm, 256).alias("__hex"), F.octet_length(norm).alias("__len"))
     rows = rows.withColumns({
-        "__sha": F.unhex("__hex"), "__d64": F.xxhash64("__hex"),
-        "__run": F.pmod(F.xxhash64("__uid"), F.lit(n_runs)).cast("int"),
-    }).drop("__hex")
-    rows = cut_lineage(rows, "digests")
+        "__sha": F.unhex("__hex"), "__d64": F.xxhash64("__hex")}).drop("__hex")
+    rows = rows.repartition(runs) if runs else rows
+    rows = cut_lineage(rows.withColumn("__run", F.spark_partition_id()), "digests")
+    n_runs = (rows.agg(F.max("__run")).first()[0] or 0) + 1
     # a null id sorts last in either direction; the row key breaks ties of repeated ids
     present = F.col("__id").isNotNull() if largest else F.col("__id").isNull()
     pick = F.struct(present.alias("p"), F.col("__id").alias("id"),
