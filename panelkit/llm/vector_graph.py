@@ -6,10 +6,10 @@
    neighbour is closer to it by the factor alpha (robust pruning).
 3. The adjacency lists of a vector from all units are united.
 4. Each unit searches the united graph for every member: greedily from the unit's medoid and from the member's
-   own node with a beam, then in widening range through all neighbours near enough.
-5. Links are checked by their cosine in double precision. A pair met in several units counts in the
-   first only. A bounded sample of vectors is compared with all rows: if recall falls
-   short, the work is repeated with more overlap.
+   own node with a beam, then in widening range through all neighbours near enough. Cosines are computed
+   for the edges that the search follows, in double precision.
+5. A pair met in several units counts in the first only. A bounded sample of vectors is compared with all rows, pair
+   by pair: if recall falls short, the work is repeated with more overlap, and after the last one all blocks are compared.
 
 Identical vectors are one node with a weight, so they are never expanded.
 """
@@ -142,52 +142,62 @@ def build_graph(x: np.ndarray, degree: int, candidates: int, alpha: float) -> np
     return out
 
 
-def range_search(sim: np.ndarray, nbr: list[np.ndarray], threshold: float, beam: int, slack: float = 0.02):
-    """Pairs (query, node) within the threshold that a search of the graph finds, every member being a query."""
-    n = len(sim)
+def range_search(x: np.ndarray, nbr: list[np.ndarray], threshold: float, beam: int, slack: float = 0.02):
+    """Pairs (query, node) within the threshold that a search of the graph finds, every member being a query, and their
+    cosines. Only the edges that a search follows are priced."""
+    n = len(x)
     kids = np.array([len(a) for a in nbr])
     by = np.concatenate(nbr) if kids.sum() else np.zeros(0, np.int64)
     first = np.concatenate([[0], np.cumsum(kids)])
-    seen, done = np.zeros((n, n), bool), np.zeros((n, n), bool)
-    start = int(sim.mean(0).argmax())  # the medoid
-    seen[:, start] = True
-    seen[np.arange(n), np.arange(n)] = True
-    rows = np.arange(n)
+    known, done = np.full((n, n), -2.0), np.zeros((n, n), bool)  # -2: not met yet
+
+    def meet(q, node):
+        """Price the pairs not met yet; which of the given ones they are."""
+        new = np.flatnonzero(known[q, node] == -2)
+        for s in range(0, len(new), 1 << 16):
+            k = new[s:s + (1 << 16)]
+            known[q[k], node[k]] = np.clip(np.einsum("ij,ij->i", x[q[k]], x[node[k]]), -1.0, 1.0)
+        return new
+
+    everyone = np.arange(n)
+    start = int((x @ x.sum(0)).argmax())  # the medoid
+    meet(everyone, np.full(n, start))
+    meet(everyone, everyone)
+    rows = everyone
     best = np.full((n, beam), -2.0)
-    best[:, 0] = sim[:, start]
-    best[:, 1] = sim[rows, rows]
+    best[:, 0] = known[:, start]
+    best[:, 1] = known[rows, rows]
     while len(rows):
-        score = np.where(seen[rows] & ~done[rows], sim[rows], -2.0)
+        score = np.where(done[rows], -2.0, known[rows])
         at = score.argmax(1)
         top = score[np.arange(len(rows)), at]
         go = (top > -2) & (top >= best[rows].min(1))  # nothing near enough left: the beam is settled
         rows, at = rows[go], at[go]
         done[rows, at] = True
         rep, child = spread(by, first, kids, at)
-        q = rows[rep]
-        new = ~seen[q, child]
-        q, child, rep = q[new], child[new], rep[new]
-        seen[q, child] = True
+        new = meet(rows[rep], child)
+        child, rep = child[new], rep[new]
         most = int(kids.max()) if n else 0
         add = np.full((len(rows), most), -2.0)
         slot = np.arange(len(rep)) - np.searchsorted(rep, rep)
-        add[rep, slot] = sim[q, child]
+        add[rep, slot] = known[rows[rep], child]
         both = np.concatenate([best[rows], add], axis=1)
         best[rows] = -np.partition(-both, beam - 1, axis=1)[:, :beam]
-    q, node = np.nonzero(seen & ~done & (sim >= threshold - slack))
+    q, node = np.nonzero(~done & (known >= threshold - slack))
     while len(q):  # widen through everything near the range
         done[q, node] = True
         rep, child = spread(by, first, kids, node)
         qq = q[rep]
-        new = ~seen[qq, child]
+        new = meet(qq, child)
         qq, child = qq[new], child[new]
-        seen[qq, child] = True
-        near = sim[qq, child] >= threshold - slack
+        near = known[qq, child] >= threshold - slack
         pair = np.unique(qq[near] * n + child[near])
         q, node = pair // n, pair % n
-    q, node = np.nonzero(seen & (sim >= threshold))
+    found = known >= threshold
+    q, node = np.nonzero(found | found.T)  # a pair may be met from either end
     ok = q < node
-    return q[ok], node[ok]
+    q, node = q[ok], node[ok]
+    return q, node, np.maximum(known[q, node], known[node, q])
 
 
 def by_unit(rows: DataFrame, work, schema: str) -> DataFrame:
@@ -213,9 +223,50 @@ def by_unit(rows: DataFrame, work, schema: str) -> DataFrame:
     return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, schema)
 
 
+def found_links(uid, weight, i, j, once, score, pieces: list) -> pa.RecordBatch:
+    """Rows (uid, links, pairs) of the pairs i, j that count here, and spanning pairs (a, b) of all."""
+    span = forest(i, j, score, len(uid))
+    links, pairs = np.zeros(len(uid), np.int64), np.zeros(len(uid), np.int64)
+    for x, y in ((i[once], j[once]), (j[once], i[once])):
+        np.add.at(links, x, weight[y])
+        np.add.at(pairs, x, 1)
+    some, none = np.flatnonzero(links), lambda n: np.zeros(n, np.int64)
+    own = np.concatenate([np.ones(len(some), bool), np.zeros(len(span), bool)])
+    cols = [(uid[some], none(len(span))), (links[some], none(len(span))), (pairs[some], none(len(span))),
+            (none(len(some)), uid[i[span]]), (none(len(some)), uid[j[span]])]
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), mask=~own if k < 3 else own) for k, c in enumerate(cols)], pieces)
+
+
+FOUND = "uid long, links long, pairs long, a long, b long"
+
+
+def gathered(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((uid, links, pairs), (a, b)) of the rows of ``found_links``."""
+    links = found.filter("uid is not null").groupBy("uid").agg(F.sum("links").alias("links"), F.sum("pairs").alias("pairs"))
+    return links, found.filter("a is not null").select("a", "b")
+
+
+def compared(nodes: DataFrame, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """What ``linked`` returns, from all blocks compared with each other: exact, and quadratic."""
+    placed = nodes.withColumn("shards", F.array(F.lit(0)))
+    cols = ["dim", "shard", "lo", "hi", "block", "uid", "v", "weight"]
+
+    def pairs(tab):
+        uid, w, blk = (tab[c].to_numpy() for c in ("uid", "weight", "block"))
+        x = matrix(tab["v"].to_pylist())
+        sim = x @ x.T
+        i, j = np.nonzero(np.triu(sim >= threshold, 1))
+        if tab["lo"][0].as_py() != tab["hi"][0].as_py():
+            ok = blk[i] != blk[j]
+            i, j = i[ok], j[ok]
+        yield found_links(uid, w, i, j, np.ones(len(i), bool), sim[i, j], ["uid", "links", "pairs", "a", "b"])
+
+    return gathered(cut_lineage(by_unit(units(placed, block).select(*cols), pairs, FOUND), "found"))
+
+
 def linked(nodes: DataFrame, threshold: float, overlap: int, shard: int, block: int, sample: int, degree: int,
            candidates: int, alpha: float, beam: int) -> tuple[DataFrame, DataFrame]:
-    """((uid, links), (a, b)): weights of linked nodes per node, and spanning links."""
+    """((uid, links, pairs), (a, b)): weights and number of linked nodes per node, and spanning links."""
     model = fit_shards(nodes, nodes.count(), shard, sample, 4096)
     placed = cut_lineage(assign(nodes, model, overlap), "placed")
     members = units(placed, block)
@@ -237,7 +288,6 @@ def linked(nodes: DataFrame, threshold: float, overlap: int, shard: int, block:
         if len(uid) < 2:
             return
         x = matrix(tab["v"].to_pylist())
-        sim = x @ x.T
         order = np.argsort(uid)
         a, b = [], []
         for i, near in enumerate(tab["near"].to_pylist()):
@@ -247,49 +297,39 @@ def linked(nodes: DataFrame, threshold: float, overlap: int, shard: int, block:
         a, b = np.concatenate(a), np.concatenate(b)
         pair = np.unique(np.concatenate([a * len(uid) + b, b * len(uid) + a]))  # edges run both ways
         cut = np.searchsorted(pair // len(uid), np.arange(len(uid) + 1))
-        i, j = range_search(sim, [pair[s:e] % len(uid) for s, e in zip(cut[:-1], cut[1:])], threshold, beam)
+        i, j, score = range_search(x, [pair[s:e] % len(uid) for s, e in zip(cut[:-1], cut[1:])], threshold, beam)
         here, blk = int(tab["shard"][0].as_py()), tab["block"].to_numpy()
         if tab["lo"][0].as_py() != tab["hi"][0].as_py():
             ok = blk[i] != blk[j]
-            i, j = i[ok], j[ok]
-        span = forest(i, j, sim[i, j], len(uid))
+            i, j, score = i[ok], j[ok], score[ok]
         shards = tab["shards"].to_pylist()
         sh = np.full((len(uid), max(map(len, shards))), -1)
         for k, s in enumerate(shards):
             sh[k, :len(s)] = s
-        common = (sh[i][:, :, None] == sh[j][:, None, :]) & (sh[i][:, :, None] >= 0) & (sh[i][:, :, None] < here)
-        once = ~common.any((1, 2))
-        links = np.zeros(len(uid), np.int64)
-        np.add.at(links, i[once], w[j[once]])
-        np.add.at(links, j[once], w[i[once]])
-        some = np.flatnonzero(links)
-        none = [None] * len(some)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(uid[some]), pa.array(links[some]), pa.array(none, pa.int64()), pa.array(none, pa.int64())],
-            ["uid", "links", "a", "b"])
-        none = [None] * len(span)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(uid[i[span]]), pa.array(uid[j[span]])],
-            ["uid", "links", "a", "b"])
+        once = np.ones(len(i), bool)
+        for s in range(0, len(i), 1 << 16):
+            p, q = sh[i[s:s + (1 << 16)]], sh[j[s:s + (1 << 16)]]
+            once[s:s + (1 << 16)] = ~((p[:, :, None] == q[:, None, :]) & (p[:, :, None] >= 0) & (p[:, :, None] < here)).any((1, 2))
+        yield found_links(uid, w, i, j, once, score, ["uid", "links", "pairs", "a", "b"])
 
     cols = ["dim", "shard", "lo", "hi", "block", "uid", "v", "weight", "near", "shards"]
-    found = cut_lineage(by_unit(full.select(*cols), search, "uid long, links long, a long, b long"), "found")
-    links = found.filter("uid is not null").groupBy("uid").agg(F.sum("links").alias("links"))
-    return links, found.filter("a is not null").select("a", "b")
+    return gathered(cut_lineage(by_unit(full.select(*cols), search, FOUND), "found"))
 
 
 def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int) -> tuple[int, int]:
-    """(found, true) links of ``queries`` nodes drawn by hash, compared with every node."""
-    drawn = (nodes.orderBy(F.xxhash64("uid", F.lit(3))).limit(queries).join(links, "uid", "left")
-             .select("uid", "dim", "v", F.coalesce("links", F.lit(0)).alias("links")).collect())
-    shared = nodes.sparkSession.sparkContext.broadcast([(r.uid, r.dim, r.v) for r in drawn])
+    """(found, true) pairs of ``queries`` nodes drawn by hash and as many of those with links, compared with every node. Nodes
+    are different vectors, so copies do not weigh."""
+    own = nodes.join(links, "uid", "left").select("uid", "dim", "v", F.coalesce("pairs", F.lit(0)).alias("pairs"))
+    by = F.xxhash64("uid", F.lit(3))
+    drawn = {r.uid: r for part in (own, own.filter("pairs > 0")) for r in part.orderBy(by).limit(queries).collect()}
+    shared = nodes.sparkSession.sparkContext.broadcast([(r.uid, r.dim, r.v) for r in drawn.values()])
 
     def run(batches):
         by: dict[int, list] = {}
         for u, d, v in shared.value:
             by.setdefault(d, []).append((u, np.frombuffer(v, np.float64)))
         for batch in batches:
-            uid, dims, w = (batch.column(k).to_numpy() for k in (0, 1, 3))
+            uid, dims = (batch.column(k).to_numpy() for k in (0, 1))
             vs = batch.column(2).to_pylist()
             for d, qs in by.items():
                 at = np.flatnonzero(dims == d)
@@ -297,12 +337,11 @@ def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int) ->
                     ids = np.array([u for u, _ in qs])
                     hit = (matrix([vs[i] for i in at]) @ np.stack([v for _, v in qs]).T >= threshold)
                     hit &= uid[at][:, None] != ids[None, :]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(w[at] @ hit)], ["uid", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hit.sum(0))], ["uid", "n"])
 
-    true = (nodes.select("uid", "dim", "v", "weight").mapInArrow(run, "uid long, n long")
+    true = (nodes.select("uid", "dim", "v").mapInArrow(run, "uid long, n long")
             .groupBy("uid").agg(F.sum("n").alias("n")).collect())
-    have = {r.uid: r.links for r in drawn}
-    return sum(min(have[r.uid], r.n) for r in true), sum(r.n for r in true)
+    return sum(min(drawn[r.uid].pairs, r.n) for r in true), sum(r.n for r in true)
 
 
 def near_duplicate_vectors(vectors: DataFrame, *, vector: str = "embedding", id_col: str = "vec_id",
@@ -316,8 +355,8 @@ def near_duplicate_vectors(vectors: DataFrame, *, vector: str = "embedding", id_
     smallest id reachable; kept says whether it is the row's own. Rows with a null id keep a null component and
     are not kept; rows that repeat an id or a vector are rows of their own. ``sample`` vectors at most fit the
     centroids, all are indexed. Links below the threshold are never returned; the audit compares
-    ``queries`` vectors with all and asks for ``min_recall``, else the next overlap is taken.
-    Empty table: no rows.
+    ``queries`` vectors, and as many that have links, with all and asks for ``min_recall``, else the next overlap is taken, and
+    after the last one all blocks are compared. Empty table: no rows.
     """
     rows = vectors.select(row_key().alias("row"), F.col(id_col).alias("id"), F.col(vector).alias("x"))
     rows = cut_lineage(unit_vectors(rows, "x"), "vectors")
@@ -332,8 +371,11 @@ def near_duplicate_vectors(vectors: DataFrame, *, vector: str = "embedding", id_
         recall = found / true if true else 1.0
         if recall >= min_recall:
             break
+    else:
+        links, edges = compared(core, threshold, block)
+        recall = 1.0
     comp = smallest_reachable(edges)
-    info = (nodes.select("uid", "dim", "v", "low", "weight").join(links, "uid", "left")
+    info = (nodes.select("uid", "dim", "v", "low", "weight").join(links.drop("pairs"), "uid", "left")
             .join(comp, F.col("uid") == F.col("node"), "left")
             .withColumn("component", F.coalesce("component", "uid")))
     least = info.groupBy("component").agg(F.min("low").alias("least"))

@@ -67,6 +67,25 @@ def test_pruned_graph_is_searchable():
     g = build_graph(x, 12, 32, 1.2)
     assert (g[:, 0] >= 0).all() and (np.sort(g, 1)[:, -1] < 300).all()
     sim = x @ x.T
-    i, j = range_search(sim, [r[r >= 0] for r in g], 0.95, 16)
+    i, j, score = range_search(x, [r[r >= 0] for r in g], 0.95, 16)
+    assert np.allclose(score, sim[i, j])
     want = {(a, b) for a, b in np.argwhere(np.triu(sim >= 0.95, 1))}
     assert set(zip(i, j)) <= want and len(i) >= 0.98 * len(want)
+
+
+def test_blocks_are_compared_when_no_overlap_suffices(spark):
+    vectors = crowd(5, 150)
+    want = vector_links(dict(vectors))
+    got = near_duplicate_vectors(table(spark, vectors), min_recall=1.01, overlaps=(1,), shard=20, block=16).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want and got[0].recall == 1.0
+
+
+def test_audit_counts_pairs_of_different_vectors(spark):
+    # one vector that half of the rows copy, and pairs that a single small shard each would split
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(60, 8))
+    rows = [(k, [1.0] * 8) for k in range(200)] + [(1000 + k, v.tolist()) for k, v in enumerate(base)]
+    rows += [(2000 + k, (v * 1.5 + rng.normal(size=8) * 0.05).tolist()) for k, v in enumerate(base)]
+    want = vector_links({i: np.float32(v).tolist() for i, v in rows})
+    got = near_duplicate_vectors(table(spark, rows), min_recall=1.0, overlaps=(1, 60), shard=3, block=8).collect()
+    assert {r.vec_id: r.n_links for r in got} == {i: n for i, (n, _) in want.items()}
