@@ -20,6 +20,7 @@ link between components is lost and copies are never expanded into all pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -290,6 +291,17 @@ def propose(members: DataFrame, t: int, spanning: bool) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long, gid long, lo long, hi long")
 
 
+def near_in_size(members: DataFrame, t: int) -> DataFrame:
+    """(gid, uid) of the members (gid, uid, n) whose sub-tree holds another of a size that can reach t percent. Sizes are
+    told apart by steps of a little more than the ratio, so two that can link are on one step or on neighbouring ones."""
+    step = F.floor(F.log("n") / (max(-math.log(t / 100), 1e-9) * 1.001)).cast("long")
+    members = members.withColumn("step", step)
+    each = members.groupBy("gid", "step").agg(F.count("*").alias("k"))
+    around = each.select("gid", F.explode(F.array(*[F.col("step") + d for d in (-1, 0, 1)])).alias("step"), "k")
+    able = around.groupBy("gid", "step").agg(F.sum("k").alias("k")).filter("k > 1").select("gid", "step")
+    return members.join(able, ["gid", "step"]).select("gid", "uid")
+
+
 def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, id_col: str, size: int, t: int,
            lower: bool) -> DataFrame:
     """The pairs whose full sets reach the threshold, written. Only texts in pairs are hashed again; a
@@ -348,7 +360,9 @@ def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_
     postings = reps.select("uid", F.explode("edges").alias("edge")).repartition("edge")
     # the sub-trees of all edges with the same smallest class are one, so near copies meet once, not once an edge
     by_edge = postings.groupBy("edge").agg(F.min("uid").alias("gid"), F.count("*").alias("k")).filter("k > 1")
-    members = cut_lineage(postings.join(by_edge, "edge").select("gid", "uid").distinct(), "members")
+    met = cut_lineage(postings.join(by_edge, "edge").select("gid", "uid").distinct(), "members")
+    members = cut_lineage(near_in_size(met.join(reps.select("uid", "n"), "uid"), percent), "members")
+    discard(met)
     sizes = cut_lineage(members.groupBy("gid").agg(F.ceil(F.count("*") / block).alias("blocks")), "sizes")
 
     def dealt(salt: int, own: DataFrame) -> DataFrame:
