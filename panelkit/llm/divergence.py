@@ -35,7 +35,7 @@ def not_a_term() -> np.ndarray:
     return gap
 
 
-def count_terms(docs: DataFrame, unit: int = 1 << 19) -> DataFrame:
+def count_terms(docs: DataFrame, unit: int = 1 << 18) -> DataFrame:
     """(lang, source, term, n, docs) of rows (lang, source, text), summed within units of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gaps, held, n = not_a_term(), [], 0
@@ -157,7 +157,7 @@ def pair_values(tasks: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def price_pairs(pairs: DataFrame, block: int) -> DataFrame:
     """(lang, a, b, forth, back) of one block each."""
-    step = max(1, (1 << 18) // block)  # pair tasks worked on at once
+    step = max(1, (1 << 16) // block)  # pair tasks worked on at once
 
     def run(batches):
         for batch in batches:
@@ -190,7 +190,7 @@ def price_pairs(pairs: DataFrame, block: int) -> DataFrame:
 
 
 def source_divergence(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source",
-                      least_docs: int = 3, top_terms: int = 200, block: int = 128) -> DataFrame:
+                      least_docs: int = 3, top_terms: int = 200, block: int = 64) -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` holds the divergence of a source from each other source
     of its language, all ranks; part ``term`` the terms that a source uses more than its language does, by value, to
     rank ``top_terms``.
