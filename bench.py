@@ -24,6 +24,7 @@ from panelkit.session import clear_scratch, get_spark  # noqa: E402
 HEADLINE = [
     "customer_month_spend",
     "jon9_feature_table",
+    "jon9_weekly_feature_table",
     "win14_expanding_quantiles",
     "win16_calendar_stats",
     "win21_weekday_shares",
