@@ -2,8 +2,8 @@
 
 Calls and results meet in a hash join on (conversation, identifier). The order within a
 conversation is topological over the calls a call depends on, found in relational rounds (chains by doubling
-pointers, calls that need several others level by level), so no
-conversation is gathered in one task. Arguments are checked against the schema of
+pointers, calls that need several others level by level); only the last numbering sorts the calls of a
+conversation and level together. Arguments are checked against the schema of
 their tool and written as canonical JSON (sorted keys, no spaces, shortest numbers).
 """
 
