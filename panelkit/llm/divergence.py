@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from panelkit.llm.common import tidy
 from panelkit.llm.codes import LOWER, encode, word_bounds
 from panelkit.llm.textops import slices
 from panelkit.session import cut_lineage
@@ -77,7 +78,7 @@ def count_terms(docs: DataFrame, unit: int = 1 << 18) -> DataFrame:
             yield from flush()
 
     return docs.select("lang", "source", "text").mapInArrow(
-        run, "lang string, source string, term string, n long, docs long")
+        tidy(run), "lang string, source string, term string, n long, docs long")
 
 
 def price_sql(count: str, total: str, kept: str) -> Column:
@@ -186,7 +187,7 @@ def price_pairs(pairs: DataFrame, block: int) -> DataFrame:
     ordered = pairs.select("lang", "a", "b", "size", "v", flip.alias("flip"), *(
         side(f"{s}_{to}", x, y, f"_{c}") for s, x, y in (("s", "a", "b"), ("l", "b", "a"))
         for to, c in (("ids", "ids"), ("ns", "n"), ("total", "total"))))
-    return ordered.mapInArrow(run, "lang string, a string, b string, forth long, back long")
+    return ordered.mapInArrow(tidy(run), "lang string, a string, b string, forth long, back long")
 
 
 def source_divergence(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source",

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from panelkit.llm.common import tidy
+
 UNDETERMINED = "und"
 GAP, OTHER = 0, 1
 NONE = 0xFFFF
@@ -266,4 +268,4 @@ def identify(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", lan
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                                              schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)

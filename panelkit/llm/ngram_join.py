@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.llm.arrays import forest, runs, spread
-from panelkit.llm.common import FixedBloom, row_key, smallest_reachable
+from panelkit.llm.common import FixedBloom, row_key, smallest_reachable, tidy
 from panelkit.llm.textops import Hasher, U, mix, slices
 from panelkit.session import cut_lineage, discard
 
@@ -101,7 +101,7 @@ def frequent_ngrams(docs: DataFrame, text: str, size: int, lower: bool, part: in
         if held:
             yield flush()
 
-    counts = docs.select(text).mapInArrow(count, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
+    counts = docs.select(text).mapInArrow(tidy(count), "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
     least = max(8, docs.count() // part)
     found = counts.filter(F.col("c") >= least).select("g").toArrow()
     return np.sort(found["g"].to_numpy().view(U))
@@ -141,7 +141,7 @@ def describe(docs: DataFrame, text: str, id_col: str, size: int, t: int, lower:
     rows = docs.select(row_key().alias("uid"), F.col(id_col).alias("id"), text_digest(text).alias("digest"),
                        F.col(text).alias("text"))
     kind = dict(rows.dtypes)["id"]
-    return rows.mapInArrow(run, f"uid long, id {kind}, digest long, n long, s1 long, s2 long, edges array<int>, path binary")
+    return rows.mapInArrow(tidy(run), f"uid long, id {kind}, digest long, n long, s1 long, s2 long, edges array<int>, path binary")
 
 
 class Members:
@@ -288,7 +288,7 @@ def propose(members: DataFrame, t: int, spanning: bool) -> DataFrame:
                                              ["a", "b", *part_cols])
 
     ordered = members.repartition(*part_cols).sortWithinPartitions(*part_cols)
-    return ordered.mapInArrow(run, "a long, b long, gid long, lo long, hi long")
+    return ordered.mapInArrow(tidy(run), "a long, b long, gid long, lo long, hi long")
 
 
 def near_in_size(members: DataFrame, t: int) -> DataFrame:
@@ -325,7 +325,7 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, id_col
                 ["s1", "s2", "s"])
 
     rows = docs.select(bloom.mark(id_col).alias("m"), F.col(text).alias("text"))
-    rows = rows.mapInArrow(sets, "s1 long, s2 long, s array<long>").dropDuplicates(["s1", "s2"])
+    rows = rows.mapInArrow(tidy(sets), "s1 long, s2 long, s array<long>").dropDuplicates(["s1", "s2"])
     full = cut_lineage(rows.join(wanted, ["s1", "s2"]).select("uid", "s"), "sets")
 
     one = full.select(F.col("uid").alias("a"), F.col("s").alias("sa"))

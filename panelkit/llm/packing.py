@@ -26,6 +26,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.llm.common import tidy
+
 END_OF_TEXT = 0
 
 
@@ -236,6 +238,6 @@ def pack_sequences(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id
         if parts:
             yield segment(parts)
 
-    out = rows.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
+    out = rows.mapInArrow(tidy(run), f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                                "sequence_id long, offset long")
     return out.withColumnRenamed("id", id_col)
