@@ -70,6 +70,15 @@ def union_all(dfs: Sequence[DataFrame], allow_missing: bool = False) -> DataFram
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), dfs)
 
 
+#: Rows that one task of ``dedupe`` holds, about.
+TASK_ROWS = 1_000_000
+
+
 def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """SET-2 / CLEAN-1: drop exact duplicate rows (or duplicates on ``subset``)."""
-    return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
+    """SET-2 / CLEAN-1: drop exact duplicate rows (or duplicates on ``subset``).
+
+    The rows are counted and dealt by their key to partitions of about ``TASK_ROWS``, so the keys that one task
+    holds do not grow with the table."""
+    keys = list(subset) if subset else df.columns
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
+    return df.repartition(n, *[F.col(f"`{k}`") for k in keys]).dropDuplicates(keys)

@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from panelkit.operators import enrich as en
+from panelkit.operators import joins
 
 
 def test_days_of_campaigns_stay_off_the_driver(spark):
@@ -13,3 +14,13 @@ def test_days_of_campaigns_stay_off_the_driver(spark):
     plan = en.active_campaigns(iv, days, "c", "s", "e", "d", "p", "m")._jdf.queryExecution().executedPlan().toString()
     sent = re.findall(r"BroadcastExchange[^\n]*\n(?:[^\n]*(?:Project|Filter)[^\n]*\n)*([^\n]*)", plan)
     assert sent and not [x for x in sent if "Generate" in x]  # campaign days are sent as one row a day, if at all
+
+
+def test_dedupe_deals_the_keys_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 50)
+    df = spark.range(1000).select((F.col("id") % 400).alias("k"), F.when(F.col("id") % 400 < 390, F.lit("x")).alias("v"))
+    out = joins.dedupe(df)
+    assert out.rdd.getNumPartitions() == 20
+    assert sorted((r.k, r.v) for r in out.collect()) == [(k, "x" if k < 390 else None) for k in range(400)]
+    one = joins.dedupe(df, ["v"]).collect()
+    assert {r.v for r in one} == {"x", None} and len(one) == 2
