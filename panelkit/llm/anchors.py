@@ -245,7 +245,7 @@ def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def repeated_positions(texts: DataFrame, window: int) -> DataFrame:
-    """(id, h1, h2, at): windows within the hit ranges that also start in a smaller document."""
+    """(id, h1, h2, cover): windows within the hit ranges that also start in a smaller document, one or more rows a text."""
     def run(batches):
         hasher = Hasher(False)
         for batch in batches:
@@ -270,9 +270,37 @@ def repeated_positions(texts: DataFrame, window: int) -> DataFrame:
     owners = cut_lineage(owners.drop("hi"), "owners")
     # a window that more than one in HOT_PARTS rows hold is sent to its rows (fewer than HOT_PARTS such windows), others meet by a shuffle
     often = max(LEAST_HOT, rows.count() // HOT_PARTS)
-    marked = rows.join(F.broadcast(owners.filter(F.col("n") > often).select("w", F.col("lo").alias("hot"))), "w", "left")
-    few = marked.filter("hot is null").join(owners.filter(F.col("n") <= often).select("w", "lo"), "w").filter("id > lo")
-    return marked.filter("id > hot").select(*KEY, "at").union(few.select(*KEY, "at"))
+    hot = owners.filter(F.col("n") > often).select("w", "lo").orderBy("w").toArrow()
+    shared = texts.sparkSession.sparkContext.broadcast((hot["w"].to_numpy(), hot["lo"].to_numpy()))
+
+    def find(w):
+        """For every window whether it is hot, and its smallest document if so."""
+        names, lo = shared.value
+        if not len(names):
+            return np.zeros(len(w), bool), w
+        at = np.minimum(np.searchsorted(names, w), len(names) - 1)
+        return names[at] == w, lo[at]
+
+    def others(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(~find(batch.column(3).to_numpy())[0]))
+
+    def covers(batches):
+        """The hot windows of a text with a smaller owner, one row for each run of the text's rows."""
+        for batch in batches:
+            is_hot, lo = find(batch.column(3).to_numpy())
+            part = batch.filter(pa.array(is_hot & (batch.column(0).to_numpy() > lo)))
+            if part.num_rows:
+                keys = np.stack([part.column(c).to_numpy() for c in range(3)])
+                starts = np.flatnonzero(np.append(True, (np.diff(keys) != 0).any(0)))
+                cover = pa.ListArray.from_arrays(pa.array(np.append(starts, part.num_rows), pa.int32()), part.column(4))
+                yield pa.RecordBatch.from_arrays([*(part.column(c).take(pa.array(starts)) for c in range(3)), cover],
+                                                 [*KEY, "cover"])
+
+    cold = rows.mapInArrow(others, rows.schema)
+    few = cold.join(owners.filter(F.col("n") <= often).select("w", "lo"), "w").filter("id > lo")
+    few = few.groupBy(*KEY).agg(F.collect_list("at").alias("cover"))
+    return rows.mapInArrow(covers, "id long, h1 long, h2 long, cover array<int>").unionByName(few)
 
 
 def remove_repeats(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", window: int = 50,
@@ -298,7 +326,8 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id
     low = known.filter(F.size("starts") > 0).groupBy("h1", "h2").agg(F.min("id").alias("low"))
     hit = known.filter(F.size("starts") > 0).dropDuplicates(KEY).join(low, ["h1", "h2"])
     first = cut_lineage(hit.filter("id = low").select(*KEY, "starts", "ends"), "firsts")
-    covered = repeated_positions(fetch(docs, first), window).groupBy(*KEY).agg(F.collect_list("at").alias("cover"))
+    covered = repeated_positions(fetch(docs, first), window).groupBy(*KEY).agg(
+        F.flatten(F.collect_list("cover")).alias("cover"))
     covered = cut_lineage(covered, "covered")
     schema = "id long, h1 long, h2 long, n_removed long, kept string"
 
