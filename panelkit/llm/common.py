@@ -6,6 +6,7 @@ import ctypes
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -165,3 +166,23 @@ class FixedBloom:
     def passes(words, m):
         """For marks m: whether the key may be among the keys (numpy, inside tasks)."""
         return (words[m >> 5] >> (m & 31).astype(np.uint32)) & np.uint32(1) == 1
+
+
+def rows_that_stay(docs: DataFrame, both: Column, held: DataFrame) -> DataFrame:
+    """``docs`` less the rows that go. ``both``: a key of a row's id and text; ``held`` (both, k): the keys of which rows go,
+    with the number that stays (none, or one of rows that agree in id and text). Rows whose key a Bloom filter of those does
+    not know stay where they are, so only about as many rows as go are shuffled with their texts."""
+    held = cut_lineage(held, "held")
+    bloom = FixedBloom(held, "both")
+    shared, passes = bloom.shared, FixedBloom.passes
+
+    @F.pandas_udf("boolean")
+    def may(m: pd.Series) -> pd.Series:
+        return pd.Series(passes(shared.value, m.to_numpy()))
+
+    rows = docs.select(F.struct("*").alias("row"), both.alias("both"))
+    rows = rows.withColumn("may", may(bloom.mark("both")))
+    near = rows.filter("may").join(held, "both", "left")
+    one = near.filter("k > 0").groupBy("both").agg(F.first("row").alias("row"))
+    return (rows.filter("not may").select("row.*").unionByName(near.filter("k is null").select("row.*"))
+            .unionByName(one.select("row.*")))

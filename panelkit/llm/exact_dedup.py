@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import ascii_lower, row_key
+from panelkit.llm.common import ascii_lower, row_key, rows_that_stay
 from panelkit.session import cut_lineage
 
 KEY = ["__d64", "__sha", "__len"]
@@ -84,6 +84,11 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *,
 
 def drop_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *, keep: str = "smallest") -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``."""
-    packed = docs.select(F.col(id_col).alias("i"), F.col(text).alias("t"), F.struct("*").alias("all"))
-    out = exact_dedup(packed, "t", "i", keep=keep, carry=["all"])
-    return out.filter("kept").select("all.*")
+    # rows that agree in id and text are interchangeable: one of them stays, or none
+    own = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    flags = [F.col(c).isNull().cast("int").cast("string") for c in (id_col, text)]
+    both = F.md5(F.concat(*flags, F.length(own).cast("string"), F.lit(" "), own, F.coalesce(F.col(text), F.lit(""))))
+    packed = docs.select(F.col(id_col).alias("i"), F.col(text).alias("t"), both.alias("both"))
+    out = exact_dedup(packed, "t", "i", keep=keep, carry=["both"])
+    held = out.groupBy("both").agg(F.count_if("kept").alias("k"), F.count("*").alias("n")).filter("k < n")
+    return rows_that_stay(docs, both, held.select("both", "k"))

@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.llm.arrays import forest, runs, spread
-from panelkit.llm.common import FixedBloom, row_key, smallest_reachable, tidy
+from panelkit.llm.common import FixedBloom, row_key, rows_that_stay, smallest_reachable, tidy
 from panelkit.llm.textops import Hasher, U, mix, slices
 from panelkit.session import cut_lineage, discard
 
@@ -427,14 +427,13 @@ def keep_one_per_component(docs: DataFrame, **kw) -> DataFrame:
         F.col(id_col).isNull().alias("z"), F.col(id_col).alias("id"), "uid", "digest")).alias("s")).select("s.*")
     alone = found.filter("component is null").select(F.col(id_col).alias("id"), "uid", "digest")
     chosen = stay.select("id", "uid", "digest").unionByName(alone).groupBy("id", "digest").agg(F.count("*").alias("k"))
-    # rows that agree in id and text are interchangeable: all of them stay, or one. One long stands for both, so
-    # the rows are shuffled once
+    # rows that agree in id and text are interchangeable: all of them stay, one, or none
     every = found.groupBy(F.col(id_col).alias("id"), "digest").agg(F.count("*").alias("n"))
-    both = F.xxhash64("id", F.col("id").isNull(), "digest").alias("both")
-    chosen = cut_lineage(chosen.join(every, chosen.id.eqNullSafe(every.id) & (chosen.digest == every.digest)).select(
-        chosen.id, chosen.digest, "k", "n").select(both, "k", "n"), "chosen")
-    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), text_digest(text).alias("digest"))
-    packed = packed.select("row", both)
-    whole = packed.join(chosen.filter("k = n").select("both"), "both").select("row.*")
-    one = packed.join(chosen.filter("k < n").select("both"), "both").groupBy("both").agg(F.first("row").alias("row"))
-    return whole.unionByName(one.select("row.*"))
+    held = every.join(chosen, every.id.eqNullSafe(chosen.id) & (every.digest == chosen.digest), "left").select(
+        every.id, every.digest, F.coalesce("k", F.lit(0).cast("long")).alias("k"), "n").filter("k < n")
+
+    def both(id_: Column, digest: Column) -> Column:
+        return F.xxhash64(id_, id_.isNull(), digest)
+
+    return rows_that_stay(docs, both(F.col(id_col), text_digest(text)),
+                          held.select(both(F.col("id"), F.col("digest")).alias("both"), "k"))
