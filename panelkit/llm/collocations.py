@@ -25,12 +25,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.llm.codes import LOWER, byte_class, encode, word_bounds
+from panelkit.llm.common import tidy
 from panelkit.llm.textops import Hasher, U, mix, slices
 from panelkit.session import cut_lineage
 
 #: Fixed values of the contract: what ends a piece, and what stands between the words of one.
 BREAKS = ".,;:!?\n\x0b\x0c\r"
 BLANKS = " \t"
+#: Bytes of texts a task codes at a time.
+SLICE = 1 << 20
 
 
 class Pieces:
@@ -94,7 +97,7 @@ def starts(own: np.ndarray, lang: np.ndarray, on: np.ndarray, longest: int, bits
 
 
 def marks(h: np.ndarray, counters: int) -> np.ndarray:
-    return (h & U(counters - 1)).astype(np.int64)
+    return (h & U(counters - 1)).astype(np.int32)
 
 
 def is_marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -113,11 +116,11 @@ def frequent_starts(docs: DataFrame, least: int, counters: int, longest: int, bi
 
         def flush():
             mark, times = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(mark.astype(np.int32)), pa.array(times)], ["mark", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(mark), pa.array(times)], ["mark", "n"])
 
         for batch in batches:
             langs = lang_hashes(batch.column(0), pieces)
-            for i, _, data, off in slices(batch.column(1)):
+            for i, _, data, off in slices(batch.column(1), SLICE):
                 words, code, text, on = pieces.words(data, off)
                 for k, _, h in starts(pieces.hashes(words)[code], langs[i + text], on, longest if known else 2, known):
                     if k > 2 or not known:
@@ -130,9 +133,10 @@ def frequent_starts(docs: DataFrame, least: int, counters: int, longest: int, bi
             yield flush()
 
     one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("mark") % 32))
-    found = (docs.mapInArrow(run, "mark int, n long").groupBy("mark").agg(F.sum("n").alias("n"))
+    found = (docs.mapInArrow(tidy(run), "mark int, n long").groupBy("mark").agg(F.sum("n").alias("n"))
              .filter(F.col("n") >= least)
              .groupBy(F.shiftright("mark", 5).alias("place")).agg(F.bit_or(one).alias("bits")).toArrow())
+    shared.unpersist()
     out = np.zeros(max(1, counters // 32), np.uint32)
     out[found["place"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
     return out
@@ -148,7 +152,7 @@ def longest_windows(docs: DataFrame, longest: int, bits: list[np.ndarray]) -> Da
         for batch in batches:
             by = batch.column(0).dictionary_encode()
             lang, langs = by.indices.to_numpy(zero_copy_only=False).astype(np.int64), lang_hashes(batch.column(0), pieces)
-            for i, _, data, off in slices(batch.column(1)):
+            for i, _, data, off in slices(batch.column(1), SLICE):
                 words, code, text, on = pieces.words(data, off)
                 if not len(code):
                     continue
@@ -162,14 +166,14 @@ def longest_windows(docs: DataFrame, longest: int, bits: list[np.ndarray]) -> Da
                 for k in range(longest + 1):
                     number = np.unique(number * (len(words) + len(by.dictionary) + 1) + lead[k] + 1, return_inverse=True)[1]
                 _, first, times = np.unique(number, return_index=True, return_counts=True)
-                cols = [by.dictionary.take(pa.array(lead[0, first])).cast(pa.string())]
-                for k in range(1, longest + 1):
-                    c = lead[k, first]
-                    cols.append(words.take(pa.array(c, mask=c < 0)).cast(pa.string()))
-                yield from pa.table([*cols, pa.array(times)], ["lang", *names, "c"]).to_batches(max_chunksize=50_000)
+                for s in range(0, len(first), 50_000):
+                    part = lead[:, first[s:s + 50_000]]
+                    cols = [by.dictionary.take(pa.array(part[0])).cast(pa.string())]
+                    cols += [words.take(pa.array(c, mask=c < 0)).cast(pa.string()) for c in part[1:]]
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array(times[s:s + 50_000])], ["lang", *names, "c"])
 
     schema = ", ".join(["lang string", *(f"{w} string" for w in names), "c long"])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def phrase_counts(docs: DataFrame, longest: int, least: int, counters: int) -> DataFrame:

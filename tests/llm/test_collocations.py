@@ -2,7 +2,9 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from panelkit.llm.collocations import collocations
+import numpy as np
+
+from panelkit.llm.collocations import collocations, marks
 from tests.llm.brute import LOWER
 
 
@@ -74,3 +76,10 @@ def test_extra_columns_empty_table_and_nothing_frequent(spark):
     check(docs(spark, r, ("w1", "c", "words", "f", "k", "a", "n")), r, least=9)
     assert collocations(docs(spark, r[:0])).count() == 0
     assert collocations(docs(spark, [(1, "a b", "en")])).count() == 0
+
+
+def test_marks_of_starts_take_four_bytes_each():
+    h = np.arange(1 << 12, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    m = marks(h, 1 << 27)
+    assert m.nbytes == 4 * len(h)
+    assert m.astype(np.int64).tolist() == [int(x) % (1 << 27) for x in h]
