@@ -16,6 +16,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -211,12 +212,12 @@ def learn(docs: DataFrame, text: str, id_col: str, lang: str, sample_docs: int,
 
 
 def identify(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", lang: str = "lang",
-             sample_docs: int = 150, sample_chars: int = 30_000, piece: int = 512,
+             sample_docs: int = 150, sample_chars: int = 30_000, piece: int = 512, unit: int = 1 << 20,
              names: tuple[str, str, str] = ("held_out", "lang_pred", "score")) -> DataFrame:
     """The columns of ``docs`` with held_out, lang_pred and score, or under other ``names``.
 
     Automata come from at most ``sample_docs`` different labelled texts and ``sample_chars`` (below 32,000)
-    characters per language; every whole text is parsed. lang_pred is a learned label, or ``und`` for null text,
+    characters per language; every whole text is parsed, about ``unit`` bytes of texts at a time. lang_pred is a learned label, or ``und`` for null text,
     text without a letter, or where nothing could be learned; ties go to the first label in code-point order.
     score is the lead, 1 - phrases(best) / phrases(second), 0 for ``und``. Columns of ``docs`` that bear a result's
     name are replaced. Empty table: no rows.
@@ -225,8 +226,9 @@ def identify(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", lan
         raise ValueError("sample_chars must stay below 32,000: states are 16-bit")
     spark = docs.sparkSession
     langs, alphabet, tables = learn(docs, text, id_col, lang, sample_docs, sample_chars)
-    shared = spark.sparkContext.broadcast((alphabet.table, tables) if langs else None)
-    size = 1 << 21
+    # the parser is sent made up, so a task holds the automata once
+    shared = spark.sparkContext.broadcast((alphabet.table, CrossParser(tables, piece)) if langs else None)
+    del tables
     if text in names or id_col in names:
         raise ValueError("the text and the id can't bear a result's name")
     held = held_out(id_col)
@@ -249,19 +251,15 @@ def identify(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", lan
 
     def run(batches):
         model = shared.value
-        parser = CrossParser(model[1], piece) if model else None
         for batch in batches:
-            texts = [t or "" for t in batch.column(col).to_pylist()]
+            upto = np.cumsum(pc.binary_length(pc.fill_null(batch.column(col), "")).to_numpy(zero_copy_only=False))
             pred, score, i = [], [], 0
-            while i < len(texts):
-                j, n = i, 0
-                while j < len(texts) and (j == i or n + len(texts[j]) <= size):
-                    n += len(texts[j])
-                    j += 1
-                if parser is None:
+            while i < batch.num_rows:
+                j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + unit, "right")))
+                if model is None:
                     p, s = [UNDETERMINED] * (j - i), [0.0] * (j - i)
                 else:
-                    p, s = judge(model[0], parser, texts[i:j])
+                    p, s = judge(*model, [t or "" for t in batch.column(col).slice(i, j - i).to_pylist()])
                 pred += p
                 score += s
                 i = j

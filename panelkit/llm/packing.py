@@ -93,7 +93,7 @@ class TokenStream:
     token, is encoded as a whole by the tokenizer itself.
     """
 
-    def __init__(self, path: str, remember: int = 400_000):
+    def __init__(self, path: str, remember: int = 1 << 17):
         import json
         import os
         import re
@@ -131,7 +131,16 @@ class TokenStream:
             out.append(b)
         return out
 
-    def encode(self, col: pa.Array) -> list[np.ndarray]:
+    def encode(self, col: pa.Array, unit: int = 1 << 20) -> list[np.ndarray]:
+        """Ids of each text; about ``unit`` bytes of texts are in work at a time, or one longer text."""
+        size, out, i = np.cumsum(pc.binary_length(col).to_numpy(zero_copy_only=False)), [], 0
+        while i < len(col):
+            j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + unit, "right")))
+            out += self.encode_unit(col.slice(i, j - i))
+            i = j
+        return out
+
+    def encode_unit(self, col: pa.Array) -> list[np.ndarray]:
         texts = col.to_pylist()
         out: list = [np.zeros(0, "<u4")] * len(texts)
         alone = [k for k, t in enumerate(texts) if self.whole.search(t)]

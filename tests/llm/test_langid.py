@@ -149,3 +149,11 @@ def test_copies_take_one_place_among_the_teachers(documents):
     one, many = taught(rows + copies[:20]), taught(rows + copies)
     assert one[0] == many[0] == ["aa", "bb"] and (one[1] == many[1]).all()
     assert all(np.array_equal(a, b) for a, b in zip(one[2], many[2])) and len(many[2][0]) > 10_000
+
+
+def test_result_does_not_depend_on_how_many_texts_are_in_work_at_a_time(documents):
+    rng = random.Random(8)
+    rows = [(i, text(rng, lang, n), lang) for i in range(20) for lang in SYL for n in (1, 40)]
+    rows = [(k, t, lang) for k, (_, t, lang) in enumerate(rows)] + [(900, None, None), (901, "", "aa"), (902, "12 3", None)]
+    one, all_ = ({r.doc_id: (r.lang_pred, r.score) for r in identify(documents(rows), unit=u).collect()} for u in (1, 1 << 20))
+    assert one == all_ and len(one) == len(rows)

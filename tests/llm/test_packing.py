@@ -116,3 +116,12 @@ def test_a_file_with_other_pieces_is_refused():
     import public_tokenizers
     with pytest.raises(ValueError):
         TokenStream(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_ids_do_not_depend_on_how_many_texts_are_in_work_at_a_time():
+    texts = ["", "one two three", "a  b", "x" * 500, "one two two. Three!\nfour", " lead", "tail "] * 7
+    stream = TokenStream(PATH, remember=4)
+    whole = [t.ids for t in stream.tok.encode_batch(texts, add_special_tokens=False)]
+    for unit in (1, 30, 1 << 20):
+        assert [x.tolist() for x in stream.encode(pa.array(texts), unit)] == whole
+        assert [x.tolist() for x in stream.encode(pa.array(texts).slice(3), unit)] == whole[3:]
