@@ -72,6 +72,9 @@ def window_cuts(at: np.ndarray, penalty: np.ndarray, length: int, per_window: fl
     return out[::-1]
 
 
+#: Texts with a run of that much white space are left to the tokenizer: the other encoder's search has a bounded stack.
+LONG_GAP = 100_000
+
 #: Fixed value: the pre-tokenisation pattern of byte-level BPE files of this kind.
 PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -86,11 +89,10 @@ def byte_letters() -> dict[str, int]:
 class TokenStream:
     """Token ids of texts under a byte-level BPE file.
 
-    Under this pre-tokenisation a single space between other characters always begins a new piece,
-    so a text is encoded from its space-separated parts: the parts of a batch are made distinct, those
-    met before are remembered (at most ``remember``), new ones are encoded from the file's merges, and the ids
-    are gathered. A text with white space after a space, or with a special
-    token, is encoded as a whole by the tokenizer itself.
+    A text is encoded in one call from the file's merges, cut by the file's own pattern; the ids become an array at
+    once, so a worker holds the Python numbers of one text at a time. Texts of at most 24 characters are remembered (at most
+    ``remember``). A text with a special token, or with a run of white space too long for the search of ``parts``, is
+    encoded by the tokenizer itself.
     """
 
     def __init__(self, path: str, remember: int = 1 << 17):
@@ -107,71 +109,41 @@ class TokenStream:
         if (before.get("normalizer"), pre.get("type"), pre.get("add_prefix_space"), pre.get("use_regex", True)) != (None, "ByteLevel", False, True):
             raise ValueError(f"{path} does not cut texts as byte-level BPE files of this kind do")
         special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
-        self.whole = re.compile("|".join([r" \s", *map(re.escape, sorted(special))]))
+        self.whole = re.compile("|".join(map(re.escape, sorted(special))) or r"(?!)")
+        self.gap = re.compile(r"(?<!\s)\s{%d}" % LONG_GAP)
         vocab, letters = self.tok.get_vocab(), byte_letters()
         ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
         self.parts = tiktoken.Encoding("file", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, np.ndarray] = {}
         ends = np.zeros(max(vocab.values()) + 1, bool)
         for t, i in vocab.items():
             ends[i] = t.endswith((".", "!", "?", "\u010a"))  # the last stands for a line feed
         self.sentence_end = ends
 
-    def lookup(self, parts: list[str]) -> list[bytes]:
-        known, encode = self.known, self.parts
-        if len(known) > self.remember:
-            known.clear()
-        out = []
-        for x in parts:
-            b = known.get(x)
-            if b is None:
-                b = array("I", encode(x)).tobytes()
-                if len(x) <= 24:
-                    known[x] = b
-            out.append(b)
-        return out
+    def ids(self, text: str) -> np.ndarray:
+        x = self.known.get(text)
+        if x is not None:
+            return x
+        if self.whole.search(text) or len(text) >= LONG_GAP and self.gap.search(text):
+            x = self.tok.encode(text, add_special_tokens=False).ids
+        else:
+            x = self.parts(text)
+        x = np.frombuffer(array("I", x), "<u4")
+        if len(text) <= 24:
+            if len(self.known) >= self.remember:
+                self.known.clear()
+            self.known[text] = x
+        return x
 
     def encode(self, col: pa.Array, unit: int = 1 << 20) -> list[np.ndarray]:
-        """Ids of each text; about ``unit`` bytes of texts are in work at a time, or one longer text."""
+        """Ids of each text; about ``unit`` bytes of texts are Python strings at a time, or one longer text."""
         size, out, i = np.cumsum(pc.binary_length(col).to_numpy(zero_copy_only=False)), [], 0
         while i < len(col):
             j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + unit, "right")))
-            out += self.encode_unit(col.slice(i, j - i))
+            out += map(self.ids, col.slice(i, j - i).to_pylist())
             i = j
         return out
 
-    def encode_unit(self, col: pa.Array) -> list[np.ndarray]:
-        texts = col.to_pylist()
-        out: list = [np.zeros(0, "<u4")] * len(texts)
-        alone = [k for k, t in enumerate(texts) if self.whole.search(t)]
-        for k, x in zip(alone, self.tok.encode_batch([texts[k] for k in alone], add_special_tokens=False)):
-            out[k] = np.array(x.ids, "<u4")
-        rest = np.setdiff1d(np.arange(len(texts)), alone)
-        rest = [k for k in rest.tolist() if texts[k]]
-        if not rest:
-            return out
-        lists = pc.split_pattern(col.take(pa.array(rest)).cast(pa.large_string()), " ")
-        per = pc.list_value_length(lists).to_numpy()
-        at = np.cumsum(per) - per
-        flat = lists.flatten()
-        seen = flat.dictionary_encode()
-        codes = seen.indices.to_numpy().astype(np.int64)
-        words = seen.dictionary.to_pylist()
-        ids = self.lookup([" " + w for w in words])
-        heads = flat.take(pa.array(at)).to_pylist()  # the first part of a text has no space before it
-        codes[at] = len(words) + np.arange(len(at))
-        ids += [b"" if not h else x for h, x in zip(heads, self.lookup(heads))]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        data = np.frombuffer(b"".join(ids), "<u4")
-        start = np.cumsum(size) - size
-        n = size[codes]
-        total = np.cumsum(n)
-        stream = data[np.repeat(start[codes] - (total - n), n) + np.arange(total[-1])]
-        ends = total[at + per - 1]
-        for k, s, e in zip(rest, [0, *ends[:-1].tolist()], ends.tolist()):
-            out[k] = stream[s:e]
-        return out
-
 
 def segment_pieces(docs: list[np.ndarray], length: int, sentence_end: np.ndarray, cut_sentence: float,
                    cut_inside: float, per_window: float):

@@ -125,3 +125,14 @@ def test_ids_do_not_depend_on_how_many_texts_are_in_work_at_a_time():
     for unit in (1, 30, 1 << 20):
         assert [x.tolist() for x in stream.encode(pa.array(texts), unit)] == whole
         assert [x.tolist() for x in stream.encode(pa.array(texts).slice(3), unit)] == whole[3:]
+
+
+def test_a_text_is_encoded_in_one_call_and_long_white_space_runs_are_encoded_too(tok):
+    stream, calls = TokenStream(PATH), []
+    parts = stream.parts
+    stream.parts = lambda t: calls.append(t) or parts(t)
+    texts = [" ".join(f"w{k} x{k}y" for k in range(500)), "two  spaces \n and\u3000 more\xa0 \u2028 white", "a"]
+    assert [x.tolist() for x in stream.encode(pa.array(texts))] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert calls == texts
+    for t in ("\n" * 1_200_000 + "a", "b" + " " * 300_000 + "a"):
+        assert stream.ids(t).tolist() == tok.encode(t, add_special_tokens=False).ids
