@@ -124,6 +124,14 @@ def _both_smaller_second(edges: DataFrame) -> DataFrame:
             .filter("a <> b").distinct())
 
 
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Rows go to Python in Arrow batches of about ``most`` bytes, unless the session says otherwise: 10,000 rows of whole texts
+    are tens of MB, held several times over by both sides. No result depends on it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) in (None, str(2**31 - 1), str(2**63 - 1)):
+        spark.conf.set(key, str(most))
+
+
 def tidy(run):
     """A function for ``mapInArrow`` that gives its memory back to the system when it is through: Python workers live on, and what
     their allocators keep would count beside the next stage."""

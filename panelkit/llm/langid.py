@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import tidy
+from panelkit.llm.common import small_batches, tidy
 
 UNDETERMINED = "und"
 GAP, OTHER = 0, 1
@@ -225,6 +225,7 @@ def identify(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", lan
     if sample_chars > 32_000:
         raise ValueError("sample_chars must stay below 32,000: states are 16-bit")
     spark = docs.sparkSession
+    small_batches(spark)
     langs, alphabet, tables = learn(docs, text, id_col, lang, sample_docs, sample_chars)
     # the parser is sent made up, so a task holds the automata once
     shared = spark.sparkContext.broadcast((alphabet.table, CrossParser(tables, piece)) if langs else None)

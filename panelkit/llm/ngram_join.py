@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.llm.arrays import forest, runs, spread
-from panelkit.llm.common import FixedBloom, row_key, rows_that_stay, smallest_reachable, tidy
+from panelkit.llm.common import FixedBloom, row_key, rows_that_stay, small_batches, smallest_reachable, tidy
 from panelkit.llm.textops import Hasher, U, mix, slices
 from panelkit.session import cut_lineage, discard
 
@@ -349,6 +349,7 @@ def ngram_components(docs: DataFrame, *, text: str = "text", id_col: str = "doc_
     pass links on. Rows that repeat a text or an id are rows of their own and link by text.
     Empty table: no rows.
     """
+    small_batches(docs.sparkSession)
     frequent = frequent_ngrams(docs, text, size, lower, frequent_part, 1 << 20)
     rows = cut_lineage(describe(docs, text, id_col, size, percent, lower, frequent), "sets")
     reps = (rows.filter("n > 0").groupBy("s1", "s2", "n")

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import tidy
+from panelkit.llm.common import small_batches, tidy
 
 END_OF_TEXT = 0
 
@@ -180,6 +180,7 @@ def pack_sequences(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id
     ``segment_bytes`` of text. Repeated rows and null ids are rows like others. sequence_id numbers
     sequences within their partition (partition * 2**33 + number). Empty table: no rows.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = dict(rows.dtypes)["id"]
 

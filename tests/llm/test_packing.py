@@ -136,3 +136,20 @@ def test_a_text_is_encoded_in_one_call_and_long_white_space_runs_are_encoded_too
     assert calls == texts
     for t in ("\n" * 1_200_000 + "a", "b" + " " * 300_000 + "a"):
         assert stream.ids(t).tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
+def test_texts_come_to_python_in_small_batches(spark, documents):
+    def shapes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    docs = documents([(k, "word " * 2000) for k in range(3000)]).coalesce(1).cache()
+    pack_sequences(docs, tokenizer=PATH)
+    seen = [r.n for r in docs.select("text").mapInArrow(shapes, "n long").collect()]
+    assert sum(seen) > 3000 * 10_000 and max(seen) < 6 << 20
+    spark.conf.set(key, str(1 << 20))
+    pack_sequences(docs, tokenizer=PATH)
+    assert spark.conf.get(key) == str(1 << 20)
+    spark.conf.unset(key)
