@@ -6,7 +6,6 @@ import ctypes
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,6 +148,11 @@ def total(cols: list[Column]) -> Column:
     return reduce(lambda x, y: x + y, cols)
 
 
+def bloom_bits(keys: DataFrame, most_bits: int = 1 << 28) -> int:
+    """Bits of a Bloom filter of the rows of ``keys``: about 16 a key, a power of two."""
+    return min(most_bits, max(1 << 20, 1 << (16 * keys.count()).bit_length()))
+
+
 class FixedBloom:
     """A Bloom filter over one key column of a written table, gathered by Spark as 32-bit words.
 
@@ -158,7 +162,7 @@ class FixedBloom:
     """
 
     def __init__(self, keys: DataFrame, key: str, most_bits: int = 1 << 28):
-        self.bits = min(most_bits, max(1 << 20, 1 << (16 * keys.count()).bit_length()))
+        self.bits = bloom_bits(keys, most_bits)
         m = F.pmod(F.xxhash64(F.col(key)), F.lit(self.bits))
         one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("m") % 32).cast("int"))
         found = (keys.select(m.alias("m")).groupBy(F.shiftright("m", 5).alias("w")).agg(F.bit_or(one).alias("x"))
@@ -176,20 +180,28 @@ class FixedBloom:
         return (words[m >> 5] >> (m & 31).astype(np.uint32)) & np.uint32(1) == 1
 
 
+def mark_possible(rows: DataFrame, keys: DataFrame, key: str, out: str = "may") -> DataFrame:
+    """``rows`` and a boolean ``out``: false only where ``key`` is not among those of the written table ``keys``. A Bloom filter as
+    ``FixedBloom``, by DataFrame functions only: its bitmaps of 4 KB (8,192 at most) are sent to the executors and
+    looked up by a join, so rows stay where they are."""
+    bits, in_map = bloom_bits(keys), 1 << 15  # bits in one result of bitmap_construct_agg
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(bits))
+    # keys meet by bitmap before they are gathered: a task would make nearly all bitmaps otherwise
+    spread = keys.select(place.alias("__m")).select("__m", F.shiftright("__m", 15).alias("__map")).repartition("__map")
+    maps = spread.groupBy("__map").agg(F.bitmap_construct_agg(F.col("__m").bitwiseAND(in_map - 1)).alias("__bits"))
+    at = F.col("__m").bitwiseAND(in_map - 1)
+    byte = F.conv(F.hex(F.substring("__bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, at.bitwiseAND(7).cast("int")) == 1, F.lit(False))  # null: no key in this bitmap
+    near = rows.withColumn("__m", place).withColumn("__map", F.shiftright("__m", 15))
+    return near.join(F.broadcast(maps), "__map", "left").withColumn(out, found).drop("__map", "__m", "__bits")
+
+
 def rows_that_stay(docs: DataFrame, both: Column, held: DataFrame) -> DataFrame:
     """``docs`` less the rows that go. ``both``: a key of a row's id and text; ``held`` (both, k): the keys of which rows go,
     with the number that stays (none, or one of rows that agree in id and text). Rows whose key a Bloom filter of those does
     not know stay where they are, so only about as many rows as go are shuffled with their texts."""
     held = cut_lineage(held, "held")
-    bloom = FixedBloom(held, "both")
-    shared, passes = bloom.shared, FixedBloom.passes
-
-    @F.pandas_udf("boolean")
-    def may(m: pd.Series) -> pd.Series:
-        return pd.Series(passes(shared.value, m.to_numpy()))
-
-    rows = docs.select(F.struct("*").alias("row"), both.alias("both"))
-    rows = rows.withColumn("may", may(bloom.mark("both")))
+    rows = mark_possible(docs.select(F.struct("*").alias("row"), both.alias("both")), held, "both")
     near = rows.filter("may").join(held, "both", "left")
     one = near.filter("k > 0").groupBy("both").agg(F.first("row").alias("row"))
     return (rows.filter("not may").select("row.*").unionByName(near.filter("k is null").select("row.*"))

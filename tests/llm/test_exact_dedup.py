@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from panelkit.llm.common import mark_possible
 from panelkit.llm.exact_dedup import drop_copies, exact_dedup, tree_merge
+from panelkit.session import cut_lineage
 from tests.llm.brute import LOWER, sha
 
 
@@ -61,3 +63,20 @@ def test_no_python_on_the_main_path(documents):
     plan = exact_dedup(documents([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
     assert F.lit(1) is not None
+
+
+def test_rows_go_without_python(documents):
+    kept = drop_copies(documents([(1, "a"), (2, "A"), (3, "b")]))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_the_filter_loses_no_key_and_lets_few_others_pass(spark):
+    keys = cut_lineage(spark.range(20_000).selectExpr("cast(id as string) both"))
+    rows = spark.range(40_000).selectExpr("id", "cast(id as string) both")
+    got = mark_possible(rows, keys, "both").selectExpr("id < 20000 own", "may").groupBy("own").agg(F.count_if("may").alias("n")).collect()
+    n = {r.own: r.n for r in got}
+    assert n[True] == 20_000 and n[False] < 1_000
+    none = mark_possible(rows, keys.limit(0), "both")
+    assert none.columns == ["id", "both", "may"] and none.filter("may").count() == 0 and none.count() == 40_000
