@@ -88,6 +88,29 @@ def test_learning_curve_last_round_matches_rmse(spark):
     assert abs(lc[-1]["train_rmse"] - rmse) < 1e-6 * max(1.0, rmse)
 
 
+def test_grid_search_is_the_cross_validator_with_fits_shared_by_rounds(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import GBTRegressor
+    from pyspark.ml.tuning import CrossValidator
+    rnd = random.Random(6)
+    data = [(float(x % 17), float(x % 5), x % 17 * 2.0 + rnd.random() * 9) for x in range(300)]
+    df = spark.createDataFrame(data, "a double, b double, y double").repartition(3).cache()
+    fits, fit = [], GBTRegressor._fit
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, rows: fits.append(self.getMaxIter()) or fit(self, rows))
+    grid = {"maxIter": [1, 4], "maxDepth": [2, 3], "featureSubsetStrategy": ["0.5"]}
+    got = ml.tune(df, ["a", "b"], "y", grid, folds=3)
+    assert sorted(fits[:-1]) == [4] * 6  # one fit a fold and depth, then the best setting on all rows
+    gbt = GBTRegressor(featuresCol="features", labelCol="y", seed=42)
+    pipe = Pipeline(stages=[ml._assembler(["a", "b"]), gbt])
+    maps = got.getEstimatorParamMaps()
+    want = CrossValidator(estimator=pipe, estimatorParamMaps=[{gbt.getParam(p.name): v for p, v in m.items()} for m in maps],
+                          evaluator=RegressionEvaluator(labelCol="y", metricName="rmse"), numFolds=3, seed=42).fit(df)
+    assert len(maps) == 4 and got.avgMetrics == pytest.approx(want.avgMetrics, rel=1e-9)
+    assert got.stdMetrics == pytest.approx(want.stdMetrics, rel=1e-6)
+    assert got.bestModel.stages[-1].toDebugString.split("\n")[1:] == want.bestModel.stages[-1].toDebugString.split("\n")[1:]
+
+
 def test_group_split_hash_matches_threshold(spark):
     out = sp.split_random(spark.range(2000).withColumnRenamed("id", "k"), "k")
     share = out.filter("split = 'train'").count() / 2000
