@@ -20,13 +20,13 @@ from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClas
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from panelkit.operators.trees import GBTRegressor
+from panelkit.operators.trees import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from panelkit.operators.windows import row_index
 
 
